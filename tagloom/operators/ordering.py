@@ -11,36 +11,41 @@ from pyspark.sql import functions as F
 
 from tagloom.session import materialise
 
-# monotonically_increasing_id() is (partition << 33) + position in the partition.
-POSITION_BITS = 33
-
 GROUP_SALTS = 64
 
 # Longest head taken by merging per-task heads in one task.
 HEAD_IN_ONE_TASK = 100_000
 
 
+def written_in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """``df`` range-sorted and written; adds ``_file``, the number of the part it is in,
+    and ``_row``, its place in that part. Parts follow each other in ``order``."""
+    written = materialise(df.orderBy(*order), "sorted")
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-.*-c(\d+)", 1).cast("long")
+    chunk = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-.*-c(\d+)", 2).cast("long")
+    return written.select(
+        "*",
+        (part * 1_000_000 + chunk).alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
+
+
 def add_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx") -> DataFrame:
     """Dense 0-based position of each row in ``order`` (which must be a total order).
 
-    The table is range-sorted and checkpointed, so partition ``i`` holds a fixed
-    run of rows; its first position is the row count of the partitions before
-    it. Only those counts, one row per partition, pass through a single task.
+    The table is range-sorted and written once. A row's position is its place in its
+    file plus the rows of the files before it; only the counts, one row per file,
+    pass through a single task.
     """
-    placed = materialise(df.orderBy(*order)).select(
-        "*",
-        F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().alias("_pos"),
-    )
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    placed = written_in_order(df, order)
+    before = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("_part")
+        placed.groupBy("_file")
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        .select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    local = F.col("_pos") - F.shiftleft(F.col("_part").cast("long"), POSITION_BITS)
-    return placed.join(F.broadcast(starts), "_part").select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + local).alias(name)
+    return placed.join(F.broadcast(starts), "_file").select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_start") + F.col("_row")).alias(name)
     )
 
 
@@ -49,25 +54,25 @@ def running_totals(
 ) -> DataFrame:
     """Adds ``run_<c>``: inclusive running sum of each column of ``sums`` per ``group``.
 
-    A group larger than a partition spans several range partitions: sums run
-    inside each (partition, group) and carry over the totals of the earlier ones.
+    A group larger than a file spans several: sums run inside each (file, group) and
+    carry over the totals of the earlier files.
     """
-    placed = materialise(df.orderBy(group, *order)).withColumn("_part", F.spark_partition_id())
+    placed = written_in_order(df, [group, *order]).drop("_row")
     inside = (
-        W.partitionBy("_part", group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        W.partitionBy("_file", group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"run_{c}") for c in sums])
-    earlier = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(group).orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        placed.groupBy("_part", group)
+        placed.groupBy("_file", group)
         .agg(*[F.sum(c).alias(c) for c in sums])
         .select(
-            "_part",
+            "_file",
             group,
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_carry_{c}") for c in sums],
         )
     )
-    joined = local.join(carried, ["_part", group])
+    joined = local.join(carried, ["_file", group])
     return joined.select(
         *df.columns, *[(F.col(f"run_{c}") + F.col(f"_carry_{c}")).alias(f"run_{c}") for c in sums]
     )

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import ratio
 from tagloom.operators.metrics import micro_prf
 from tagloom.operators.ordering import running_totals
 from tagloom.operators.sampling import SEED, split_val_test
-from tagloom.session import materialise, small_side
+from tagloom.session import cut_lineage, fits, materialise, small_side
 
 MAX_ROUNDS = 1000
 
@@ -129,22 +129,21 @@ def tune_thresholds(
         vocabulary = truth.select("label").union(scores.select("label")).distinct()
     points = materialise(threshold_points(truth, scores, n_docs, vocabulary, grid))
     start = F.min_by(F.struct("score", "tp", "fp", "fn"), "score")
-    state = materialise(
+    state = cut_lineage(
         points.filter("own").groupBy("label").agg(start.alias("s")).select(
             "label", F.col("s.score").alias("threshold"), "s.tp", "s.fp", "s.fn"
         )
     )
     candidates = points.filter("cand").select("label", "score", "tp", "fp", "fn")
+    one_table = fits(state)  # one row per label, in every round
     totals = _totals(state)
     history = [f1_of(*totals)]
     for step in range(max_rounds):
         tp, fp, fn = totals
-        current = small_side(
-            state.select(
-                "label", "threshold", *[F.col(c).alias(f"own_{c}") for c in ("tp", "fp", "fn")]
-            )
+        current = state.select(
+            "label", "threshold", *[F.col(c).alias(f"own_{c}") for c in ("tp", "fp", "fn")]
         )
-        moves = candidates.join(current, "label")
+        moves = candidates.join(F.broadcast(current) if one_table else current, "label")
         if step:
             moves = moves.filter(F.col("score") >= F.col("threshold"))
         new_tp = F.lit(tp) + F.col("tp") - F.col("own_tp")
@@ -163,7 +162,7 @@ def tune_thresholds(
             )
         )
         moved = F.col("b").isNotNull()
-        state = materialise(
+        state = cut_lineage(
             state.join(best, "label", "left").select(
                 "label",
                 F.when(moved, F.col("b.score")).otherwise(F.col("threshold")).alias("threshold"),
@@ -171,15 +170,15 @@ def tune_thresholds(
                 moved.alias("moved"),
             )
         )
-        totals = _totals(state)
+        *totals, moves_made = _totals(state, F.count_if("moved"))
         history.append(f1_of(*totals))
-        if state.filter("moved").isEmpty():
+        if not moves_made:
             break
     return Tuning(state.select("label", "threshold"), history)
 
 
-def _totals(state: DataFrame) -> tuple[int, int, int]:
-    row = state.agg(F.sum("tp"), F.sum("fp"), F.sum("fn")).first()
+def _totals(state: DataFrame, *more: Column) -> tuple[int, ...]:
+    row = state.agg(F.sum("tp"), F.sum("fp"), F.sum("fn"), *more).first()
     return tuple(int(v or 0) for v in row)
 
 

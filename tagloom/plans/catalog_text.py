@@ -100,9 +100,9 @@ def label_embedding(spark: SparkSession, d: str) -> DataFrame:
 
 @query("cluster_labels")
 def cluster_labels(spark: SparkSession, d: str) -> DataFrame:
-    model, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
+    _, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
     betas = linear.label_embedding(weights, views.text_labels(spark, d))
-    return linear.cluster_labels(betas, SETTINGS.max_features, per_cluster=5)
+    return linear.cluster_labels(betas, per_cluster=5)
 
 
 @query("train_linear_tagger")

@@ -23,7 +23,6 @@ def build_session(app: str = "tagloom", master: str | None = None, **conf) -> Sp
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
@@ -56,8 +55,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "tables", uuid.uuid4().hex, name)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and cut its lineage there."""
+def materialise(df: DataFrame, name: str = "step") -> DataFrame:
+    """Writes ``df`` as a parquet table in the shared folder and reads it back.
+
+    That cuts the lineage, survives lost executors, and gives the planner the real
+    size of the table for its join choices.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, for the small tables an iterative job rewrites every round."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -70,7 +80,7 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` hinted for broadcast if it is small enough, else left to a shuffle join.
 
-    ``df`` is counted, so pass a table that is cheap to read twice (a written
-    or checkpointed one).
+    ``df`` is counted, so pass a table that is cheap to read twice, such as a
+    written one.
     """
     return F.broadcast(df) if fits(df, max_rows) else df
