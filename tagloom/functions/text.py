@@ -85,15 +85,14 @@ def ngrams(tokens: Column, low: int, high: int) -> Column:
     """Runs of ``low`` to ``high`` neighbouring tokens, joined by a space."""
     if (low, high) == (1, 1):
         return tokens
-    grams = []
-    for n in range(low, high + 1):
+
+    def runs(n: int) -> Column:
         starts = F.when(
             F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
         ).otherwise(F.array().cast("array<int>"))
-        grams.append(
-            F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
-        )
-    return F.concat(*grams)
+        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+
+    return F.concat(*[runs(n) for n in range(low, high + 1)])
 
 
 def without_words(tokens: Column, stop_words: Sequence[str]) -> Column:

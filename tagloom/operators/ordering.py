@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.session import materialise
+from tagloom.session import fits, materialise
 
 GROUP_SALTS = 64
 
-# Longest head taken by merging per-task heads in one task.
-HEAD_IN_ONE_TASK = 100_000
+# Rows one task may sort: tables up to this size need no spreading.
+ROWS_IN_ONE_TASK = 1_000_000
 
 
 def written_in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
@@ -50,13 +50,21 @@ def add_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx
 
 
 def running_totals(
-    df: DataFrame, group: str, order: Sequence[Column], sums: Sequence[str]
+    df: DataFrame,
+    group: str,
+    order: Sequence[Column],
+    sums: Sequence[str],
+    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Adds ``run_<c>``: inclusive running sum of each column of ``sums`` per ``group``.
 
-    A group larger than a file spans several: sums run inside each (file, group) and
-    carry over the totals of the earlier files.
+    A table of up to ``ROWS_IN_ONE_TASK`` rows is summed group by group. In a larger
+    one a group may span several files of the sorted table: sums run inside each
+    (file, group) and carry over the totals of the earlier files.
     """
+    if fits(df, ROWS_IN_ONE_TASK if one_task_rows is None else one_task_rows):
+        whole = W.partitionBy(group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return df.select("*", *[F.sum(c).over(whole).alias(f"run_{c}") for c in sums])
     placed = written_in_order(df, [group, *order]).drop("_row")
     inside = (
         W.partitionBy("_file", group).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
@@ -141,6 +149,6 @@ def head_rows(df: DataFrame, order: Sequence[str | Column], n: int = -1) -> Data
     """The first ``n`` rows in ``order``; -1 for all."""
     if n == -1:
         return df
-    if n <= HEAD_IN_ONE_TASK:
+    if n <= ROWS_IN_ONE_TASK:
         return df.orderBy(*order).limit(n)
     return add_row_index(df, order, "_idx").filter(F.col("_idx") < n).drop("_idx")

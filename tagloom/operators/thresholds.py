@@ -43,43 +43,60 @@ def threshold_points(
     scores the search may choose.
     """
     exact = F.lit(grid is None)
-    pairs = truth.select("doc_id", "label").distinct().withColumn("y", F.lit(1))
-    scored = (
-        scores.select("doc_id", "label", F.col("score").cast("double").alias("score"))
-        .join(pairs, ["doc_id", "label"], "left")
+    # Truth and scores are stacked and grouped, so one shuffle of the pairs gives all
+    # counts; from here on the tables hold a row per label and distinct score.
+    # A positive without a score is counted under the score NULL.
+    counts = materialise(
+        truth.select(
+            "doc_id", "label", F.lit(1).alias("y"), F.lit(None).cast("double").alias("score")
+        )
+        .unionByName(
+            scores.select(
+                "doc_id", "label", F.lit(0).alias("y"), F.col("score").cast("double").alias("score")
+            )
+        )
+        .groupBy("doc_id", "label")
+        .agg(F.max("y").alias("y"), F.max("score").alias("score"))
         .groupBy("label", "score")
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos"))
+        .agg(F.count("*").alias("n"), F.sum("y").alias("pos")),
+        "counts",
     )
-    scored = materialise(scored)
     labels = vocabulary.select("label").distinct()
-    positives = pairs.groupBy("label").agg(F.count("*").alias("positives"))
-    totals = labels.join(positives, "label", "left").na.fill(0, ["positives"])
-    totals = materialise(
-        totals.join(
-            scored.groupBy("label").agg(F.sum("n").alias("stored"), F.sum("pos").alias("found")),
-            "label",
-            "left",
-        ).na.fill(0, ["stored", "found"])
-    )
-    absent = totals.filter(F.col("stored") < n_docs).select(
+    stored = F.col("score").isNotNull()
+    totals = labels.join(
+        counts.groupBy("label").agg(
+            F.sum("pos").alias("positives"),
+            F.sum(F.when(stored, F.col("n"))).alias("stored"),
+            F.sum(F.when(stored, F.col("pos"))).alias("found"),
+        ),
         "label",
-        F.lit(0.0).alias("score"),
-        (F.lit(n_docs) - F.col("stored")).alias("n"),
-        (F.col("positives") - F.col("found")).alias("pos"),
-        exact.alias("cand"),
+        "left",
+    ).na.fill(0, ["positives", "stored", "found"])
+    totals = small_side(cut_lineage(totals))
+    rows = (
+        counts.filter(stored)
+        .join(totals.select("label"), "label", "left_semi")
+        .select("label", "score", "n", "pos", exact.alias("cand"), F.lit(True).alias("own"))
+        .unionByName(
+            totals.filter(F.col("stored") < n_docs).select(
+                "label",
+                F.lit(0.0).alias("score"),
+                (F.lit(n_docs) - F.col("stored")).alias("n"),
+                (F.col("positives") - F.col("found")).alias("pos"),
+                exact.alias("cand"),
+                F.lit(True).alias("own"),
+            )
+        )
     )
-    rows = scored.join(small_side(labels), "label", "left_semi").select(
-        "label", "score", "n", "pos", exact.alias("cand")
-    ).unionByName(absent)
-    rows = rows.withColumn("own", F.lit(True))
     if grid is not None:
         steps = F.explode(F.array(*[F.lit(i / grid) for i in range(1, grid)]))
+        none = F.lit(0).cast("long")
         rows = rows.unionByName(
-            labels.select(
+            totals.select(
                 "label",
                 steps.alias("score"),
-                F.lit(0).cast("long").alias("n"),
-                F.lit(0).cast("long").alias("pos"),
+                none.alias("n"),
+                none.alias("pos"),
                 F.lit(True).alias("cand"),
                 F.lit(False).alias("own"),
             )
@@ -92,9 +109,7 @@ def threshold_points(
     )
     running = running_totals(merged, "label", [F.desc("score")], ["n", "pos"])
     above, tp = F.col("run_n") - F.col("n"), F.col("run_pos") - F.col("pos")
-    return running.join(
-        small_side(totals.select("label", "positives")), "label"
-    ).select(
+    return running.join(totals.select("label", "positives"), "label").select(
         "label",
         "score",
         "cand",

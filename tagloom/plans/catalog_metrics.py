@@ -352,12 +352,12 @@ def search_sql(truth: str, scores: str, total: str, rounds: int = SQL_ROUNDS) ->
     "tune_thresholds",
     sql(
         "SELECT label, threshold FROM final",
-        "docs", "truth", "scores_b", "vocabulary", **search_sql("truth", "scores_b", N_DOCS),
+        "docs", "truth", "scores_c", "vocabulary", **search_sql("truth", "scores_c", N_DOCS),
     ),
 )
 def tune_thresholds(spark: SparkSession, d: str) -> DataFrame:
     return th.tune_thresholds(
-        views.truth(spark, d), views.scores_b(spark, d), n_docs(spark, d), views.vocabulary(spark, d)
+        views.truth(spark, d), views.scores_c(spark, d), n_docs(spark, d), views.vocabulary(spark, d)
     ).thresholds
 
 
@@ -374,14 +374,14 @@ def f1_sql(truth: str, hits: str) -> str:
     sql(
         f"""SELECT {f1_sql('val_truth', 'start_hits')} AS start_f1,
                    {f1_sql('test_truth', 'tuned_hits')} AS tuned_f1""",
-        "docs", "truth", "scores_a", "vocabulary",
+        "docs", "truth", "scores_c", "vocabulary",
         parts="""SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id))
                         <= floor(CAST(0.8 AS DOUBLE) * count(*) OVER ()) THEN 'val' ELSE 'test' END AS split
                  FROM docs""",
         val_truth="SELECT truth.* FROM truth JOIN parts USING (doc_id) WHERE split = 'val'",
         test_truth="SELECT truth.* FROM truth JOIN parts USING (doc_id) WHERE split = 'test'",
-        val_scores="SELECT scores_a.* FROM scores_a JOIN parts USING (doc_id) WHERE split = 'val'",
-        test_scores="SELECT scores_a.* FROM scores_a JOIN parts USING (doc_id) WHERE split = 'test'",
+        val_scores="SELECT scores_c.* FROM scores_c JOIN parts USING (doc_id) WHERE split = 'val'",
+        test_scores="SELECT scores_c.* FROM scores_c JOIN parts USING (doc_id) WHERE split = 'test'",
         **search_sql("val_truth", "val_scores", "(SELECT count(*) FROM parts WHERE split = 'val')"),
         start_hits="SELECT * FROM val_scores WHERE score > 0.2",
         tuned_hits="""SELECT s.* FROM test_scores s JOIN final f ON s.label = f.label
@@ -390,7 +390,7 @@ def f1_sql(truth: str, hits: str) -> str:
 )
 def eval_after_tuning(spark: SparkSession, d: str) -> DataFrame:
     _, result = th.eval_after_tuning(
-        views.truth(spark, d), views.scores_a(spark, d), views.docs(spark, d),
+        views.truth(spark, d), views.scores_c(spark, d), views.docs(spark, d),
         views.vocabulary(spark, d),
     )
     return rounded(result)

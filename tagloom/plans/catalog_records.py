@@ -49,7 +49,7 @@ def src_articles_jsonl(spark: SparkSession, d: str) -> DataFrame:
     sql(
         """SELECT pmid, year, array_to_string("meshMajor", '|') AS tags FROM articles
            WHERE "abstractText" IS NOT NULL
-           UNION ALL SELECT NULL, NULL, '{"pmid":"' || pmid || '","year":' FROM articles
+           UNION ALL SELECT NULL, NULL, '{"pmid":"' || pmid || '","year":,' FROM articles
            WHERE "abstractText" IS NULL""",
         "articles",
     ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,17 +109,19 @@ def cluster_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query("train_linear_tagger")
 def train_linear_tagger(spark: SparkSession, d: str) -> DataFrame:
-    """Betas of a tagger trained on all documents, with their terms."""
+    """Betas of a tagger trained on all documents, with their tree level and term."""
     tagger = linear.train_linear_tagger(
         views.texts(spark, d),
         views.text_labels(spark, d),
         SETTINGS,
-        linear.TrainSettings(steps=4, rate=4.0),
-        per_cluster=5,
+        linear.TrainSettings(steps=3, rate=4.0),
+        per_cluster=6,
     )
-    terms = F.broadcast(tagger.tfidf.terms.select("term_id", "term"))
-    named = tagger.betas.join(terms, "term_id", "left")
-    return named.select("label", F.coalesce("term", F.lit("")).alias("term"), "beta")
+    levels = [x.betas.withColumn("level", F.lit(i)) for i, x in enumerate(tagger.levels)]
+    betas = reduce(DataFrame.unionByName, levels)
+    terms = F.broadcast(tagger.tfidf.terms.select("term_id", "term"))  # at most max_features rows
+    named = betas.join(terms, "term_id", "left")
+    return named.select("level", "label", F.coalesce("term", F.lit("")).alias("term"), "beta")
 
 
 BEST = {
@@ -255,7 +259,7 @@ def ingest_responses(spark: SparkSession, d: str) -> DataFrame:
     sql(
         """SELECT pmid, year, array_to_string("meshMajor", '|') AS tags FROM articles
            WHERE "abstractText" IS NOT NULL
-           UNION ALL SELECT NULL, NULL, '{"pmid":' || pmid || '",' FROM articles
+           UNION ALL SELECT NULL, NULL, '{"pmid":' || pmid || '",,' FROM articles
            WHERE "abstractText" IS NULL""",
         "articles",
     ),

@@ -108,6 +108,16 @@ def scores_b(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def scores_c(spark: SparkSession, d: str) -> DataFrame:
+    """Scores that favour the true labels, so that thresholds are worth tuning."""
+    weight = F.when(F.col("l_linestatus") == "F", 1.0).otherwise(0.25)
+    return (
+        lines(spark, d)
+        .groupBy(F.col("l_orderkey").alias("doc_id"), F.col("p_brand").alias("label"))
+        .agg((F.max(F.col("l_quantity") * weight) / F.lit(50.0)).alias("score"))
+    )
+
+
 def vocabulary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(F.col("p_brand").alias("label")).distinct()
 
@@ -190,6 +200,10 @@ SQL = {
     "scores_b": """
         SELECT l_orderkey AS doc_id, p_brand AS label, round(max(l_discount) * 10, 6) AS score
         FROM lines GROUP BY 1, 2""",
+    "scores_c": """
+        SELECT l_orderkey AS doc_id, p_brand AS label,
+               max(l_quantity * CASE WHEN l_linestatus = 'F' THEN 1.0 ELSE 0.25 END) / 50.0 AS score
+        FROM lines GROUP BY 1, 2""",
     "vocabulary": "SELECT DISTINCT p_brand AS label FROM part",
     "taxonomy": """
         SELECT ui, name, annotation,
@@ -218,6 +232,7 @@ NEEDS = {
     "truth": ["lines"],
     "scores_a": ["lines"],
     "scores_b": ["lines"],
+    "scores_c": ["lines"],
 }
 
 

@@ -24,6 +24,7 @@ def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def parse_article_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Article fields plus ``_corrupt_record``, from lines of a wrapped article file.
 
+    A line that is no article is kept whole in ``_corrupt_record``.
     The comma or the closing brackets after an object are cut by pattern, so a last
     line without them stays whole. The ``{"articles":[`` opening and bare closing
     lines are no records.
@@ -36,7 +37,11 @@ def parse_article_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         f"{schemas.ARTICLE}, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"},
     )
-    return lines.filter(~opening & ~closing).select(parsed.alias("a")).select("a.*")
+    rows = lines.filter(~opening & ~closing).select(F.col(value).alias("_line"), parsed.alias("a"))
+    broken = F.when(F.col(f"a.{CORRUPT}").isNotNull(), F.col("_line"))
+    return rows.select("a.*", "_line", broken.alias("_broken")).drop(CORRUPT, "_line").withColumnRenamed(
+        "_broken", CORRUPT
+    )
 
 
 def read_articles_wrapped(

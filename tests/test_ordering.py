@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tagloom.operators import ordering, sampling
+
+
+def test_row_index_is_dense_and_ordered(spark):
+    keys = random.Random(1).sample(range(10**6), 5000)
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    got = ordering.add_row_index(df, ["k"]).collect()
+    assert sorted((r.idx, r.k) for r in got) == list(enumerate(sorted(keys)))
+
+
+def test_row_index_does_not_depend_on_partitions(spark):
+    df = spark.range(1000).withColumn("k", F.md5(F.col("id").cast("string")))
+    one = rows(ordering.add_row_index(df.repartition(1), ["k"]), "k", "idx")
+    many = rows(ordering.add_row_index(df.repartition(16), ["k"]), "k", "idx")
+    assert one == many
+
+
+def test_running_totals_of_a_group_over_many_files(spark):
+    r = random.Random(2)
+    data = [("hot" if r.random() < 0.7 else f"g{r.randrange(5)}", i, r.randrange(10)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, pos long, n long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread = ordering.running_totals(df, "g", [F.desc("pos")], ["n"], one_task_rows=10)
+        got = {(x.g, x.pos): x.run_n for x in spread.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    expected, total = {}, {}
+    for g, pos, n in sorted(data, key=lambda x: -x[1]):
+        total[g] = total.get(g, 0) + n
+        expected[g, pos] = total[g]
+    assert got == expected
+    plain = ordering.running_totals(df, "g", [F.desc("pos")], ["n"])
+    assert {(x.g, x.pos): x.run_n for x in plain.collect()} == expected
+
+
+def test_top_k_of_a_hot_group(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 != 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+        "id",
+    )
+    plain = rows(ordering.top_k(df, "g", [F.desc("id")], 4), "g", "id", "rn")
+    spread = rows(ordering.top_k(df, "g", [F.desc("id")], 4, spread_by="id"), "g", "id", "rn")
+    assert plain == spread and len(plain) == 4 * 8
+
+
+def test_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 40) for i in range(4000)]
+    for n, part in enumerate((lines[:2500], lines[2500:2600], lines[2600:])):
+        (tmp_path / f"{n}.txt").write_text("\n".join(part) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        text = spark.read.text(str(tmp_path))
+        assert text.rdd.getNumPartitions() > 3
+        got = ordering.number_lines(text).collect()
+        head = ordering.head_lines(spark.read.text(str(tmp_path)), 2550).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 2**20))
+    assert [r.value for r in sorted(got, key=lambda r: r.line_no)] == lines
+    assert sorted(r.line_no for r in got) == list(range(4000))
+    assert sorted(r.value for r in head) == sorted(lines[:2550])
+    assert ordering.head_lines(spark.read.text(str(tmp_path)), 10**6).count() == 4000
+    assert ordering.head_lines(spark.read.text(str(tmp_path))).count() == 4000
+
+
+def test_head_rows_beyond_one_task(spark, monkeypatch):
+    df = spark.range(100).repartition(5)
+    monkeypatch.setattr(ordering, "ROWS_IN_ONE_TASK", 3)
+    assert rows(ordering.head_rows(df, [F.desc("id")], 10)) == sorted(
+        ((i,) for i in range(90, 100)), key=repr
+    )
+
+
+def test_shards_differ_by_one_at_most(spark):
+    got = sampling.shard_contiguous(spark.range(11), ["id"], 4).collect()
+    by_shard = {}
+    for r in sorted(got, key=lambda r: r.idx):
+        by_shard.setdefault(r.shard, []).append(r.id)
+    assert [by_shard[i] for i in range(4)] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9, 10]]
+    few = sampling.shard_contiguous(spark.range(2), ["id"], 4)
+    assert rows(few, "id", "shard") == [(0, 0), (1, 1)]

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import pytest
+from conftest import rows
+
+from tagloom.operators import textfeatures as tx
+
+TEXTS = {
+    1: "Malaria is a disease. Malaria\nspreads by the mosquito, l'été.",
+    2: "The mosquito bites; malaria follows the bite of a mosquito",
+    3: "Cancer is a disease of the cell\tand cancer grows",
+    4: "",
+    5: "x y z",
+    6: "Étude of cancer cell growth, cell by cell: étude",
+}
+STOP = ["the", "of", "by", "is", "and"]
+
+
+@pytest.fixture
+def docs(frame):
+    return frame(list(TEXTS.items()), "doc_id int, text string")
+
+
+def grams_of(text, low, high):
+    words = [w for w in re.findall(r"(?u)\b\w\w+\b", re.sub(r"[\n\t]", " ", text).lower()) if w not in STOP]
+    return [" ".join(words[i : i + n]) for n in range(low, high + 1) for i in range(len(words) - n + 1)]
+
+
+def expected_tfidf(low, high, min_df, max_df=1.0, max_features=10**6):
+    tf = {d: Counter(grams_of(t, low, high)) for d, t in TEXTS.items()}
+    df, uses = Counter(), Counter()
+    for c in tf.values():
+        df.update(c.keys())
+        uses.update(c)
+    kept = [t for t in df if min_df <= df[t] <= max_df * len(TEXTS)]
+    kept = set(sorted(kept, key=lambda t: (-uses[t], t))[:max_features])
+    out = {}
+    for d, c in tf.items():
+        raw = {t: n * (math.log((1 + len(TEXTS)) / (1 + df[t])) + 1) for t, n in c.items() if t in kept}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        out.update({(d, t): v / norm for t, v in raw.items()})
+    return out
+
+
+@pytest.mark.parametrize(
+    "low,high,min_df,max_df,top", [(1, 1, 1, 1.0, 10**6), (1, 2, 1, 1.0, 10**6), (1, 1, 2, 0.4, 10**6), (1, 1, 1, 1.0, 4)]
+)
+def test_tfidf(docs, low, high, min_df, max_df, top):
+    settings = tx.TfidfSettings(STOP, min_df, max_df, top, (low, high))
+    model, weights = tx.features_tfidf(docs, settings)
+    got = {(r.doc_id, r.term): r.weight for r in weights.join(model.terms, "term_id").collect()}
+    assert got == pytest.approx(expected_tfidf(low, high, min_df, max_df, top))
+
+
+def test_whole_texts_are_used(spark):
+    long = "word " * 20000 + "needle"
+    docs = spark.createDataFrame([(1, long)], "doc_id int, text string")
+    model = tx.fit_tfidf(docs, tx.TfidfSettings([], 1))
+    assert rows(model.terms, "term") == [("needle",), ("word",)]
+
+
+def test_counting_the_terms_of_a_document_needs_one_shuffle(docs):
+    plan = tx.term_rows(docs, tx.TfidfSettings(STOP, 1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1
+    assert plan.count("hashpartitioning(") == 1
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_spark_stop_words_are_the_default(docs):
+    assert "the" in tx.default_stop_words()
+    terms = {r.term for r in tx.fit_tfidf(docs, tx.TfidfSettings(min_df=1)).terms.collect()}
+    assert "the" not in terms and "malaria" in terms
+
+
+def test_fixed_length(frame):
+    docs = frame([(1, "b a b c"), (2, ""), (3, "a zz"), (4, None)], "doc_id int, text string")
+    docs = docs.selectExpr("doc_id", "regexp_replace(text, '([a-z]+)', '$1$1') AS text")
+    vocabulary = tx.token_vocabulary(docs, 2)
+    assert rows(vocabulary) == [("aa", 2), ("bb", 3)]
+    got = rows(tx.encode_fixed_length(docs, vocabulary, 3))
+    assert got == [
+        (1, [3, 2, 3], [1, 1, 1]), (2, [0, 0, 0], [0, 0, 0]), (3, [2, 1, 0], [1, 1, 0]), (4, [0, 0, 0], [0, 0, 0]),
+    ]
