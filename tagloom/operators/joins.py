@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.session import BROADCAST_ROWS, fits, scratch_path, small_side
@@ -49,26 +49,25 @@ def sized_join(
     return salted_join(large, small, key, spread_by, rows_per_key)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> tuple[str, DataFrame]:
-    """Writes ``df`` bucketed and sorted by ``key`` to the shared folder.
+def bucket_count(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    Tables with as many buckets join and group on ``key`` without a shuffle, each
-    time they are read. Returns the table's name, for :func:`drop`, and the table.
+
+def bucketed(df: DataFrame, key: str, buckets: int, spread: bool = True) -> tuple[str, DataFrame]:
+    """Writes ``df`` bucketed by ``key`` to the shared folder.
+
+    Tables with as many buckets join and group on ``key`` without a shuffle, each time
+    they are read. ``spread=False`` is for rows that are already partitioned so.
+    Returns the table's name, for :func:`drop`, and the table.
     """
     spark = df.sparkSession
     name = f"tagloom_{uuid.uuid4().hex}"
-    (
-        df.repartition(buckets, key)
-        .sortWithinPartitions(key)
-        .write.bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", scratch_path(spark, name))
-        .format("parquet")
-        .saveAsTable(name)
-    )
+    rows = df.repartition(buckets, key) if spread else df
+    writer = rows.write.bucketBy(buckets, key).format("parquet")
+    writer.option("path", scratch_path(spark, name)).saveAsTable(name)
     return name, spark.table(name)
 
 
-def drop(spark, *names: str) -> None:
+def drop(spark: SparkSession, *names: str) -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import ratio
-from tagloom.session import small_side
+from tagloom.session import cut_lineage, small_side
 
 AVERAGES = ("micro avg", "macro avg", "weighted avg", "samples avg")
 
@@ -163,45 +163,50 @@ def class_report(
     prediction.
     """
     thresholds = check_thresholds(thresholds)
-    rows = judged(truth, scores, thresholds, by="doc_id")
-    if vocabulary is not None:
-        rows = rows.join(small_side(vocabulary.select("label")), "label", "left_semi")
+    names = vocabulary.select("label").distinct()
+    rows = judged(truth, scores, thresholds, by="doc_id").join(
+        small_side(names), "label", "left_semi"
+    )
     predicted, positives = ("positives", "pp") if swap else ("pp", "positives")
     measures = prf(F.col("tp"), F.col(predicted), F.col(positives))
-    support = F.col(positives).alias("support")
-
-    seen = counts_per(rows, ["label"], thresholds)
-    every = vocabulary.select("label").withColumn(
-        "threshold", F.explode(F.array(*[F.lit(t) for t in thresholds]))
-    )
-    labels = every.join(seen, ["label", "threshold"], "left").na.fill(0, ["tp", "pp", "positives"])
-    scored = labels.select("threshold", "label", "tp", "pp", "positives", *measures, support)
     parts = ("precision", "recall", "f1")
 
-    totals = labels.groupBy("threshold").agg(
-        *[F.sum(c).alias(c) for c in ("tp", "pp", "positives")]
-    )
-    micro = totals.select("threshold", F.lit(AVERAGES[0]).alias("name"), *measures, support)
-    pooled = scored.groupBy("threshold").agg(
-        *[F.avg(c).alias(f"macro_{c}") for c in parts],
-        *[ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"w_{c}") for c in parts],
-        F.sum("support").alias("support"),
+    # One job counts per label and averages per document; both groupings read the
+    # same shuffled pairs. What is left is a row per label and threshold.
+    per_label = counts_per(rows, ["label"], thresholds).select(
+        "label", "threshold", "tp", "pp", "positives", *[F.lit(None).cast("double").alias(c) for c in parts]
     )
-    macro = pooled.select(
-        "threshold", F.lit(AVERAGES[1]).alias("name"),
-        *[F.col(f"macro_{c}").alias(c) for c in parts], "support",
+    per_doc = counts_per(rows, ["doc_id"], thresholds).select("threshold", *measures)
+    samples = per_doc.groupBy("threshold").agg(
+        *[(F.sum(c) / F.lit(float(max(n_docs, 1)))).alias(c) for c in parts]
     )
-    weighted = pooled.select(
-        "threshold", F.lit(AVERAGES[2]).alias("name"),
-        *[F.col(f"w_{c}").alias(c) for c in parts], "support",
+    counted = cut_lineage(per_label.unionByName(samples, allowMissingColumns=True))
+    every = names.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
+    labels = every.join(
+        counted.filter("label IS NOT NULL").drop(*parts), ["label", "threshold"], "left"
+    ).na.fill(0, ["tp", "pp", "positives"])
+    support = F.col(positives).alias("support")
+    scored = cut_lineage(labels.select("threshold", "label", "tp", "pp", "positives", *measures, support))
+
+    def named(df: DataFrame, average: str, prefix: str = "") -> DataFrame:
+        return df.select(
+            "threshold", F.lit(average).alias("name"), *[F.col(prefix + c).alias(c) for c in parts], "support"
+        )
+
+    totals = scored.groupBy("threshold").agg(
+        *[F.sum(c).alias(c) for c in ("tp", "pp", "positives", "support")],
+        *[F.avg(c).alias(f"macro_{c}") for c in parts],
+        *[ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"weighted_{c}") for c in parts],
     )
-    per_doc = counts_per(rows, ["doc_id"], thresholds).select("threshold", *measures, support)
-    samples = per_doc.groupBy("threshold").agg(
-        *[(F.sum(c) / F.lit(float(max(n_docs, 1)))).alias(c) for c in parts],
-        F.sum("support").alias("support"),
-    ).select("threshold", F.lit(AVERAGES[3]).alias("name"), *parts, "support")
+    totals = totals.select("*", *measures)
+    averages = counted.filter("label IS NULL").select("threshold", *parts)
     own = scored.select("threshold", F.col("label").alias("name"), *parts, "support")
-    return own.unionByName(micro).unionByName(macro).unionByName(weighted).unionByName(samples)
+    return (
+        own.unionByName(named(totals, AVERAGES[0]))
+        .unionByName(named(totals, AVERAGES[1], "macro_"))
+        .unionByName(named(totals, AVERAGES[2], "weighted_"))
+        .unionByName(named(averages.join(totals.select("threshold", "support"), "threshold"), AVERAGES[3]))
+    )
 
 
 def class_report_pruned(

@@ -29,7 +29,10 @@ def parse_article_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     line without them stays whole. The ``{"articles":[`` opening and bare closing
     lines are no records.
     """
-    body = F.regexp_replace(F.trim(F.col(value), F.lit(" \t\r")), r"(,|(?<=\})\s*\]\s*\}?)$", "")
+    whole = F.trim(F.col(value), F.lit(" \t\r"))
+    body = F.when(whole.endswith(","), F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(
+        F.regexp_replace(whole, r"(?<=\})\s*\]\s*\}?$", "")
+    )
     opening = F.col(value).rlike(r'^\s*\{\s*"articles"\s*:\s*\[\s*$')
     closing = F.col(value).rlike(r"^\s*\]?\s*\}?\s*$")
     parsed = F.from_json(
