@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as fn
 from tagloom.operators.ordering import top_k
-from tagloom.session import small_side
+from tagloom.session import materialise, small_side
 
 PROMPT = (
     "Write a new research abstract about the topic below, inspired by the example "
@@ -54,9 +54,10 @@ def build_requests(
     key: str = "pmid",
 ) -> DataFrame:
     """One request per (tag, seed document), with what is needed to store its answers."""
-    plan = seeds_per_tag(seed_docs(articles, tags, key), required, key)
-    # A seed's texts are fetched by key after the seeds are chosen, so only those move.
-    full = plan.join(articles.select(key, "abstractText", "meshMajor"), key)
+    # The seeds are chosen on keys alone. They are few (tags times ``required``), so the
+    # articles are then filtered where they lie instead of being shuffled.
+    plan = materialise(seeds_per_tag(seed_docs(articles, tags, key), required, key), "seeds")
+    full = articles.select(key, "abstractText", "meshMajor").join(small_side(plan), key)
     when = F.lit(str(year)) if year is not None else F.year(F.current_date()).cast("string")
     message = F.struct(
         F.lit("user").alias("role"),

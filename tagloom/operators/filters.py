@@ -12,8 +12,8 @@ from tagloom.functions import text as fn
 from tagloom.functions.columns import as_column
 from tagloom.session import small_side
 
-# Longest list that is inlined as literals; longer ones become a join.
-INLINE_ITEMS = 1000
+# Longest list that is looked up as a set of literals; longer ones become a join.
+INLINE_ITEMS = 10_000
 
 
 def year_in(years: Sequence, year: Column | str = "year") -> Column:
@@ -21,7 +21,7 @@ def year_in(years: Sequence, year: Column | str = "year") -> Column:
 
 
 def any_tag_in(tags: Sequence[str], field: Column | str = "meshMajor") -> Column:
-    return F.arrays_overlap(as_column(field), F.array(*[F.lit(t) for t in tags]))
+    return F.exists(as_column(field), lambda t: t.isin(list(tags)))
 
 
 def filter_years(df: DataFrame, years: Sequence | None, year: str = "year") -> DataFrame:
@@ -44,8 +44,15 @@ def filter_tags_any(
 def filter_any_tag_of(
     df: DataFrame, terms: DataFrame, term: str, field: str, key: str
 ) -> DataFrame:
-    """Rows with at least one element of ``field`` in the ``terms`` table."""
-    wanted = terms.select(F.col(term).alias("_tag")).distinct()
+    """Rows with at least one element of ``field`` in the ``terms`` table.
+
+    Up to ``INLINE_ITEMS`` terms are looked up row by row, without any shuffle; with
+    more, the keys of the matching rows are found by a join.
+    """
+    wanted = terms.select(F.col(term).alias("_tag")).filter("_tag IS NOT NULL").distinct()
+    inline = [r[0] for r in wanted.limit(INLINE_ITEMS + 1).collect()]
+    if len(inline) <= INLINE_ITEMS:
+        return df.filter(any_tag_in(inline, field)) if inline else df.filter(F.lit(False))
     hits = (
         df.select(key, F.explode(field).alias("_tag"))
         .join(small_side(wanted), "_tag", "left_semi")

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.session import BROADCAST_ROWS, fits, scratch_path, small_side
+from tagloom.session import BROADCAST_ROWS, fits, materialise, scratch_path, small_side
 
 # Rows of one key a task should have to join.
 ROWS_PER_KEY = 1_000_000
@@ -21,7 +21,10 @@ def salted_join(
     rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """Inner join on ``key``; a key with many rows in ``large`` is split into parts of
-    about ``rows_per_key`` rows, and only the ``small`` rows of such keys are repeated."""
+    about ``rows_per_key`` rows, and only the ``small`` rows of such keys are repeated.
+
+    ``large`` is read twice, once to count its keys.
+    """
     parts = F.ceil(F.col("_n") / F.lit(rows_per_key)).cast("int")
     hot = large.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_key)
     hot = small_side(hot.select(key, parts.alias("_parts")))
@@ -46,7 +49,7 @@ def sized_join(
     """Broadcast ``small`` while it is small, beyond that :func:`salted_join`."""
     if fits(small, max_rows):
         return large.join(F.broadcast(small), key)
-    return salted_join(large, small, key, spread_by, rows_per_key)
+    return salted_join(materialise(large, "large"), small, key, spread_by, rows_per_key)
 
 
 def bucket_count(spark: SparkSession) -> int:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.columns import digest_number, seeded_hash
 from tagloom.operators.filters import filter_years
 from tagloom.operators.ordering import add_row_index, top_k
+from tagloom.session import materialise, small_side
 
 SEED = 42
 
@@ -166,13 +167,33 @@ def shard_contiguous(df: DataFrame, order: Sequence, shards: int, name: str = "s
     return indexed.withColumn(name, shard.cast("int"))
 
 
+def stratum_cuts(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
+    """(strata, _cut, _n): the ``k``-th smallest hash of each stratum (the largest one
+    of a smaller stratum), and its row count. Only keys and strata are read."""
+    hashes = df.select(*strata, seeded_hash(seed, key).alias("_h"))
+    first = top_k(hashes, strata, [F.col("_h")], k, "_rn", spread_by="_h")
+    cuts = first.groupBy(*strata).agg(F.max("_h").alias("_cut"))
+    return cuts.join(hashes.groupBy(*strata).agg(F.count("*").alias("_n")), list(strata))
+
+
+def below_cut(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
+    """Rows whose hash is among the ``k`` smallest of their stratum, with ``_h`` and ``_n``.
+
+    Whole rows are compared with the cut of their stratum where they lie; they are
+    neither sorted nor shuffled while there are few enough strata to broadcast.
+    """
+    known = df.dropna(subset=list(strata))
+    cuts = small_side(materialise(stratum_cuts(known, strata, key, k, seed), "cuts"))
+    hashed = known.withColumn("_h", seeded_hash(seed, key))
+    return hashed.join(cuts, list(strata)).filter(F.col("_h") <= F.col("_cut")).drop("_cut")
+
+
 def sample_stratified(
     df: DataFrame, stratum: str | Sequence[str], key: str, k: int, seed: int = SEED
 ) -> DataFrame:
     """At most ``k`` random rows per stratum; rows without a stratum are left out."""
     strata = [stratum] if isinstance(stratum, str) else list(stratum)
-    known = df.dropna(subset=strata).withColumn("_h", seeded_hash(seed, key))
-    return top_k(known, strata, [F.col("_h"), F.col(key)], k, "_rn", spread_by=key).drop("_h", "_rn")
+    return below_cut(df, strata, key, k, seed).select(*df.columns)
 
 
 def sample_stratified_fill(
@@ -184,21 +205,16 @@ def sample_stratified_fill(
     ``1 + hash(seed, stratum, j) % rows`` of its hash order.
     """
     strata = list(strata)
-    named = df.withColumn("_h", seeded_hash(seed, key)).withColumn(
-        "_stratum", F.concat_ws(":", *[F.col(s) for s in strata])
-    )
-    kept = top_k(
-        named, ["_stratum", *strata], [F.col("_h"), F.col(key)], k, "_rn", spread_by=key
-    ).withColumn("_rows", F.count("*").over(W.partitionBy("_stratum", *strata)))
-    full = kept.filter(F.col("_rows") >= k).withColumn("draw", F.col("_rn"))
-    short = kept.filter(F.col("_rows") < k)
-    wheel = F.pmod(
-        digest_number(seeded_hash(seed, "_stratum", "draw")), F.col("_rows")
-    ) + F.lit(1)
+    place = W.partitionBy(*strata).orderBy("_h", key)  # k rows per stratum at most
+    kept = below_cut(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
+    full = kept.filter(F.col("_n") >= k).withColumn("draw", F.col("_rn"))
+    short = kept.filter(F.col("_n") < k)
+    name = F.concat_ws(":", *[F.col(s) for s in strata])
+    wheel = F.pmod(digest_number(seeded_hash(seed, name, "draw")), F.col("_n")) + F.lit(1)
     draws = (
         short.filter("_rn = 1")
-        .select("_stratum", *strata, "_rows", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("draw"))
-        .select("_stratum", *strata, "draw", wheel.cast("int").alias("_rn"))
+        .select(*strata, "_n", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("draw"))
+        .select(*strata, "draw", wheel.cast("int").alias("_rn"))
     )
-    filled = short.join(draws, ["_stratum", *strata, "_rn"])
+    filled = short.join(draws, [*strata, "_rn"])
     return full.select(*df.columns, "draw").unionByName(filled.select(*df.columns, "draw"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.columns import seeded_hash
 from tagloom.operators.filters import filter_annotation
+from tagloom.operators.ordering import head_rows
 from tagloom.session import small_side
 
 
@@ -67,10 +69,17 @@ def join_category_name(categorised: DataFrame, categories: DataFrame) -> DataFra
 
 
 def union_portfolio(
-    sample: DataFrame, active: DataFrame, n_active: int, key: str, text: str = "Synopsis"
+    sample: DataFrame,
+    active: DataFrame,
+    n_active: int,
+    key: str,
+    text: str = "Synopsis",
+    seed: int | None = None,
 ) -> DataFrame:
-    """Sampled grants (flag 0) and the first ``n_active`` active ones by ``key`` (flag 1)."""
-    chosen = active.filter(F.col(text).isNotNull()).orderBy(key).limit(n_active)
+    """Sampled grants (flag 0) and the first ``n_active`` active ones (flag 1): by
+    ``key``, or in seeded hash order when a seed is given."""
+    order = [F.col(key)] if seed is None else [seeded_hash(seed, key)]
+    chosen = head_rows(active.filter(F.col(text).isNotNull()), order, n_active)
     return sample.withColumn("active_portfolio", F.lit(0)).unionByName(
         chosen.select(key, F.col(text).alias("abstract")).withColumn(
             "active_portfolio", F.lit(1)

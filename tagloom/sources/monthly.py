@@ -44,8 +44,10 @@ def ingest_monthly(df: DataFrame, date: str, path: str, year: int | None = None)
         months.select("year", "month").distinct().join(done, ["year", "month"], "left_anti")
     )
     rows = months.join(F.broadcast(todo), ["year", "month"], "left_semi")
+    # Rebalancing by month keeps the number of files small and splits a hot month.
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "year", "month")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(os.path.join(path, "data"))

@@ -18,6 +18,8 @@ from tagloom.sources.records import CORRUPT, parse_article_lines
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
     target = os.path.join(path, f"batch_id={batch_id}")
+    if partitions:
+        df = df.hint("rebalance", *partitions)
     df.write.mode("overwrite").partitionBy(*partitions).parquet(target)
 
 
