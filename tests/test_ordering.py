@@ -70,12 +70,14 @@ def test_lines_are_numbered_over_splits_and_files(spark, tmp_path):
     assert ordering.head_lines(spark.read.text(str(tmp_path))).count() == 4000
 
 
-def test_head_rows_beyond_one_task(spark, monkeypatch):
+def test_long_heads(spark, monkeypatch):
     df = spark.range(100).repartition(5)
-    monkeypatch.setattr(ordering, "ROWS_IN_ONE_TASK", 3)
-    assert rows(ordering.head_rows(df, [F.desc("id")], 10)) == sorted(
-        ((i,) for i in range(90, 100)), key=repr
-    )
+    monkeypatch.setattr(ordering, "SHORT_HEAD", 3)
+    last_ten = sorted(((i,) for i in range(90, 100)), key=repr)
+    assert rows(ordering.head_rows(df, [F.desc("id")], 10)) == last_ten
+    assert rows(ordering.head_rows(df, ["id"], 10)) == sorted(((i,) for i in range(10)), key=repr)
+    assert ordering.head_rows(df, ["id"], 1000).count() == 100
+    assert ordering.head_rows(df, ["id"], 2).count() == 2 and ordering.head_rows(df, ["id"]).count() == 100
 
 
 def test_shards_differ_by_one_at_most(spark):
