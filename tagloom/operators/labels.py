@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.operators.joins import sized_join
 from tagloom.operators.ordering import add_row_index
-from tagloom.session import small_side
+from tagloom.session import BROADCAST_ROWS, materialise, small_side
+
+# Labels one array of annotation labels holds.
+LABELS_PER_CHUNK = 10_000
 
 
 def build_vocabulary(df: DataFrame, tags: str = "meshMajor") -> DataFrame:
@@ -120,13 +124,14 @@ def annotation_tasks(
     text: str = "text",
     tags: str = "tags",
     grant_id: str = "grant_id",
-    max_labels: int = 200_000,
+    labels_per_chunk: int = LABELS_PER_CHUNK,
 ) -> DataFrame:
     """Annotation rows. ``teach``: text and its grant id. ``train``: each text once
     per label, accepted where the text carries the label.
 
-    The label list travels as one array value that each row unfolds on the spot,
-    so texts are neither shuffled nor joined; its size is checked first.
+    Labels travel as arrays of ``labels_per_chunk``: a text meets each array by its
+    number and unfolds it on the spot. The arrays are broadcast while the vocabulary
+    is small enough, so texts are neither shuffled nor cross-joined.
     """
     if mode == "teach":
         return df.select(
@@ -134,10 +139,22 @@ def annotation_tasks(
         )
     if mode != "train":
         raise ValueError("mode must be 'train' or 'teach'")
-    names = [r.label for r in vocabulary.select("label").limit(max_labels + 1).collect()]
-    if len(names) > max_labels:
-        raise ValueError(f"more than {max_labels} labels per text")
-    label = F.col("label")
-    answer = F.when(F.array_contains(tags, label), "accept").otherwise("reject")
-    unfolded = df.withColumn("label", F.explode(F.lit(sorted(names))))
-    return unfolded.select(F.col(text).alias("text"), "label", answer.alias("answer"))
+    numbered = add_row_index(vocabulary.select("label").distinct(), ["label"], "_idx")
+    chunks = materialise(
+        numbered.groupBy(F.floor(F.col("_idx") / labels_per_chunk).cast("int").alias("_chunk")).agg(
+            F.collect_list("label").alias("_labels")
+        ),
+        "chunks",
+    )
+    texts = df.select(
+        F.col(text).alias("text"),
+        F.col(tags).alias("_tags"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(chunks.count() - 1, 0)))).alias("_chunk"),
+    )
+    met = sized_join(
+        texts, chunks, "_chunk", "text", max_rows=max(BROADCAST_ROWS // labels_per_chunk, 1)
+    )
+    answer = F.when(F.array_contains("_tags", F.col("label")), "accept").otherwise("reject")
+    return met.select("text", "_tags", F.explode("_labels").alias("label")).select(
+        "text", "label", answer.alias("answer")
+    )

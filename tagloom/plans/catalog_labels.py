@@ -176,7 +176,7 @@ def semijoin_subtree(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def crossjoin_annotation(spark: SparkSession, d: str) -> DataFrame:
-    """Every text with every label, unfolded row by row; no join is involved."""
+    """Every text with every label, unfolded row by row from arrays of labels."""
     articles = views.articles(spark, d).filter("abstractText IS NOT NULL")
     return labels.annotation_tasks(
         articles, views.vocabulary(spark, d), text="abstractText", tags="meshMajor"

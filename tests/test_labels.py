@@ -64,6 +64,18 @@ def test_annotation_tasks(spark):
         labels.annotation_tasks(df, vocabulary, "other")
 
 
+def test_annotation_labels_in_many_chunks(spark, monkeypatch):
+    names = [f"l{i:02d}" for i in range(23)]
+    df = spark.createDataFrame([(f"t{i}", names[i : i + 2]) for i in range(9)], "text string, tags array<string>")
+    vocabulary = spark.createDataFrame([(n,) for n in names], "label string")
+    expected = sorted(
+        ((f"t{i}", n, "accept" if n in names[i : i + 2] else "reject") for i in range(9) for n in names), key=repr
+    )
+    assert rows(labels.annotation_tasks(df, vocabulary, labels_per_chunk=5)) == expected
+    monkeypatch.setattr(labels, "BROADCAST_ROWS", 5)
+    assert rows(labels.annotation_tasks(df, vocabulary, labels_per_chunk=5)) == expected
+
+
 def test_small_vocabulary_is_broadcast(frame, spark):
     df = frame(DATA, SCHEMA)
     plan = labels.encode_labels(df, labels.build_vocabulary(df))._jdf.queryExecution().toString()
