@@ -38,6 +38,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def sent(spark: SparkSession, value):
+    """Broadcasts ``value``, whose size the caller has bounded, together with its classes.
+    Returns a function that gives it back, unpacked once per task."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    unpacked: dict = {}
+
+    def get():
+        if not unpacked:
+            unpacked["value"] = cloudpickle.loads(packed.value)
+        return unpacked["value"]
+
+    return get
+
+
 def map_slices(
     df: DataFrame,
     function: Callable[[dict[str, list]], dict[str, list]],

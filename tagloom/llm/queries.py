@@ -5,14 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import quality_rules, simhash
+from tagloom.llm import (
+    bpe,
+    chunks,
+    decontaminate,
+    html_extract,
+    importance,
+    langid,
+    quality_rules,
+    simhash,
+    url_filter,
+    warc,
+)
 from tagloom.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.find_leaks(documents, benchmark)
+
+
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"))
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return langid.identify(documents, langid.train(documents))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.repeats(table(spark, folder, "documents"))
+
+
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages")).drop("url", "payload")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
     return judged.select(
@@ -23,6 +60,14 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"))
+
+
 def _rules_sql() -> str:
     """The threshold table as SQL conditions."""
     parts = []
@@ -71,9 +116,65 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_wo
 FROM b
 """
 
+OP7_SQL = f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+), r AS (
+  SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= {warc.LEAST_SHARED} AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+  FROM f
+)
+SELECT *, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type FROM r
+"""
+
+
+def _url_cases() -> tuple[str, str]:
+    """Rules and verdicts as branches, the longest rule first."""
+    fits, verdicts = [], []
+    for verdict, host, path in sorted(url_filter.RULES, key=lambda r: -len(r[1] + r[2])):
+        test = f"(('.' || host) LIKE '%.{host}' AND starts_with(path, '{path}'))"
+        fits.append(f"WHEN {test} THEN '{host}{path}'")
+        verdicts.append(f"WHEN {test} THEN '{verdict}'")
+    for host in url_filter.BLOCKED_HOSTS:
+        verdicts.append(f"WHEN ('.' || host) LIKE '%.{host}' THEN 'block'")
+    return "\n    ".join(fits), "\n    ".join(verdicts)
+
+
+_RULE, _VERDICT = _url_cases()
+
+OP10_SQL = rf"""
+WITH r AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages
+), h AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM r
+), p AS (
+  SELECT page_id,
+    translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest[length(raw) + 1:], '^[^?#]*') AS path
+  FROM h
+)
+SELECT page_id, host, path,
+  CASE {_RULE} END AS rule,
+  CASE {_VERDICT} ELSE 'allow' END AS verdict
+FROM p
+"""
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op2_html": op2_html,
+    "op3_bpe": op3_bpe,
+    "op4_language": op4_language,
     "op5_simhash": op5_simhash,
+    "op6_chunks": op6_chunks,
+    "op7_warc": op7_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_importance": op9_importance,
+    "op10_url_filter": op10_url_filter,
 }
 
-STATEMENTS = {"op8_quality_rules": OP8_SQL}
+STATEMENTS = {"op7_warc": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_url_filter": OP10_SQL}

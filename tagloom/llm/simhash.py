@@ -197,8 +197,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     named = least.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component"))
     named = roots.join(named, "root").select("fp", "component")
     labels = least.join(named, "fp", "left").select(
-        F.col("fp"), F.coalesce("component", "least").alias("component_id")
+        "fp", F.coalesce("component", "least").alias("component_id")
     )
+    labels = materialise(labels, "labels")
     return found.join(labels, "fp").select(
         "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
