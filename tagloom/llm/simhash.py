@@ -102,8 +102,8 @@ def linked(group: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
         while len(frontier) and len(left):
             near = np.zeros(len(left), bool)
             for at in range(0, len(frontier), 64):
-                apart = np.bitwise_count(frontier[at : at + 64, None] ^ left[None, :])
-                near |= (apart <= max_bits).any(axis=0)
+                apart = frontier[at : at + 64, None] ^ left[None, :]
+                near |= (np.bitwise_count(apart.view(np.uint64)) <= max_bits).any(axis=0)
             frontier, left = left[near], left[~near]
             links.extend((int(root), int(x)) for x in frontier)
     return links
