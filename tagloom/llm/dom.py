@@ -71,8 +71,8 @@ _group_of = {word: i for i, words in enumerate(GROUPS.values()) for word in word
 
 
 class Page:
-    """The elements of a page in order; text as (element, text) in order, where line-breaking
-    elements have put a mark between."""
+    """The elements of a page in order; text as (element, text) in order, with a line break
+    for each element that makes one."""
 
     def __init__(self, html: str | None):
         self.tags: list[str] = ["#page"]
@@ -121,6 +121,8 @@ class Page:
                 self.texts.append((node, html[at:stop]))
                 after = html.find(">", stop) if end else -1
                 at = after + 1 if after >= 0 else size
+            elif name in ("br", "hr"):
+                self.texts.append((stack[-1], "\n"))
             elif name not in VOID:
                 stack.append(node)
 
@@ -169,7 +171,7 @@ class Page:
         return " ".join("".join(parts).split())
 
     def blocks(self) -> list[int]:
-        """The nearest line-breaking element of each; a break within one starts a new one."""
+        """The nearest element of each that stands on lines of its own, itself included."""
         out: list[int] = []
         for i, tag in enumerate(self.tags):
             out.append(out[self.parents[i]] if tag in INLINE and i else i)

@@ -77,7 +77,7 @@ class Table(NamedTuple):
     @staticmethod
     def of(rows: dict[str, list[float]], languages: int) -> Table:
         hashes = np.array([hash_of(g) for g in rows], np.uint64)
-        values = np.array(list(rows.values()), np.float32).reshape(-1, languages)
+        values = np.array(list(rows.values()), np.float32).reshape(len(rows), languages)
         order = np.argsort(hashes)
         return Table(hashes[order], values[order])
 

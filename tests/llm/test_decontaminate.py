@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import cases
+import pytest
+
+from tagloom.llm import decontaminate as dc
+
+ITEMS = "item_id long, text string"
+
+
+def items(n=60):
+    rows = [(i, f"{cases.prose(7_000 + i, 12 + i % 45, 10**9)}? {cases.prose(8_000 + i, 4, 10**9)}.") for i in range(n)]
+    long = cases.prose(77, 300, 10**9)
+    return [*rows, (900, long), (901, "alpha beta"), (902, None), (903, ""), (900, long)]
+
+
+def leaking(seed, text, item, changes=0):
+    rng = random.Random(seed)
+    words = item.split()
+    for _ in range(changes):
+        words[rng.randrange(len(words))] = f"zz{rng.random()}".replace(".", "")
+    at = rng.randrange(len(text.split()))
+    before = text.split()
+    return " ".join([*before[:at], *words, *before[at:]])
+
+
+def brute_scores(index, words):
+    """Score of every passage and segment, without bounds."""
+    out = {}
+    for passage in range(-(-len(words) // dc.SEGMENT)):
+        at = passage * dc.SEGMENT
+        sums = Counter()
+        for term in set(words[at : at + 2 * dc.SEGMENT]):
+            if term in index.terms:
+                for segment, impact in index.postings[index.terms[term]]:
+                    sums[segment] += impact
+        out.update({(passage, s): x for s, x in sums.items() if x >= dc.THRESHOLD - 1e-9})
+    return out
+
+
+def test_impacts_are_shares_of_bm25():
+    index = dc.Index.build([(1, "the cat sat"), (2, "the dog ran off")])
+    term = index.terms["the"]
+    idf = math.log(1 + 0.5 / 2.5)
+    norm = dc.K1 * (1 - dc.B + dc.B * 3 / 3.5)
+    rest = 2 * math.log(1 + 1.5 / 1.5)
+    weight = (dc.K1 + 1) / (1 + norm)
+    assert index.postings[term][0][1] == pytest.approx(idf * weight / ((idf + rest) * weight))
+
+
+def test_bounds_lose_no_passage_above_the_threshold():
+    rows = items()
+    index = dc.Index.build(rows)
+    for seed in range(80):
+        text = cases.prose(seed, 400)
+        if seed % 2:
+            text = leaking(seed, text, rows[seed % 60][1], seed % 9)
+        words = dc.words_of(text)
+        found, wanted = index.scored(words), brute_scores(index, words)
+        assert found.keys() == wanted.keys()
+        assert all(found[k] == pytest.approx(wanted[k]) for k in found)
+
+
+def test_many_blocks_give_the_same(monkeypatch):
+    rows = items()
+    index = dc.Index.build(rows)
+    words = dc.words_of(leaking(1, cases.prose(1, 900), rows[5][1]))
+    dense = index.scored(words)
+    wide = index._replace(n_blocks=10**6)
+    assert wide.scored(words) == dense
+
+
+def test_whatever_holds_most_shingles_is_found(spark):
+    rows = items()
+    benchmark = spark.createDataFrame(rows, ITEMS)
+    texts = [(i, leaking(i, cases.prose(i, 300), rows[i % 61][1], i % 4)) for i in range(200)]
+    clean = [(1_000 + i, cases.prose(1_000 + i, 300)) for i in range(50)]
+    docs = spark.createDataFrame([*texts, *clean], "doc_id long, text string")
+    wanted = set()
+    for doc, text in [*texts, *clean]:
+        have = dc.shingles(dc.words_of(text))
+        for item, content in rows:
+            need = dc.shingles(dc.words_of(content))
+            if len(need) > 1 and len(need & have) >= dc.OVERLAP * len(need):
+                wanted.add((doc, item))
+    found = {(r["doc_id"], r["item_id"]) for r in dc.find_leaks(docs, benchmark).collect()}
+    assert wanted <= found and {d for d, _ in found} <= {d for d, _ in texts}
+    kept = {r["doc_id"] for r in dc.drop_leaks(docs, benchmark).collect()}
+    assert kept == {d for d, _ in [*texts, *clean]} - {d for d, _ in found}
+
+
+def test_short_items_and_question_with_answer_apart():
+    index = dc.Index.build([(1, "alpha beta"), (2, "one two three four five six? seven eight")])
+    assert [m[0] for m in index.matches("we say alpha beta here")] == [1]
+    assert index.matches("beta alpha") == []
+    apart = index.matches("one two three four five six answer: seven eight")
+    assert [(m[0], m[2], m[3]) for m in apart] == [(2, 1.0, 1.0)]
+
+
+def test_awkward_rows(spark, documents, nothing):
+    benchmark = spark.createDataFrame([*items(5), (50, cases.documents()[0][1])], ITEMS)
+    df = cases.clashing(documents)
+    rows = [(r["doc_id"], r["item_id"]) for r in dc.find_leaks(df, benchmark).collect()]
+    assert sorted(rows, key=str) == [(1, 50), (2, 50), (3, 50), (3, 50), (None, 50)]
+    kept = dc.drop_leaks(df, benchmark)
+    assert kept.columns == df.columns and kept.count() == df.count() - 5
+    empty = benchmark.limit(0)
+    assert dc.find_leaks(df, empty).count() == 0 and dc.drop_leaks(df, empty).count() == df.count()
+    assert dc.find_leaks(nothing, benchmark).count() == 0
+
+
+def test_too_large_a_benchmark_is_refused(spark, documents, monkeypatch):
+    monkeypatch.setattr(dc, "MAX_INDEX_BYTES", 10)
+    with pytest.raises(ValueError):
+        dc.find_leaks(documents, spark.createDataFrame(items(3), ITEMS))

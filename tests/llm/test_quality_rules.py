@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import cases
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tagloom.llm import quality_rules
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def measures(text):
+    words = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    windows = list(zip(words, words[1:], words[2:]))
+    counts = Counter(windows)
+    covered = {i + j for i, w in enumerate(windows) if counts[w] > 1 for j in range(3)}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text or ""),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+    }
+
+
+def check(rows):
+    for r in rows:
+        wanted = measures(r["text"])
+        assert {k: r[k] for k in wanted} == wanted
+        failed = wanted["n_words"] < 50 or 100 * wanted["n_repeat_words"] > 50 * wanted["n_words"]
+        assert r["base_failed"] == failed
+        assert r["kept"] == (not failed and not r["broken"])
+
+
+def judged(df):
+    names = [*quality_rules.MEASURES, "base_failed", "broken", "kept"]
+    return quality_rules.judge(df).select("row.text", *names).collect()
+
+
+def test_measures_equal_a_plain_count(documents):
+    rows = judged(documents)
+    assert len(rows) == documents.count()
+    check(rows)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\t#|é\U0001f600\x0b\x85", max_size=200), min_size=1, max_size=40))
+def test_measures_of_any_text(spark, texts):
+    check(judged(spark.createDataFrame([(t,) for t in texts], "text string")))
+
+
+def test_texts_whose_hashes_collide_are_compared_by_their_words(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *c: F.lit(5).cast("long") + F.length(c[-1]) * 0)
+    texts = ["a b c d a b c e f", "x y z", "a a a a", "a b c x y z a b c", ""]
+    check(judged(spark.createDataFrame([(t,) for t in texts], "text string")))
+
+
+@pytest.mark.parametrize(
+    "text, broken",
+    [
+        (cases.prose(5, 80), []),
+        (cases.prose(5, 80).replace(" ", " # "), ["symbols"]),
+        (" ".join(f"w{i}!!" for i in range(80)), ["shouting", "stop_words"]),
+        (" ".join(f"word{i}" for i in range(80)), ["stop_words"]),
+        (" ".join(f"the {'long' * 8}{i}" for i in range(80)), ["word_length"]),
+    ],
+)
+def test_each_rule(spark, text, broken):
+    row = quality_rules.judge(spark.createDataFrame([(text,)], "text string")).first()
+    assert row["broken"] == broken and not row["base_failed"]
+
+
+def test_keep_good_keeps_all_columns_of_clean_rows(spark, documents):
+    df = cases.clashing(documents)
+    kept = quality_rules.keep_good(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 3, 8]
+
+
+def test_empty_table(nothing):
+    assert quality_rules.keep_good(nothing).count() == 0
+    assert quality_rules.judge(nothing).count() == 0
+
+
+def test_no_python_runs_on_the_rows(documents):
+    plan = quality_rules.keep_good(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+import zlib
+
+import cases
+
+from tagloom.llm import warc
+from tagloom.llm.warc import _open
+
+PAGES = "page_id long, url string, html string"
+
+
+def rows():
+    long = "<p>é</p>" * 50
+    return [
+        (5, "http://a/1", long), (3, "http://a/2", long), (9, None, long), (None, "u\r\nX: y%", long),
+        (3, "http://a/2", long), (1, "http://b", "short"), (2, "http://b", "short"), (4, "", None),
+        (6, "http://c", ""), (7, "http://d", "x" * 3_000_000), (8, "http://d", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n" * 20),
+        (None, None, "n" * 200), (None, None, "n" * 200),
+    ]
+
+
+def wanted():
+    out = []
+    for page, _, html in rows():
+        data = (html or "").encode()
+        same = [p for p, _, h in rows() if (h or "").encode() == data and p is not None]
+        first = min(same, default=None)
+        refers = first if len(data) >= 100 and first is not None and page != first else None
+        kind = "response" if refers is None else "revisit"
+        out.append((page, len(data), hashlib.sha256(data).hexdigest(), kind, refers))
+    return sorted(out, key=str)
+
+
+def test_round_trip(spark):
+    pages = cases.clashing(spark.createDataFrame(rows(), PAGES).repartition(3))
+    found = warc.round_trip(pages).collect()
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[n] for n in names) for r in found), key=str) == wanted()
+    assert sorted(str(r["url"]) for r in found) == sorted(str(u) for _, u, _ in rows())
+    for r in found:
+        if r["record_type"] == "response":
+            assert hashlib.sha256(r["payload"]).hexdigest() == r["payload_digest"]
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_archives_have_one_member_and_normalised_ones_a_member_per_record(spark):
+    pages = spark.createDataFrame(rows(), PAGES).coalesce(1)
+    written = warc.write_archives(pages)
+    (whole,) = written.collect()
+    store, name = _open(whole["path"])
+    raw = store.open_input_stream(name, compression=None).read()
+    one = zlib.decompressobj(wbits=31)
+    content = one.decompress(raw)
+    assert one.eof and not one.unused_data and whole["n_records"] == len(rows())
+    (done,) = warc.normalise(written).collect()
+    store, name = _open(done["path"])
+    data = store.open_input_stream(name, compression=None).read()
+    assert gzip.decompress(data) == content
+    index = [tuple(map(int, x.split())) for x in store.open_input_stream(f"{name}.idx", compression=None).read().splitlines()]
+    assert len(index) == done["n_records"] == len(rows())
+    for offset, length in index:
+        member = zlib.decompressobj(wbits=31)
+        record = member.decompress(data[offset : offset + length])
+        assert member.eof and not member.unused_data and record.startswith(b"WARC/1.1\r\nWARC-Type")
+
+
+def test_normaliser_reads_any_members_and_small_blocks(monkeypatch):
+    records = [warc.record(i, None, "y" * (i * 700), hashlib.sha256(b"y" * (i * 700)).hexdigest(), None) for i in range(9)]
+    monkeypatch.setattr(warc, "READ", 100)
+    for packed in (gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records)), gzip.compress(records[0]) + gzip.compress(b"".join(records[1:]))):
+        assert list(warc.records_of(io.BytesIO(packed).read)) == records
+    assert list(warc.records_of(io.BytesIO(b"").read)) == []
+
+
+def test_more_digests_than_may_be_sent_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MOST_SENT", 0)
+    found = warc.round_trip(spark.createDataFrame(rows(), PAGES)).collect()
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[n] for n in names) for r in found), key=str) == wanted()
