@@ -85,19 +85,22 @@ def build_requests(
 def read_answers(responses: DataFrame) -> DataFrame:
     """One row per answer: request_id, choice, metadata, answer text, parsed struct or NULL.
 
-    Failed responses and choices without a message have no answer to read.
+    A failed response, or one without choices, has one row without choice and answer; a
+    choice without a message has no answer.
     """
-    choices = responses.filter(~F.coalesce("failed", F.lit(False))).select(
-        "request_id", "metadata", F.posexplode("choices").alias("choice", "c")
+    given = F.when(~F.coalesce("failed", F.lit(False)), F.col("choices"))
+    choices = responses.select(
+        "request_id", "metadata", F.posexplode_outer(given).alias("choice", "c")
     )
     answers = choices.select(
         "request_id", "choice", "metadata", F.col("c.message.content").alias("answer")
-    ).filter("answer IS NOT NULL")
+    )
     return answers.withColumn("parsed", fn.parse_generated("answer"))
 
 
 def ingest_responses(responses: DataFrame, ids: str = "md5") -> tuple[DataFrame, DataFrame]:
-    """(articles, rejected): generated articles, and the answers that could not be read.
+    """(articles, rejected): generated articles, and the answers that could not be read, with
+    the responses that failed and the choices without a message among them.
 
     ``ids="md5"`` derives the article id from request and choice, so a rerun gives
     the same ids; ``ids="uuid"`` draws a random one.

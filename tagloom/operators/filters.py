@@ -1,5 +1,5 @@
 """Row filters and projections. All of them are narrow unless a term list is
-too long to inline."""
+too long to inline; which rows they keep does not depend on that."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import text as fn
 from tagloom.functions.columns import as_column
+from tagloom.operators.ordering import with_row_ids
 from tagloom.session import small_side
 
 # Longest list that is looked up as a set of literals; longer ones become a join.
@@ -30,7 +31,7 @@ def filter_years(df: DataFrame, years: Sequence | None, year: str = "year") -> D
 
 
 def filter_tags_any(
-    df: DataFrame, tags: Sequence[str] | None, field: str = "meshMajor", key: str = "pmid"
+    df: DataFrame, tags: Sequence[str] | None, field: str = "meshMajor"
 ) -> DataFrame:
     """Rows with any wanted tag; they keep all their tags. No tags means no filter."""
     if not tags:
@@ -38,28 +39,27 @@ def filter_tags_any(
     if len(tags) <= INLINE_ITEMS:
         return df.filter(any_tag_in(tags, field))
     wanted = df.sparkSession.createDataFrame([(t,) for t in set(tags)], "_tag STRING")
-    return filter_any_tag_of(df, wanted, "_tag", field, key)
+    return filter_any_tag_of(df, wanted, "_tag", field)
 
 
-def filter_any_tag_of(
-    df: DataFrame, terms: DataFrame, term: str, field: str, key: str
-) -> DataFrame:
+def filter_any_tag_of(df: DataFrame, terms: DataFrame, term: str, field: str) -> DataFrame:
     """Rows with at least one element of ``field`` in the ``terms`` table.
 
     Up to ``INLINE_ITEMS`` terms are looked up row by row, without any shuffle; with
-    more, the keys of the matching rows are found by a join.
+    more, every row gets a number and those of the matching rows are found by a join.
     """
     wanted = terms.select(F.col(term).alias("_tag")).filter("_tag IS NOT NULL").distinct()
     inline = [r[0] for r in wanted.limit(INLINE_ITEMS + 1).collect()]
     if len(inline) <= INLINE_ITEMS:
         return df.filter(any_tag_in(inline, field)) if inline else df.filter(F.lit(False))
+    numbered = with_row_ids(df)
     hits = (
-        df.select(key, F.explode(field).alias("_tag"))
+        numbered.select("_row_id", F.explode(F.array_distinct(field)).alias("_tag"))
         .join(small_side(wanted), "_tag", "left_semi")
-        .select(key)
+        .select("_row_id")
         .distinct()
     )
-    return df.join(hits, key, "left_semi")
+    return numbered.join(hits, "_row_id", "left_semi").drop("_row_id")
 
 
 def article_matches(
@@ -110,10 +110,10 @@ def filter_annotation(df: DataFrame, annotation: str = "annotation") -> DataFram
 
 
 def filter_pred_in_terms(
-    df: DataFrame, terms: DataFrame, term: str = "name", field: str = "tags", key: str = "doc_id"
+    df: DataFrame, terms: DataFrame, term: str = "name", field: str = "tags"
 ) -> DataFrame:
     """Documents with at least one predicted tag among ``terms``."""
-    return filter_any_tag_of(df, terms, term, field, key)
+    return filter_any_tag_of(df, terms, term, field)
 
 
 def project_drop(df: DataFrame) -> DataFrame:

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.operators.ordering import with_row_ids
 from tagloom.session import BROADCAST_ROWS, fits, materialise, scratch_path, small_side
 
+# Size of the names of a dictionary that is looked up within the rows; a larger one is joined.
+LOOKUP_BYTES = 64 << 20
+
 # Rows of one key a task should have to join.
 ROWS_PER_KEY = 1_000_000
 
@@ -52,6 +57,39 @@ def sized_join(
     return salted_join(materialise(large, "large"), small, key, spread_by, rows_per_key)
 
 
+def coded_arrays(
+    df: DataFrame, words: str, dictionary: DataFrame, word: str, code: str, name: str
+) -> DataFrame:
+    """Adds ``name``: for each element of the array column ``words`` its ``code`` in
+    ``dictionary``, NULL where it has none; a NULL array stays NULL.
+
+    While the dictionary is small every batch looks its arrays up where they lie, without a
+    shuffle. Beyond that the elements are joined under a number of their row. Either way
+    rows of equal or NULL keys stay apart.
+    """
+    known = materialise(dictionary.select(F.col(word).alias("_word"), F.col(code).alias("_code")))
+    rows, size = known.agg(F.count("*"), F.sum(F.octet_length("_word"))).first()
+    if rows <= BROADCAST_ROWS and (size or 0) <= LOOKUP_BYTES:
+        sent = df.sparkSession.sparkContext.broadcast(dict(map(tuple, known.collect())))
+
+        def look_up(arrays: pd.Series) -> pd.Series:
+            get = sent.value.get
+            return pd.Series([None if a is None else [get(w) for w in a] for a in arrays])
+
+        return df.withColumn(name, F.pandas_udf(look_up, "array<int>")(words))
+    numbered = with_row_ids(df)
+    pairs = numbered.select("_row_id", F.posexplode(words).alias("_pos", "_word"))
+    slot = F.struct("_pos", F.col("_code").cast("int").alias("_code"))
+    coded = (
+        pairs.join(known, "_word", "left")
+        .groupBy("_row_id")
+        .agg(F.transform(F.array_sort(F.collect_list(slot)), lambda s: s["_code"]).alias(name))
+    )
+    none = F.when(F.col(words).isNotNull(), F.array().cast("array<int>"))
+    joined = numbered.join(coded, "_row_id", "left")
+    return joined.withColumn(name, F.coalesce(name, none)).drop("_row_id")
+
+
 def bucket_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

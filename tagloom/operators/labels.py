@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.operators.joins import sized_join
+from tagloom.operators.joins import coded_arrays, sized_join
 from tagloom.operators.ordering import add_row_index
 from tagloom.session import BROADCAST_ROWS, materialise, small_side
 
@@ -27,34 +27,42 @@ def unknown_labels(df: DataFrame, vocabulary: DataFrame, tags: str = "meshMajor"
     return seen.join(small_side(vocabulary), "label", "left_anti")
 
 
-def encode_labels(
+def with_label_ids(
     df: DataFrame,
     vocabulary: DataFrame,
-    key: str = "pmid",
     tags: str = "meshMajor",
     on_unknown: str = "fail",
+    name: str = "label_ids",
 ) -> DataFrame:
-    """(key, label_ids): ids of each row's tags, in their order, repeats kept.
+    """Adds the ids of each row's tags, in their order, repeats kept; NULL tags have none.
 
     ``on_unknown`` is ``"fail"`` or ``"drop"``. Failing happens inside the job,
     on the first unknown tag, so the data is read once.
     """
-    pairs = df.select(key, F.posexplode_outer(tags).alias("_pos", "label"))
-    coded = pairs.join(small_side(vocabulary), "label", "left")
-    known = F.col("label_id").isNotNull() | F.col("label").isNull()
+    if on_unknown not in ("fail", "drop"):
+        raise ValueError("on_unknown must be 'fail' or 'drop'")
+    coded = coded_arrays(df, tags, vocabulary, "label", "label_id", "_codes")
+    known = F.filter("_codes", lambda c: c.isNotNull())
     if on_unknown == "fail":
-        problem = F.concat(F.lit("unknown label: "), F.col("label"))
-        coded = coded.withColumn(
-            "label_id", F.when(known, F.col("label_id")).otherwise(F.raise_error(problem).cast("int"))
+        lost = F.filter(
+            F.arrays_zip(F.col(tags).alias("tag"), F.col("_codes").alias("code")),
+            lambda p: p["code"].isNull() & p["tag"].isNotNull(),
         )
-    elif on_unknown != "drop":
-        raise ValueError("on_unknown must be 'fail' or 'drop'")
-    slot = F.when(
-        F.col("label_id").isNotNull(), F.struct(F.col("_pos"), F.col("label_id").alias("id"))
-    )
-    return coded.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(slot)), lambda s: s.id).alias("label_ids")
-    )
+        problem = F.concat(F.lit("unknown label: "), F.get(lost, F.lit(0))["tag"])
+        known = F.when(F.size(lost) > 0, F.raise_error(problem).cast("array<int>")).otherwise(known)
+    return coded.withColumn(name, F.coalesce(known, F.array().cast("array<int>"))).drop("_codes")
+
+
+def encode_labels(
+    df: DataFrame,
+    vocabulary: DataFrame,
+    key: str = "pmid",
+    tags: str = "meshMajor",
+    on_unknown: str = "fail",
+) -> DataFrame:
+    """(key, label_ids) of every row, as for :func:`with_label_ids`; rows of equal or NULL key
+    each keep their own."""
+    return with_label_ids(df.select(key, tags), vocabulary, tags, on_unknown).select(key, "label_ids")
 
 
 def decode_labels(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -62,10 +70,19 @@ def decode_labels(coded: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return coded.join(small_side(vocabulary), "label_id")
 
 
+def encode_sparse(
+    df: DataFrame, size: int, ids: str = "label_ids", name: str = "labels"
+) -> DataFrame:
+    """Adds the row's labels as a sparse 0/1 vector: (size, sorted ids without repeats)."""
+    own = F.array_sort(F.array_distinct(F.filter(ids, lambda i: (i >= 0) & (i < size))))
+    return df.withColumn(name, F.struct(F.lit(size).alias("size"), own.alias("indices")))
+
+
 def encode_multi_hot(
     df: DataFrame, size: int, ids: str = "label_ids", name: str = "multi_hot"
 ) -> DataFrame:
-    """Adds the 0/1 vector of length ``size`` of each row's label ids.
+    """Adds the dense 0/1 vector of length ``size`` of each row's label ids, for the few cases
+    that need it; :func:`encode_sparse` is the form for large vocabularies.
 
     The vector is spelled out from the gaps between sorted ids, so the work per
     row grows with ``size + ids``, not with their product.

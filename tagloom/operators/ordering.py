@@ -20,16 +20,21 @@ SHORT_HEAD = 1_000
 ROWS_IN_ONE_TASK = 1_000_000
 
 
+def with_row_ids(df: DataFrame, name: str = "_row_id") -> DataFrame:
+    """``df`` written with a number of its own for each row, in reading order. With it rows of
+    equal or NULL keys stay apart when their parts are joined or grouped again."""
+    return materialise(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+
+
 def written_in_order(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """``df`` range-sorted and written; adds ``_file``, the number of the part it is in,
     and ``_row``, its place in that part. Parts follow each other in ``order``."""
-    written = materialise(df.orderBy(*order), "sorted")
-    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-.*-c(\d+)", 1).cast("long")
-    chunk = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-.*-c(\d+)", 2).cast("long")
-    return written.select(
-        "*",
-        (part * 1_000_000 + chunk).alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
+    placed = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    # The number holds the sorted partition above the place of the row in it.
+    return materialise(placed, "sorted").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        F.shiftright("_at", 33).alias("_file"),
+        F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row"),
     )
 
 
@@ -113,12 +118,13 @@ def top_k(
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= k)
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """Adds ``line_no``, 0-based over all files in path order.
+def number_lines(lines: DataFrame, n: int = -1) -> DataFrame:
+    """Adds ``line_no``, 0-based over all files in path order; with ``n`` only the lines of
+    the splits that hold the first ``n``.
 
     ``lines`` must come straight from ``spark.read.text(...)``. Positions come
     from the split a line was read in, so the lines are neither sorted nor
-    shuffled; only one row per input split is.
+    shuffled; only one row per input split is, and is sent to every executor.
     """
     marked = lines.select(
         "value",
@@ -137,29 +143,27 @@ def number_lines(lines: DataFrame) -> DataFrame:
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
     )
-    return marked.join(splits, ["_file", "_block"]).select(
+    if n != -1:
+        splits = splits.filter(F.col("_start") < n)  # later splits drop out in the join
+    return marked.join(F.broadcast(splits), ["_file", "_block"]).select(
         "value", (F.col("_start") + F.col("_pos") - F.col("_first")).alias("line_no")
     )
 
 
 def head_lines(lines: DataFrame, n: int = -1) -> DataFrame:
     """The first ``n`` lines before any filter; fewer if there are fewer, -1 for all."""
-    numbered = number_lines(lines)
+    numbered = number_lines(lines, n)
     return numbered if n == -1 else numbered.filter(F.col("line_no") < n)
 
 
 def head_rows(df: DataFrame, order: Sequence[str | Column], n: int = -1) -> DataFrame:
-    """The first ``n`` rows in ``order``; -1 for all.
+    """Exactly the first ``n`` rows in ``order``, or all if there are fewer; -1 for all. Of rows
+    that are equal in ``order`` any may be taken.
 
-    A long head by one unique column is a comparison with the key of its last row,
-    found among the keys alone; only then is nothing but keys sorted.
+    A short head is merged from the heads of all tasks, a long one is cut by position.
     """
     if n == -1:
         return df
     if n <= SHORT_HEAD:
         return df.orderBy(*order).limit(n)
-    if len(order) == 1 and isinstance(order[0], str):
-        keys = add_row_index(df.select(order[0]), order, "_idx")
-        last = keys.filter(F.col("_idx") == n - 1).first()
-        return df if last is None else df.filter(F.col(order[0]) <= F.lit(last[0]))
     return add_row_index(df, order, "_idx").filter(F.col("_idx") < n).drop("_idx")

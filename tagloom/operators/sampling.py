@@ -177,15 +177,23 @@ def stratum_cuts(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: i
 
 
 def below_cut(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
-    """Rows whose hash is among the ``k`` smallest of their stratum, with ``_h`` and ``_n``.
+    """The ``k`` rows of the smallest hashes of each stratum, with ``_h`` and ``_n``; of rows of
+    equal key, any.
 
-    Whole rows are compared with the cut of their stratum where they lie; they are
-    neither sorted nor shuffled while there are few enough strata to broadcast.
+    Whole rows are compared with the cut of their stratum where they lie; they are neither
+    sorted nor shuffled while there are few enough strata to broadcast. Only where several
+    rows have the key of a cut, those that are left are counted off.
     """
     known = df.dropna(subset=list(strata))
     cuts = small_side(materialise(stratum_cuts(known, strata, key, k, seed), "cuts"))
+    found = known.select(*strata, seeded_hash(seed, key).alias("_h")).join(cuts, list(strata))
+    found = found.filter(F.col("_h") <= F.col("_cut")).groupBy(*strata).agg(F.count("*").alias("c"))
     hashed = known.withColumn("_h", seeded_hash(seed, key))
-    return hashed.join(cuts, list(strata)).filter(F.col("_h") <= F.col("_cut")).drop("_cut")
+    near = hashed.join(cuts, list(strata)).filter(F.col("_h") <= F.col("_cut")).drop("_cut")
+    if found.filter(F.col("c") > k).isEmpty():
+        return near
+    order = [F.col("_h"), F.col(key)]
+    return top_k(near, strata, order, k, "_rn", spread_by=F.monotonically_increasing_id()).drop("_rn")
 
 
 def sample_stratified(
@@ -207,6 +215,7 @@ def sample_stratified_fill(
     strata = list(strata)
     place = W.partitionBy(*strata).orderBy("_h", key)  # k rows per stratum at most
     kept = below_cut(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
+    kept = materialise(kept, "kept")
     full = kept.filter(F.col("_n") >= k).withColumn("draw", F.col("_rn"))
     short = kept.filter(F.col("_n") < k)
     name = F.concat_ws(":", *[F.col(s) for s in strata])

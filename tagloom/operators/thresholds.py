@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,6 @@ from tagloom.operators.ordering import running_totals
 from tagloom.operators.sampling import SEED, split_val_test
 from tagloom.session import cut_lineage, fits, materialise, small_side
 
-MAX_ROUNDS = 1000
-
-
 @dataclass
 class Tuning:
     """``thresholds`` is (label, threshold); ``f1`` the micro F1 at the start and
@@ -131,14 +129,15 @@ def tune_thresholds(
     n_docs: int,
     vocabulary: DataFrame | None = None,
     grid: int | None = None,
-    max_rounds: int = MAX_ROUNDS,
+    max_rounds: int | None = None,
 ) -> Tuning:
     """Thresholds (``score > threshold``) that maximise micro F1.
 
     Every round lets each label choose, against the same global counts, the
     candidate that raises F1 most (the lowest of equals); from the second round
-    on a threshold cannot fall. It ends when no label moves. Three totals per
-    round reach the driver.
+    on a threshold cannot fall, so a label moves at most once per candidate. It ends when no
+    label moves; with ``max_rounds`` it raises if that takes more rounds. Three totals
+    per round reach the driver.
     """
     if vocabulary is None:
         vocabulary = truth.select("label").union(scores.select("label")).distinct()
@@ -153,7 +152,9 @@ def tune_thresholds(
     one_table = fits(state)  # one row per label, in every round
     totals = _totals(state)
     history = [f1_of(*totals)]
-    for step in range(max_rounds):
+    for step in count():
+        if step == max_rounds:
+            raise RuntimeError(f"thresholds still move after {max_rounds} rounds")
         tp, fp, fn = totals
         current = state.select(
             "label", "threshold", *[F.col(c).alias(f"own_{c}") for c in ("tp", "fp", "fn")]
@@ -197,10 +198,19 @@ def _totals(state: DataFrame, *more: Column) -> tuple[int, ...]:
     return tuple(int(v or 0) for v in row)
 
 
-def apply_label_thresholds(scores: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Scores above their label's threshold."""
+def apply_label_thresholds(
+    scores: DataFrame, thresholds: DataFrame, default: float | None = None
+) -> DataFrame:
+    """Scores above their label's threshold. A label without one takes ``default``; without a
+    default it is an error."""
     limits = small_side(thresholds.select("label", "threshold"))
-    return scores.join(limits, "label").filter(F.col("score") > F.col("threshold")).drop("threshold")
+    if default is None:
+        problem = F.concat(F.lit("no threshold for label: "), F.coalesce(F.col("label").cast("string"), F.lit("NULL")))
+        missing = F.raise_error(problem).cast("double")
+    else:
+        missing = F.lit(float(default))
+    limit = F.when(F.col("threshold").isNull(), missing).otherwise(F.col("threshold"))
+    return scores.join(limits, "label", "left").filter(F.col("score") > limit).drop("threshold")
 
 
 def eval_after_tuning(
@@ -227,9 +237,10 @@ def eval_after_tuning(
     n_val = parts.filter("split = 'val'").count()
     tuning = tune_thresholds(val_truth, val_scores, n_val, vocabulary, grid)
     start = micro_prf(val_truth, val_scores, [start_threshold]).select(F.col("f1").alias("start_f1"))
-    kept = apply_label_thresholds(part(scores, "test"), tuning.thresholds).withColumn(
-        "score", F.lit(1.0)
+    known = part(scores, "test").join(
+        small_side(tuning.thresholds.select("label")), "label", "left_semi"
     )
+    kept = apply_label_thresholds(known, tuning.thresholds).withColumn("score", F.lit(1.0))
     final = micro_prf(part(truth, "test"), kept, [0.5]).select(F.col("f1").alias("tuned_f1"))
     rows = start.select("*", F.lit(1).alias("_one")).join(
         final.select("*", F.lit(1).alias("_one")), "_one"

@@ -13,9 +13,12 @@ from tagloom.operators.predictions import topk_labels
 from tagloom.plans import views
 from tagloom.plans.registry import query
 from tagloom.plans.views import sql
+from tagloom.session import materialise, scratch_path
+from tagloom.sources.records import read_terms
 
 # The year filter of the rare-tag question.
 RARE_YEARS = ("1995", "1996")
+UNWANTED = ("Brand#7", "Brand#11")  # tags that the list of wanted tags leaves out
 
 
 def joined(column: str) -> F.Column:
@@ -59,19 +62,22 @@ def join_decode_labels(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "encode_multi_hot",
     sql(
-        """SELECT pmid, string_agg(hot, '' ORDER BY label_id) AS multi_hot
-           FROM (SELECT pmid, label_id, CASE WHEN list_contains("meshMajor", label) THEN '1' ELSE '0' END AS hot
-                 FROM articles, vocab) GROUP BY pmid""",
+        """SELECT pmid, (SELECT CAST(count(*) AS INTEGER) FROM vocab) AS size,
+                  coalesce(string_agg(CAST(label_id AS VARCHAR), '|' ORDER BY label_id), '') AS indices
+           FROM articles LEFT JOIN hot USING (pmid) GROUP BY pmid""",
         "articles",
         vocab=VOCAB,
+        hot="""SELECT DISTINCT pmid, label_id FROM (SELECT pmid, unnest("meshMajor") AS label FROM articles)
+               JOIN vocab USING (label)""",
     ),
 )
 def encode_multi_hot(spark: SparkSession, d: str) -> DataFrame:
     articles = views.articles(spark, d)
     vocabulary = labels.build_vocabulary(articles)
     coded = labels.encode_labels(articles, vocabulary)
-    hot = labels.encode_multi_hot(coded, vocabulary.count())
-    return hot.select("pmid", F.concat_ws("", F.col("multi_hot").cast("array<string>")).alias("multi_hot"))
+    hot = labels.encode_sparse(coded, vocabulary.count())
+    indices = F.col("labels.indices").cast("array<string>")
+    return hot.select("pmid", F.col("labels.size").alias("size"), joined(indices).alias("indices"))
 
 
 COUNTS = 'SELECT label, count(*) AS n FROM (SELECT unnest("meshMajor") AS label FROM articles) GROUP BY 1'
@@ -82,18 +88,21 @@ def agg_tag_counts(spark: SparkSession, d: str) -> DataFrame:
     return labels.tag_counts(views.articles(spark, d)).orderBy(F.desc("n"), "label")
 
 
-RARE = f"""SELECT label, n FROM (
-    SELECT label, count(*) AS n FROM (SELECT unnest("meshMajor") AS label FROM articles
-                                      WHERE year IN {RARE_YEARS}) GROUP BY 1)
-    WHERE n < (SELECT count(*) // 12 FROM articles)"""
+YEAR_COUNTS = f"""SELECT label, count(*) AS n FROM (
+    SELECT unnest("meshMajor") AS label FROM articles WHERE year IN {RARE_YEARS}) GROUP BY 1"""
+RARE = f"""SELECT label, n FROM ({YEAR_COUNTS}) WHERE label NOT IN {UNWANTED}
+    AND n < (SELECT floor(avg(n)) FROM ({YEAR_COUNTS}))"""
 
 
 def rare(spark: SparkSession, d: str) -> DataFrame:
-    """Tags with fewer examples in two years than a twelfth of all articles."""
-    limit = views.table(spark, d, "orders").count() // 12
+    """Tags of a list that have fewer examples in two years than tags have on average."""
     counts = labels.tag_counts(filter_years(views.articles(spark, d), RARE_YEARS))
-    wanted = views.vocabulary(spark, d)
-    return labels.rare_tags(counts, wanted, limit)
+    counts = materialise(counts, "counts")
+    limit = counts.agg(F.floor(F.avg("n"))).first()[0]
+    path = scratch_path(spark, "wanted")
+    known = views.vocabulary(spark, d).filter(~F.col("label").isin(*UNWANTED))
+    known.unionByName(spark.createDataFrame([("no such tag",)], "label STRING")).write.text(path)
+    return labels.rare_tags(counts, read_terms(spark, path), limit)
 
 
 @query("agg_rare_tags", sql(RARE, "articles"))
@@ -105,15 +114,16 @@ def agg_rare_tags(spark: SparkSession, d: str) -> DataFrame:
     "agg_tag_extremes",
     sql(
         """SELECT 'biggest' AS side, label || '(' || n || ')' AS tag
-           FROM (SELECT * FROM counts ORDER BY n DESC, label LIMIT 5)
+           FROM (SELECT * FROM rare ORDER BY n DESC, label LIMIT 5)
            UNION ALL SELECT 'smallest', label || '(' || n || ')'
-           FROM (SELECT * FROM counts ORDER BY n, label DESC LIMIT 5)""",
+           FROM (SELECT * FROM rare ORDER BY n, label DESC LIMIT 5)""",
         "articles",
-        counts=COUNTS,
+        rare=RARE,
     ),
 )
 def agg_tag_extremes(spark: SparkSession, d: str) -> DataFrame:
-    return labels.tag_extremes(labels.tag_counts(views.articles(spark, d)))
+    """Of the rare tags, those with the most and the fewest examples."""
+    return labels.tag_extremes(rare(spark, d))
 
 
 @query(
@@ -184,6 +194,13 @@ def crossjoin_annotation(spark: SparkSession, d: str) -> DataFrame:
 
 
 RARE_DOCS = 'SELECT label, pmid FROM (SELECT DISTINCT pmid, unnest("meshMajor") AS label FROM articles)'
+SUPPLY = """(SELECT CAST(floor(avg(c)) AS INTEGER) FROM (SELECT count(*) AS c FROM seeds GROUP BY label))"""
+
+
+def supply(seeds: DataFrame) -> int:
+    """How many documents a tag has on average."""
+    counts = seeds.groupBy("label").agg(F.count("*").alias("c"))
+    return int(counts.agg(F.floor(F.avg("c"))).first()[0] or 0)
 
 
 @query("join_seed_docs", sql(f"{RARE_DOCS} WHERE label IN (SELECT label FROM rare)", "articles", rare=RARE))
@@ -194,19 +211,20 @@ def join_seed_docs(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "seeds_per_tag",
     sql(
-        """SELECT label, pmid, CAST(rn AS INTEGER) AS rn, available,
-                  CAST(least(25, available) AS INTEGER) AS used,
-                  CAST(ceil(25.0 / least(25, available)) AS INTEGER) AS n_per_seed
+        f"""SELECT label, pmid, CAST(rn AS INTEGER) AS rn, available,
+                  CAST(least({SUPPLY}, available) AS INTEGER) AS used,
+                  CAST(ceil(CAST({SUPPLY} AS DOUBLE) / least({SUPPLY}, available)) AS INTEGER) AS n_per_seed
            FROM (SELECT label, pmid, row_number() OVER (PARTITION BY label ORDER BY pmid) AS rn,
                         count(*) OVER (PARTITION BY label) AS available FROM seeds)
-           WHERE rn <= 25""",
+           WHERE rn <= {SUPPLY}""",
         "articles",
         seeds=RARE_DOCS,
     ),
 )
 def seeds_per_tag(spark: SparkSession, d: str) -> DataFrame:
-    articles = views.articles(spark, d)
-    return aug.seeds_per_tag(aug.seed_docs(articles, views.vocabulary(spark, d)), 25)
+    """As many seeds for each tag as tags have documents on average: some have fewer."""
+    seeds = materialise(aug.seed_docs(views.articles(spark, d), views.vocabulary(spark, d)), "seeds")
+    return aug.seeds_per_tag(seeds, supply(seeds))
 
 
 def tagged(spark: SparkSession, d: str, scores: DataFrame) -> DataFrame:

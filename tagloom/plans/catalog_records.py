@@ -22,6 +22,7 @@ from tagloom.session import scratch_path
 from tagloom.sources import monthly, records, sinks
 
 YEARS = ("1996", "1998")
+IN_ARRAYS = 5_000  # publications below this id are in files of one array each
 TAGS = ("Brand#3", "Brand#17")
 
 
@@ -37,11 +38,30 @@ FLAT = """SELECT pmid, journal, year, title, "abstractText", array_to_string("me
           FROM articles"""
 
 
-@query("src_articles_jsonl", sql(FLAT, "articles"))
+@query(
+    "src_articles_jsonl",
+    sql(
+        """SELECT pmid, journal, year, 'é ' || title AS title, "abstractText",
+                  array_to_string("meshMajor", '|') AS tags
+           FROM articles WHERE "abstractText" IS NOT NULL
+           UNION ALL SELECT NULL, NULL, NULL, NULL, '{"pmid":"' || pmid || 'é","year":,', NULL
+           FROM articles WHERE "abstractText" IS NULL""",
+        "articles",
+    ),
+)
 def src_articles_jsonl(spark: SparkSession, d: str) -> DataFrame:
+    """Articles without text are written as broken lines and must end in quarantine."""
     path = scratch_path(spark, "articles.jsonl")
-    sinks.write_jsonl(views.articles(spark, d), path)
-    return flat_articles(records.read_articles(spark, path))
+    articles = views.articles(spark, d).withColumn("title", F.concat(F.lit("é "), "title"))
+    whole = F.to_json(F.struct("journal", "meshMajor", "year", "abstractText", "title", "pmid"))
+    broken = F.concat(F.lit('{"pmid":"'), "pmid", F.lit('é","year":,'))
+    articles.select(
+        F.when(F.col("abstractText").isNull(), broken).otherwise(whole).alias("value")
+    ).write.text(path)
+    good, bad = records.read_articles(spark, path)
+    return flat_articles(good).unionByName(
+        bad.select(F.col("line").alias("abstractText")), allowMissingColumns=True
+    )
 
 
 @query(
@@ -72,12 +92,17 @@ def src_articles_wrapped(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_tagged_text(spark: SparkSession, d: str) -> str:
+    """Tagged text as JSON lines; articles without text are broken lines."""
     path = scratch_path(spark, "tagged.jsonl")
-    views.articles(spark, d).filter("abstractText IS NOT NULL").select(
+    record = F.struct(
         F.col("abstractText").alias("text"),
         F.col("meshMajor").alias("tags"),
         F.struct("journal", "year").alias("meta"),
-    ).write.json(path)
+    )
+    broken = F.concat(F.lit('{"text":'), "pmid", F.lit(" é"))
+    views.articles(spark, d).select(
+        F.when(F.col("abstractText").isNull(), broken).otherwise(F.to_json(record)).alias("value")
+    ).write.text(path)
     return path
 
 
@@ -85,14 +110,18 @@ def write_tagged_text(spark: SparkSession, d: str) -> str:
     "src_tagged_text",
     sql(
         """SELECT journal, year, "abstractText" AS text, array_to_string("meshMajor", '|') AS tags
-           FROM articles WHERE "abstractText" IS NOT NULL""",
+           FROM articles WHERE "abstractText" IS NOT NULL
+           UNION ALL SELECT NULL, NULL, '{"text":' || pmid || ' é', NULL
+           FROM articles WHERE "abstractText" IS NULL""",
         "articles",
     ),
 )
 def src_tagged_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = records.read_tagged_text(spark, write_tagged_text(spark, d))
+    rows, bad = records.read_tagged_text(spark, write_tagged_text(spark, d))
     meta = [F.col("meta").getItem(k).alias(k) for k in ("journal", "year")]
-    return rows.select(*meta, "text", joined("tags").alias("tags"))
+    return rows.select(*meta, "text", joined("tags").alias("tags")).unionByName(
+        bad.select(F.col("line").alias("text")), allowMissingColumns=True
+    )
 
 
 @query(
@@ -106,44 +135,66 @@ def src_tagged_text(spark: SparkSession, d: str) -> DataFrame:
 )
 def src_column_stream(spark: SparkSession, d: str) -> DataFrame:
     """Only the tags, as 0/1 vectors; shown in the order of the brand numbers."""
-    rows = records.read_tagged_text(spark, write_tagged_text(spark, d))
-    brands = [f"Brand#{i}" for i in range(1, 26)]
-    places = [sorted(brands).index(b) for b in brands]
+    rows, _ = records.read_tagged_text(spark, write_tagged_text(spark, d))
+    number = F.expr("CAST(substring(label, 7) AS INT) - 1")
+    brands = views.vocabulary(spark, d).select(number.alias("label_id"), "label")
     hot = records.tags(rows, brands)
-    return hot.select(F.concat(*[F.get("tags", F.lit(p)).cast("string") for p in places]).alias("hot"))
+    return hot.select(F.concat_ws("", F.col("tags").cast("array<string>")).alias("hot"))
 
 
 @query(
     "src_publications",
     sql(
-        """SELECT title, abstract, array_to_string(mesh_terms, '|') AS mesh_terms
-           FROM publications""",
+        f"""SELECT title, abstract, array_to_string(mesh_terms, '|') AS mesh_terms
+           FROM publications WHERE title IS NOT NULL OR pub_id < {IN_ARRAYS}
+           UNION ALL SELECT '{{"title":' || pub_id || ' é', NULL, NULL
+           FROM publications WHERE title IS NULL AND pub_id >= {IN_ARRAYS}
+           UNION ALL SELECT '[{{"title":"é"' || chr(10), NULL, NULL""",
         "publications",
     ),
 )
 def src_publications(spark: SparkSession, d: str) -> DataFrame:
-    """Files with one JSON array each, of at most a thousand publications."""
-    path = scratch_path(spark, "publications")
+    """The first publications in files with one JSON array each, one of them broken, all others
+    as JSON lines, those without a title broken."""
+    arrays, lines = scratch_path(spark, "arrays"), scratch_path(spark, "lines")
     record = F.struct("title", "abstract", "mesh_terms", "categories")
-    arrays = (
-        views.publications(spark, d)
-        .groupBy(F.floor(F.col("pub_id") / 1000).alias("file"))
-        .agg(F.to_json(F.collect_list(record)).alias("value"))
+    rows = views.publications(spark, d)
+    rows.filter(F.col("pub_id") < IN_ARRAYS).groupBy(
+        F.floor(F.col("pub_id") / 1000).alias("file")
+    ).agg(F.to_json(F.collect_list(record)).alias("value")).write.partitionBy("file").text(arrays)
+    spark.createDataFrame([('[{"title":"é"', -1)], "value STRING, file LONG").write.mode(
+        "append"
+    ).partitionBy("file").text(arrays)
+    broken = F.concat(F.lit('{"title":'), F.col("pub_id").cast("string"), F.lit(" é"))
+    rows.filter(F.col("pub_id") >= IN_ARRAYS).select(
+        F.when(F.col("title").isNull(), broken).otherwise(F.to_json(record)).alias("value")
+    ).write.text(lines)
+    first, bad_files = records.read_publications(spark, arrays)
+    rest, bad_lines = records.read_publications(spark, lines, "lines")
+    read = first.select("title", "abstract", "mesh_terms").unionByName(rest.drop("categories"))
+    bad = bad_files.unionByName(bad_lines).select(F.col("line").alias("title"))
+    return read.select("title", "abstract", joined("mesh_terms").alias("mesh_terms")).unionByName(
+        bad, allowMissingColumns=True
     )
-    arrays.write.partitionBy("file").text(path)
-    read = records.read_publications(spark, path)
-    return read.select("title", "abstract", joined("mesh_terms").alias("mesh_terms"))
+
+
+SUBSET = records.subset_places(8, 42)[:3]
 
 
 @query(
     "src_parquet_subset",
-    sql("SELECT title, abstract, for_first_level_name FROM grants", "grants"),
+    sql(
+        f"""SELECT title, abstract, for_first_level_name FROM grants
+            WHERE doc_id % 8 IN ({', '.join(map(str, SUBSET))})""",
+        "grants",
+    ),
 )
 def src_parquet_subset(spark: SparkSession, d: str) -> DataFrame:
-    """More files asked for than there are: all rows of the named columns."""
+    """Three of eight files, which hold the documents by their id."""
     path = scratch_path(spark, "grants")
-    views.grants(spark, d).repartition(8, "doc_id").write.parquet(path)
-    return records.read_parquet_subset(spark, path, 1000, ["title", "abstract", "for_first_level_name"])
+    rows = views.grants(spark, d).withColumn("file", F.col("doc_id") % 8)
+    rows.repartition(8, "file").write.partitionBy("file").parquet(path)
+    return records.read_parquet_subset(spark, path, 3, ["title", "abstract", "for_first_level_name"])
 
 
 @query("src_csv_dims", sql("SELECT category_id, name FROM categories", "categories"))
@@ -220,26 +271,70 @@ def src_dataset(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("pmid", "year", F.col("split").cast("string").alias("split"))
 
 
-@query("sink_reports", sql("SELECT p_brand AS label, count(*) AS n FROM lines GROUP BY 1", "lines"))
+@query(
+    "sink_reports",
+    sql(
+        """SELECT 'counts' AS report, p_brand AS name, count(*) AS n, NULL AS tags FROM lines GROUP BY 2
+           UNION ALL
+           SELECT 'thresholds', p_brand, CAST(floor(1000 * (avg(p_size) / 50.0)) AS BIGINT), NULL
+           FROM part GROUP BY 2
+           UNION ALL
+           SELECT 'tags', pmid, len("meshMajor"), CASE WHEN len("meshMajor") = 0 THEN '[]'
+                  ELSE '["' || array_to_string("meshMajor", '","') || '"]' END FROM articles""",
+        "lines", "articles",
+    ),
+)
 def sink_reports(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "counts")
-    sinks.write_report(tag_counts(views.articles(spark, d)), path, "csv")
-    return records.read_csv(spark, path, "label STRING, n BIGINT")
+    """Counts, thresholds and rows with arrays, each written as CSV and read again."""
+    counts, limits, nested = (scratch_path(spark, n) for n in ("counts", "limits", "nested"))
+    articles = views.articles(spark, d)
+    part = views.table(spark, d, "part")
+    sinks.write_report(tag_counts(articles), counts, "csv")
+    threshold = (F.avg("p_size") / F.lit(50.0)).alias("threshold")
+    sinks.write_report(part.groupBy(F.col("p_brand").alias("label")).agg(threshold), limits, "csv")
+    sinks.write_report(articles.select("pmid", "meshMajor"), nested, "csv")
+    none = F.lit(None).cast("string").alias("tags")
+    tags = F.from_json("meshMajor", "array<string>")
+    return (
+        records.read_csv(spark, counts, "label STRING, n BIGINT")
+        .select(F.lit("counts").alias("report"), F.col("label").alias("name"), "n", none)
+        .unionByName(
+            records.read_csv(spark, limits, "label STRING, threshold DOUBLE").select(
+                F.lit("thresholds").alias("report"),
+                F.col("label").alias("name"),
+                F.floor(F.col("threshold") * 1000).alias("n"),
+                none,
+            )
+        )
+        .unionByName(
+            records.read_csv(spark, nested, "pmid STRING, meshMajor STRING").select(
+                F.lit("tags").alias("report"),
+                F.col("pmid").alias("name"),
+                F.size(tags).cast("long").alias("n"),
+                F.col("meshMajor").alias("tags"),
+            )
+        )
+    )
 
 
 @query(
     "ingest_monthly",
-    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+    """SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
               count(*) AS n, min(o_orderkey) AS first_key
-       FROM orders GROUP BY 1, 2""",
+       FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS day FROM orders)
+       GROUP BY 1, 2""",
 )
 def ingest_monthly(spark: SparkSession, d: str) -> DataFrame:
-    """A first run takes one year, a second run the other years."""
+    """A first run takes one year, a second run the other years; some orders have no date."""
     path = scratch_path(spark, "monthly")
-    orders = views.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    monthly.ingest_monthly(orders, "o_orderdate", path, year=1997)
-    monthly.ingest_monthly(orders, "o_orderdate", path)
-    return monthly.read_months(spark, path).groupBy("year", "month").agg(
+    day = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate"))
+    orders = views.table(spark, d, "orders").select("o_orderkey", day.alias("day"))
+    monthly.ingest_monthly(orders, "day", path, year=1997)
+    monthly.ingest_monthly(orders, "day", path)
+    none = F.lit(None).cast("int")
+    undated = monthly.read_undated(spark, path).select("o_orderkey", none.alias("year"), none.alias("month"))
+    months = monthly.read_months(spark, path).select("o_orderkey", "year", "month")
+    return months.unionByName(undated).groupBy("year", "month").agg(
         F.count("*").alias("n"), F.min("o_orderkey").alias("first_key")
     )
 
@@ -346,9 +441,7 @@ def filter_annotation(spark: SparkSession, d: str) -> DataFrame:
 )
 def filter_pred_in_terms(spark: SparkSession, d: str) -> DataFrame:
     terms = views.table(spark, d, "part").filter("p_size = 7").select(F.col("p_brand").alias("name"))
-    kept = flt.filter_pred_in_terms(
-        views.articles(spark, d), terms, field="meshMajor", key="pmid"
-    )
+    kept = flt.filter_pred_in_terms(views.articles(spark, d), terms, field="meshMajor")
     return kept.select("pmid", joined("meshMajor").alias("tags"))
 
 

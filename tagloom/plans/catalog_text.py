@@ -13,11 +13,11 @@ from tagloom.operators import linear
 from tagloom.operators import textfeatures as tx
 from tagloom.operators.predictions import score_batch
 from tagloom.plans import views
-from tagloom.plans.catalog_labels import RARE, RARE_DOCS, rare
+from tagloom.plans.catalog_labels import RARE, RARE_DOCS, SUPPLY, rare, supply
 from tagloom.plans.catalog_metrics import rounded
 from tagloom.plans.registry import query
 from tagloom.plans.views import sql
-from tagloom.session import materialise, scratch_path
+from tagloom.session import materialise, scratch_path, small_side
 from tagloom.streaming import jobs
 
 # The stop words of the registered text queries.
@@ -26,9 +26,9 @@ STOP_WORDS = (
     "she so that the their them there they this to was we were which who will with you"
 ).split()
 
-SETTINGS = tx.TfidfSettings(stop_words=STOP_WORDS)
+# Fixed value: the smallest number of documents a term of the text queries is in.
+SETTINGS = tx.TfidfSettings(stop_words=STOP_WORDS, min_df=5)
 CUT = 0.25  # cosine above which a label is given
-REQUIRED = 25
 
 TOKENS = f"""SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM (
     SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents)"""
@@ -45,14 +45,14 @@ TOKENS = f"""SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos
         tokens=TOKENS,
         vocab="""SELECT token, token_id FROM (
             SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 1 AS token_id
-            FROM tokens GROUP BY token) WHERE token_id <= 2001""",
+            FROM tokens GROUP BY token)""",
         coded="""SELECT doc_id, pos, coalesce(token_id, 1) AS id
             FROM tokens LEFT JOIN vocab USING (token) WHERE pos <= 512""",
     ),
 )
 def encode_fixed_length(spark: SparkSession, d: str) -> DataFrame:
     docs = views.texts(spark, d)
-    coded = tx.encode_fixed_length(docs, tx.token_vocabulary(docs, 2000))
+    coded = tx.encode_fixed_length(docs, tx.token_vocabulary(docs))
     return coded.select(
         "doc_id",
         F.concat_ws(" ", F.col("input_ids").cast("array<string>")).alias("input_ids"),
@@ -77,7 +77,7 @@ TFIDF = {
 @query("features_tfidf", sql("SELECT doc_id, term, round(weight, 6) AS weight FROM weights", **TFIDF))
 def features_tfidf(spark: SparkSession, d: str) -> DataFrame:
     model, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
-    terms = F.broadcast(model.terms.select("term_id", "term"))  # at most max_features rows
+    terms = small_side(model.terms.select("term_id", "term"))
     return rounded(weights.join(terms, "term_id").select("doc_id", "term", "weight"))
 
 
@@ -96,7 +96,7 @@ EMBEDDING = {
 def label_embedding(spark: SparkSession, d: str) -> DataFrame:
     model, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
     betas = linear.label_embedding(weights, views.text_labels(spark, d))
-    terms = F.broadcast(model.terms.select("term_id", "term"))
+    terms = small_side(model.terms.select("term_id", "term"))
     return rounded(betas.join(terms, "term_id").select("label", "term", "beta"))
 
 
@@ -119,7 +119,7 @@ def train_linear_tagger(spark: SparkSession, d: str) -> DataFrame:
     )
     levels = [x.betas.withColumn("level", F.lit(i)) for i, x in enumerate(tagger.levels)]
     betas = reduce(DataFrame.unionByName, levels)
-    terms = F.broadcast(tagger.tfidf.terms.select("term_id", "term"))  # at most max_features rows
+    terms = small_side(tagger.tfidf.terms.select("term_id", "term"))
     named = betas.join(terms, "term_id", "left")
     return named.select("level", "label", F.coalesce("term", F.lit("")).alias("term"), "beta")
 
@@ -173,17 +173,18 @@ TEMPLATE = "About {TOPIC}: {ABSTRACT}"
 
 REQUESTS = f"""SELECT label, pmid, abstractText, meshMajor,
         md5(label || ':' || pmid) AS request_id,
-        CAST(ceil(CAST({REQUIRED} AS DOUBLE) / least({REQUIRED}, available)) AS INTEGER) AS n
+        CAST(ceil(CAST({SUPPLY} AS DOUBLE) / least({SUPPLY}, available)) AS INTEGER) AS n
     FROM (SELECT label, pmid, row_number() OVER (PARTITION BY label ORDER BY pmid) AS rn,
                  count(*) OVER (PARTITION BY label) AS available FROM seeds)
-    JOIN articles USING (pmid) WHERE rn <= {REQUIRED}"""
+    JOIN articles USING (pmid) WHERE rn <= {SUPPLY}"""
 REQUEST_VIEWS = {"rare": RARE, "seeds": f"{RARE_DOCS} WHERE label IN (SELECT label FROM rare)", "requests": REQUESTS}
 
 
 def requests(spark: SparkSession, d: str) -> DataFrame:
-    return aug.build_requests(
-        views.articles(spark, d), materialise(rare(spark, d)), REQUIRED, TEMPLATE, year="2024"
-    )
+    """As many examples wanted as rare tags have documents on average: some have fewer."""
+    articles, tags = materialise(views.articles(spark, d), "articles"), materialise(rare(spark, d))
+    required = supply(aug.seed_docs(articles, tags))
+    return aug.build_requests(articles, tags, required, TEMPLATE, year="2024")
 
 
 @query(
@@ -192,7 +193,7 @@ def requests(spark: SparkSession, d: str) -> DataFrame:
         f"""SELECT request_id, 'gpt-3.5-turbo' AS model, n, CAST(1.5 AS DOUBLE) AS temperature,
                   CAST(1 AS DOUBLE) AS top_p, CAST(0 AS DOUBLE) AS presence_penalty, 'user' AS role,
                   'About ' || label || ': ' || abstractText AS content, label AS featured_tag,
-                  array_to_string(meshMajor, '|') AS tags, {REQUIRED} AS required_examples,
+                  array_to_string(meshMajor, '|') AS tags, {SUPPLY} AS required_examples,
                   abstractText AS existing_example, '2024' AS year
            FROM requests""",
         "articles", **REQUEST_VIEWS,
@@ -215,17 +216,21 @@ def build_requests(spark: SparkSession, d: str) -> DataFrame:
         f"""SELECT md5(request_id || ':0') AS pmid, 'gpt-3.5-turbo' AS journal, '2024' AS year,
                   'a new ' || abstractText AS "abstractText", label || 's story' AS title,
                   array_to_string(meshMajor, '|') AS tags, abstractText AS existing_example,
-                  {REQUIRED} AS required_examples, label AS featured_tag, CAST(NULL AS VARCHAR) AS rejected
+                  {SUPPLY} AS required_examples, label AS featured_tag, CAST(NULL AS VARCHAR) AS rejected
            FROM requests WHERE label <> 'Brand#3'
            UNION ALL
            SELECT request_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, label, unnest(
                ['Sorry, ' || label, '{{"abstract":"' || label || '"}}', '{{"abstract":"a","title":"b"}} done'])
-           FROM requests WHERE label <> 'Brand#3'""",
+           FROM requests WHERE label <> 'Brand#3'
+           UNION ALL
+           SELECT request_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, label, NULL
+           FROM requests WHERE label = 'Brand#3'""",
         "articles", **REQUEST_VIEWS,
     ),
 )
 def ingest_responses(spark: SparkSession, d: str) -> DataFrame:
-    """One good answer per request and three that must be rejected; one tag failed."""
+    """One good answer per request and three that must be rejected; one tag failed, and its
+    requests are listed among the rejected."""
     tag = F.col("metadata.featured_tag")
     good = F.to_json(
         F.struct(

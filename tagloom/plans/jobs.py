@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import agreement, filters, labels, metrics, sampling, taxonomy, thresholds
 from tagloom.operators import augment as aug
 from tagloom.operators import textfeatures as tx
-from tagloom.operators.ordering import head_rows
+from tagloom.operators.ordering import head_rows, with_row_ids
 from tagloom.operators.predictions import Scorer, score_batch
 from tagloom.session import materialise
 from tagloom.sources import records, sinks
@@ -41,12 +41,15 @@ def preprocess(
 ) -> Prepared:
     """Filters, label and token encoding, split, and, with ``path``, the saved dataset.
 
-    Labels come from the filtered, unsplit rows unless a vocabulary is given.
+    Labels come from the filtered, unsplit rows unless a vocabulary is given. Every row that
+    passes the filters is in the result, whatever its ``pmid``. ``max_rows`` takes the first
+    rows in the order in which ``articles`` is read; to cut a file after its first lines,
+    give ``max_rows`` to :func:`tagloom.sources.records.read_articles`.
     """
     if bool(train_years) != bool(test_years):
         raise ValueError("give both train and test years, or neither")
     if max_rows != -1:
-        articles = head_rows(articles, ["pmid"], max_rows)
+        articles = head_rows(with_row_ids(articles), ["_row_id"], max_rows).drop("_row_id")
     years = [*(train_years or []), *(test_years or [])]
     kept = filters.filter_tags_any(filters.filter_years(articles, years), tags)
     # Read once, narrow: the two vocabularies, the encoding and the split all use it.
@@ -56,13 +59,12 @@ def preprocess(
     docs = kept.select(F.col("pmid").alias("doc_id"), F.col("abstractText").alias("text"))
     if token_vocabulary is None:
         token_vocabulary = tx.token_vocabulary(docs)
-    ids = tx.encode_fixed_length(docs, token_vocabulary, length).withColumnRenamed("doc_id", "pmid")
-    coded = labels.encode_labels(kept, label_vocabulary)
     if years:
         split = sampling.split_years(kept, train_years, test_years, "pmid", test_size, seed)
     else:
         split = sampling.split_random(kept, "pmid", 0.05 if test_size is None else test_size, seed)
-    rows = split.join(ids, "pmid").join(coded, "pmid").drop("pmid")
+    coded = labels.with_label_ids(split, label_vocabulary)
+    rows = tx.with_token_ids(coded, token_vocabulary, length, "abstractText").drop("pmid")
     if path is not None:
         sinks.write_dataset(rows, label_vocabulary, path)
     return Prepared(rows, label_vocabulary, token_vocabulary)
@@ -199,9 +201,7 @@ def compare_taggers(
         score_batch(docs, tagger_a, threshold_a), score_batch(docs, tagger_b, threshold_b)
     )
     below = materialise(taxonomy.subtree(descriptors, terms), "subtree")
-    kept = filters.filter_pred_in_terms(
-        materialise(pairs, "pairs"), below, field="a_terms", key="doc_id"
-    )
+    kept = filters.filter_pred_in_terms(materialise(pairs, "pairs"), below, field="a_terms")
     compared = agreement.only_terms(agreement.common_terms(kept))
     result = rows.withColumnRenamed(key, "doc_id").join(compared, "doc_id")
     if path is not None:

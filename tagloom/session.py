@@ -85,11 +85,3 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """
     return F.broadcast(df) if fits(df, max_rows) else df
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` spread over the cores by ``key`` if its files are fewer than the cores.
-
-    Meant before costly work on texts. A table of many files is left as it is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(key) if len(df.inputFiles()) < cores else df

@@ -32,9 +32,12 @@ def ingest_monthly(df: DataFrame, date: str, path: str, year: int | None = None)
 
     Rows go to one folder per month under ``data``, replacing what an earlier,
     interrupted run may have left there. A month counts as finished only when the
-    ledger under ``finished`` names it, which is written last.
+    ledger under ``finished`` names it, which is written last. Rows without a date belong to
+    no month: each run writes those of its ``df`` anew under ``undated``.
     """
     spark = df.sparkSession
+    undated = df.filter(F.col(date).isNull())
+    undated.write.mode("overwrite").parquet(os.path.join(path, "undated"))
     months = with_month(df.filter(F.col(date).isNotNull()), date)
     if year is not None:
         months = months.filter(F.col("year") == year)
@@ -56,6 +59,11 @@ def ingest_monthly(df: DataFrame, date: str, path: str, year: int | None = None)
     return todo
 
 
+def read_undated(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the last run that have no date."""
+    return spark.read.parquet(os.path.join(path, "undated"))
+
+
 def read_months(spark: SparkSession, path: str) -> DataFrame:
     """Rows of finished months."""
     done = F.broadcast(finished_months(spark, path))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +11,62 @@ from pyspark.sql import functions as F
 from tagloom import schemas
 from tagloom.functions.columns import as_column
 from tagloom.operators.filters import filter_article
+from tagloom.operators.labels import encode_multi_hot, encode_sparse, with_label_ids
+from tagloom.operators.ordering import head_lines
+from tagloom.session import materialise
 
 CORRUPT = "_corrupt_record"
 
 
-def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Articles, one JSON object per line."""
-    return spark.read.schema(schemas.ARTICLE).json(path)
+def decoded(lines: DataFrame, encoding: str, value: str = "value") -> DataFrame:
+    """The lines of a text source, which keeps their bytes, read in ``encoding``. Batch and
+    streaming readers share it."""
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        return lines
+    return lines.withColumn(value, F.decode(F.col(value).cast("binary"), encoding))
+
+
+def parse_lines(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
+    """The fields of ``schema`` of JSON lines, and ``_corrupt_record``: the whole line where it
+    is no such object, else NULL. Blank lines are no records."""
+    parsed = F.from_json(
+        value,
+        f"{schema}, {CORRUPT} STRING",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"},
+    )
+    rows = lines.filter(F.trim(F.col(value), F.lit(" \t\r")) != "")
+    rows = rows.select(F.col(value).alias("_line"), parsed.alias("a"))
+    lost = F.col("a").isNull() | F.col(f"a.{CORRUPT}").isNotNull()
+    broken = F.when(lost, F.col("_line"))
+    return rows.select("a.*", broken.alias("_broken")).drop(CORRUPT).withColumnRenamed("_broken", CORRUPT)
+
+
+def good_and_bad(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine): the records, and the text (line) of what is none."""
+    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+
+
+def read_json_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: str,
+    encoding: str = "UTF-8",
+    max_rows: int = -1,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of one JSON object per line, of the first ``max_rows`` lines only if
+    that is given."""
+    lines = spark.read.text(path)
+    if max_rows != -1:
+        lines = head_lines(lines, max_rows).select("value")
+    return good_and_bad(parse_lines(decoded(lines, encoding), schema))
+
+
+def read_articles(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", max_rows: int = -1
+) -> tuple[DataFrame, DataFrame]:
+    """(articles, quarantine), one JSON object per line."""
+    return read_json_lines(spark, path, schemas.ARTICLE, encoding, max_rows)
 
 
 def parse_article_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -35,16 +83,16 @@ def parse_article_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     )
     opening = F.col(value).rlike(r'^\s*\{\s*"articles"\s*:\s*\[\s*$')
     closing = F.col(value).rlike(r"^\s*\]?\s*\}?\s*$")
+    inner = lines.filter(~opening & ~closing).select(F.col(value).alias("_whole"), body.alias("value"))
     parsed = F.from_json(
-        body,
+        "value",
         f"{schemas.ARTICLE}, {CORRUPT} STRING",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"},
     )
-    rows = lines.filter(~opening & ~closing).select(F.col(value).alias("_line"), parsed.alias("a"))
-    broken = F.when(F.col(f"a.{CORRUPT}").isNotNull(), F.col("_line"))
-    return rows.select("a.*", "_line", broken.alias("_broken")).drop(CORRUPT, "_line").withColumnRenamed(
-        "_broken", CORRUPT
-    )
+    rows = inner.select("_whole", parsed.alias("a"))
+    lost = F.col("a").isNull() | F.col(f"a.{CORRUPT}").isNotNull()
+    broken = F.when(lost, F.col("_whole"))
+    return rows.select("a.*", broken.alias("_broken")).drop(CORRUPT).withColumnRenamed("_broken", CORRUPT)
 
 
 def read_articles_wrapped(
@@ -58,30 +106,19 @@ def read_articles_wrapped(
 
     ``quarantine`` has one column, the text of each line that is no article.
     """
-    if encoding.upper() in ("UTF-8", "UTF8"):
-        lines = spark.read.text(path)
-    else:  # the text source always decodes UTF-8; CSV with no separator hit does not
-        lines = (
-            spark.read.schema("value STRING")
-            .option("encoding", encoding)
-            .option("sep", "\u0001")
-            .option("quote", "")
-            .option("escape", "")
-            .option("maxCharsPerColumn", "-1")
-            .csv(path)
-        )
-    parsed = parse_article_lines(lines.filter("value IS NOT NULL"))
-    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+    good, bad = good_and_bad(parse_article_lines(decoded(spark.read.text(path), encoding)))
     return filter_article(good, tags, years), bad
 
 
-def read_tagged_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(text, tags, meta): meta as a map of strings, empty when it is not an object."""
-    rows = spark.read.schema(schemas.TAGGED_TEXT).json(path)
+def read_tagged_text(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
+) -> tuple[DataFrame, DataFrame]:
+    """((text, tags, meta), quarantine): meta as a map of strings, empty when it is not an
+    object."""
+    rows, bad = read_json_lines(spark, path, schemas.TAGGED_TEXT, encoding)
     none = F.create_map().cast("map<string,string>")
     meta = F.coalesce(F.from_json("meta", "map<string,string>"), none)
-    return rows.withColumn("meta", meta)
+    return rows.withColumn("meta", meta), bad
 
 
 def flatten_meta(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -94,19 +131,38 @@ def texts(rows: DataFrame) -> DataFrame:
     return rows.select("text")
 
 
-def tags(rows: DataFrame, vocabulary: Sequence[str] | None = None) -> DataFrame:
-    """Only the tags, as 0/1 vectors over a sorted vocabulary if one is given."""
+def tags(rows: DataFrame, vocabulary: DataFrame | None = None, dense: bool = True) -> DataFrame:
+    """Only the tags, as 0/1 vectors over a vocabulary (label_id, label) if one is given, dense
+    or as (size, indices); tags that the vocabulary does not have are left out."""
     if vocabulary is None:
         return rows.select("tags")
-    hits = [F.array_contains("tags", v).cast("int") for v in sorted(vocabulary)]
-    return rows.select(F.array(*hits).alias("tags"))
+    coded = with_label_ids(rows.select("tags"), vocabulary, "tags", "drop")
+    size = vocabulary.count()
+    hot = encode_multi_hot(coded, size) if dense else encode_sparse(coded, size, name="multi_hot")
+    return hot.select(F.col("multi_hot").alias("tags"))
 
 
-def read_publications(spark: SparkSession, path: str) -> DataFrame:
-    """Publications: parquet, JSON lines, or files that each hold one JSON array."""
-    if path.rstrip("/").endswith(".parquet"):
-        return spark.read.schema(schemas.PUBLICATION).parquet(path)
-    return spark.read.schema(schemas.PUBLICATION).option("multiLine", True).json(path)
+def read_publications(
+    spark: SparkSession, path: str, form: str = "arrays"
+) -> tuple[DataFrame, DataFrame]:
+    """(publications, quarantine): ``form`` is "parquet", "lines" for one JSON object per
+    line, or "arrays" for files that each hold one JSON array, which a task reads whole; of
+    those a malformed file is in quarantine whole."""
+    if form == "parquet" or path.rstrip("/").endswith(".parquet"):
+        rows = spark.read.schema(schemas.PUBLICATION).parquet(path)
+        return rows, spark.createDataFrame([], "line STRING")
+    if form == "lines":
+        return read_json_lines(spark, path, schemas.PUBLICATION)
+    if form != "arrays":
+        raise ValueError("form must be parquet, lines or arrays")
+    read = (
+        spark.read.schema(f"{schemas.PUBLICATION}, {CORRUPT} STRING")
+        .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(path)
+    )
+    # Spark looks no files through for their corrupt records alone: the parsed rows are written.
+    return good_and_bad(materialise(read, "publications"))
 
 
 def read_parquet_subset(
@@ -117,15 +173,18 @@ def read_parquet_subset(
     seed: int | None = 42,
 ) -> DataFrame:
     """The named columns of ``n_files`` files under ``path``: in seeded hash order of
-    their names, or in name order when ``seed`` is None. Capped at the files there are."""
+    their places in name order, or in name order when ``seed`` is None. Names may hold random
+    parts, places do not, so the same data written again gives the same subset. Capped at
+    the files there are."""
+    files = sorted(spark.read.parquet(path).inputFiles())
+    chosen = range(len(files)) if seed is None else subset_places(len(files), seed)
+    rows = spark.read.parquet(*[files[i] for i in chosen[:n_files]])
+    return rows.select(*columns) if columns else rows
 
-    def place(file: str) -> str:
-        name = os.path.basename(file)
-        return name if seed is None else hashlib.md5(f"{seed}:{name}".encode()).hexdigest()
 
-    files = sorted(spark.read.parquet(path).inputFiles(), key=place)
-    rows = spark.read.parquet(*files[:n_files])
-    return rows.select(*columns) if columns else rows
+def subset_places(files: int, seed: int) -> list[int]:
+    """The places 0 to ``files`` - 1 in the order in which a seeded subset takes them."""
+    return sorted(range(files), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -7,13 +7,14 @@ that is replayed after a failure replaces its earlier attempt: exactly once.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tagloom.operators.filters import filter_article
 from tagloom.operators.predictions import Scorer, apply_threshold
-from tagloom.sources.records import CORRUPT, parse_article_lines
+from tagloom.sources.records import decoded, good_and_bad, parse_article_lines
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
@@ -29,21 +30,22 @@ def stream_ingest(
     path: str,
     state: str,
     max_files: int = 1000,
+    tags: Sequence[str] | None = None,
+    years: Sequence | None = None,
+    encoding: str = "ISO-8859-1",
 ) -> StreamingQuery:
-    """Takes in the article files that have arrived at ``source`` since the last run.
+    """Takes in the article files that have arrived at ``source`` since the last run, as
+    :func:`tagloom.sources.records.read_articles_wrapped` reads them.
 
     Good rows go to ``path/articles`` by year, lines that are no article to
-    ``path/quarantine``. Ends when it has caught up.
+    ``path/quarantine``; each of the two reads the batch. Ends when it has caught up.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_article_lines(batch)
-        parsed.persist()
-        good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"))
+        good, bad = good_and_bad(parse_article_lines(decoded(batch, encoding)))
+        good = filter_article(good, tags, years)
         _write_batch(good, os.path.join(path, "articles"), batch_id, "year")
         _write_batch(bad, os.path.join(path, "quarantine"), batch_id)
-        parsed.unpersist()
 
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(source)
     return (

@@ -49,6 +49,16 @@ def test_long_tag_list_becomes_a_join(frame, monkeypatch):
     assert len(inline) == 25
 
 
+@pytest.mark.parametrize("limit", [1, 10_000])
+def test_rows_of_equal_or_null_key_are_judged_one_by_one(frame, monkeypatch, limit):
+    monkeypatch.setattr(flt, "INLINE_ITEMS", limit)
+    df = frame([(1, ["a"]), (None, ["a"]), (2, ["b"]), (1, ["b"]), (3, None)], "pmid int, meshMajor array<string>")
+    kept = sorted([(1, ["a"]), (None, ["a"])], key=repr)
+    assert rows(flt.filter_tags_any(df, ["a", "z"])) == kept
+    terms = df.sparkSession.createDataFrame([("a",), ("z",), (None,)], "name string")
+    assert rows(flt.filter_pred_in_terms(df, terms, field="meshMajor")) == kept
+
+
 def test_category_types(frame):
     df = frame(
         [(1, [("c1", "for"), ("c2", "sdg")]), (2, None), (3, [None, ("c3", "hrcs_rac")])],

@@ -15,8 +15,8 @@ from tagloom.sources import records, sinks
 from tagloom.streaming import jobs as streams
 
 ARTICLES = [
-    ("J", ["COVID-19", "SARS-CoV-2"], "2023", "virus text one", "t1", "1"),
-    ("J", ["Malaria"], "2023", "malaria text", "t2", "2"),
+    ("J", ["Alpine Flora", "Glaciers"], "1987", "meadows below the ice", "t1", "1"),
+    ("J", ["Tides"], "1987", "the tides of a bay", "t2", "2"),
 ]
 
 
@@ -45,6 +45,25 @@ def test_preprocess_splits_in_half(spark, tmp_path):
     assert all(len(r.input_ids) == 6 for r in saved.collect())
 
 
+def test_preprocess_keeps_rows_of_equal_and_null_key(spark):
+    from tagloom import schemas
+
+    data = [("J", ["a", "b"], "1990", "one two", "t", "1"), ("J", ["c"], "1990", "three", "t", "1")]
+    data += [("J", ["a"], "1990", "two", "t", None), ("J", [], "1990", None, "t", None)]
+    out = jobs.preprocess(spark.createDataFrame(data, schemas.ARTICLE), test_size=0.5, length=3).rows
+    got = sorted((r.abstractText or "", r.meshMajor, len(r.label_ids), sum(r.attention_mask)) for r in out.collect())
+    assert got == [("", [], 0, 0), ("one two", ["a", "b"], 2, 2), ("three", ["c"], 1, 1), ("two", ["a"], 1, 1)]
+
+
+def test_preprocess_takes_the_first_rows(spark):
+    from tagloom import schemas
+
+    data = [("J", [f"T{i}"], "1990", f"text {i}", "t", str(100 - i)) for i in range(30)]
+    df = spark.createDataFrame(data, schemas.ARTICLE).coalesce(1)
+    out = jobs.preprocess(df, test_size=0.5, max_rows=7, length=3).rows.collect()
+    assert sorted(r.abstractText for r in out) == [f"text {i}" for i in range(7)]
+
+
 def test_preprocess_by_year_and_tag(spark):
     data = [("J", [f"T{i % 3}", "X"], str(2018 + i % 4), f"text {i}", "t", str(i)) for i in range(40)]
     from tagloom import schemas
@@ -135,26 +154,27 @@ def test_compare_taggers(spark, tmp_path):
 
 
 def write_lines(folder, name, *articles):
-    lines = ['{"articles":['] + [json.dumps(a) + "," if isinstance(a, dict) else a for a in articles]
-    (folder / name).write_text("\n".join(lines))
+    lines = ['{"articles":['] + [json.dumps(a, ensure_ascii=False) + "," if isinstance(a, dict) else a for a in articles]
+    (folder / name).write_bytes("\n".join(lines).encode("latin-1"))
 
 
 def test_stream_ingest_equals_batch_and_takes_files_once(spark, tmp_path):
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()
-    articles = [{"pmid": str(i), "year": str(2020 + i % 2), "meshMajor": ["a"]} for i in range(6)]
-    write_lines(source, "a.json", *articles[:3], "broken,")
+    articles = [{"pmid": str(i), "year": str(2020 + i % 2), "meshMajor": ["é"]} for i in range(6)]
+    write_lines(source, "a.json", *articles[:3], "brokén,")
     write_lines(source, "b.json", *articles[3:5])
     streams.stream_ingest(spark, str(source), out, state, max_files=1).awaitTermination()
     write_lines(source, "c.json", articles[5])
     streams.stream_ingest(spark, str(source), out, state).awaitTermination()
     streams.stream_ingest(spark, str(source), out, state).awaitTermination()
     good, bad = records.read_articles_wrapped(spark, str(source))
+    assert bad.first().line == "brokén,"
     taken = spark.read.parquet(out + "/articles").withColumn("year", F.col("year").cast("string"))
     assert rows(taken, "pmid", "year", "meshMajor") == rows(good, "pmid", "year", "meshMajor")
     assert taken.count() == 6
     refused = spark.read.schema("line string").parquet(out + "/quarantine")
-    assert rows(refused, "line") == rows(bad) == [("broken,",)]
+    assert rows(refused, "line") == rows(bad) == [("brokén,",)]
 
 
 def test_stream_score_equals_batch(spark, tmp_path):

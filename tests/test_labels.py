@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tagloom.operators import labels
+from tagloom.operators import joins, labels
 
 DATA = [("1", ["COVID-19", "SARS-CoV-2", "COVID-19"]), ("2", ["Malaria"]), ("3", [])]
 SCHEMA = "pmid string, meshMajor array<string>"
@@ -76,7 +76,20 @@ def test_annotation_labels_in_many_chunks(spark, monkeypatch):
     assert rows(labels.annotation_tasks(df, vocabulary, labels_per_chunk=5)) == expected
 
 
-def test_small_vocabulary_is_broadcast(frame, spark):
-    df = frame(DATA, SCHEMA)
-    plan = labels.encode_labels(df, labels.build_vocabulary(df))._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+@pytest.mark.parametrize("size", [joins.LOOKUP_BYTES, 0])
+def test_rows_of_equal_or_null_key_keep_their_own_labels(frame, monkeypatch, size):
+    data = [("1", ["a", "b"]), ("1", ["c"]), (None, ["a"]), (None, None), ("2", ["b", None, "b"]), ("3", [])]
+    df = frame(data, SCHEMA)
+    monkeypatch.setattr(joins, "LOOKUP_BYTES", size)
+    coded = labels.encode_labels(df, labels.build_vocabulary(df))
+    assert rows(coded) == sorted(
+        [("1", [0, 1]), ("1", [2]), (None, [0]), (None, []), ("2", [1, 1]), ("3", [])], key=repr
+    )
+    known = labels.build_vocabulary(df).filter("label <> 'b'")
+    with pytest.raises(Exception, match="unknown label: b"):
+        labels.encode_labels(df, known).collect()
+
+
+def test_sparse_labels(spark):
+    df = spark.createDataFrame([([4, 0, 4, 9],), ([],)], "label_ids array<int>")
+    assert [tuple(r.labels) for r in labels.encode_sparse(df, 5).collect()] == [(5, [0, 4]), (5, [])]

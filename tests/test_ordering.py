@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -80,6 +82,20 @@ def test_long_heads(spark, monkeypatch):
     assert ordering.head_rows(df, ["id"], 2).count() == 2 and ordering.head_rows(df, ["id"]).count() == 100
 
 
+@pytest.mark.parametrize("short", [1, 10_000])
+def test_heads_of_repeated_and_null_keys_are_exact(frame, monkeypatch, short):
+    monkeypatch.setattr(ordering, "SHORT_HEAD", short)
+    df = frame([(i % 3 if i % 2 else None, i) for i in range(40)], "k int, v int")
+    assert ordering.head_rows(df, ["k"], 25).count() == 25
+    assert ordering.head_rows(df, [F.col("k").asc_nulls_last(), "v"], 7).filter("k IS NULL").count() == 0
+    assert ordering.head_rows(df, ["k"], 0).count() == 0
+
+
+def test_row_ids_are_distinct(frame):
+    df = frame([(1,)] * 50, "k int")
+    assert ordering.with_row_ids(df).select("_row_id").distinct().count() == 50
+
+
 def test_shards_differ_by_one_at_most(spark):
     got = sampling.shard_contiguous(spark.range(11), ["id"], 4).collect()
     by_shard = {}

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from tagloom.operators import filters, metrics, ordering, predictions, sampling
+from tagloom.operators import filters, labels, metrics, ordering, predictions, sampling, textfeatures
 from tagloom.plans import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -47,8 +47,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_tag_filters_do_not_shuffle(spark):
     rows = views.table(spark, FOLDER, "documents").withColumn("tags", F.array("lang", "source"))
     terms = spark.createDataFrame([("en",), ("src1",)], "name string")
-    assert shuffles(filters.filter_tags_any(rows, ["en"], "tags", "doc_id")) == 0
-    assert shuffles(filters.filter_pred_in_terms(rows, terms, key="doc_id")) == 0
+    assert shuffles(filters.filter_tags_any(rows, ["en"], "tags")) == 0
+    assert shuffles(filters.filter_pred_in_terms(rows, terms)) == 0
 
 
 def test_random_split_does_not_move_rows(spark):
@@ -63,11 +63,24 @@ def test_stratified_sample_does_not_move_texts(spark):
 
 
 def test_numbering_lines_moves_one_row_per_split(spark, tmp_path):
-    (tmp_path / "a.txt").write_text("x\n" * 100)
-    text = plan(ordering.number_lines(spark.read.text(str(tmp_path))))
+    (tmp_path / "a.txt").write_text("x" * 1_000 + "\n" + "y\n" * 100_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        text = plan(ordering.head_lines(spark.read.text(str(tmp_path)), 500))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     assert "rangepartitioning" not in text
 
 
+def test_encoding_labels_and_words_does_not_shuffle(spark):
+    rows = views.texts(spark, FOLDER).withColumn("tags", F.array(F.lit("en")))
+    vocabulary = spark.createDataFrame([(0, "en")], "label_id int, label string")
+    assert shuffles(labels.encode_labels(rows, vocabulary, "doc_id", "tags")) == 0
+    words = spark.createDataFrame([("the", 2)], "token string, token_id int")
+    assert shuffles(textfeatures.encode_fixed_length(rows, words)) == 0
+
+
 def test_top_k_is_cut_before_the_shuffle(spark):
     text = plan(predictions.topk_labels(views.scores_a(spark, FOLDER), 3))
     assert "WindowGroupLimit" in text

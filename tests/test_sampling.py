@@ -102,6 +102,13 @@ def test_filled_sample_has_exactly_k_rows(spark):
     assert sorted((r.s, r.id) for r in got) == sorted(expected)
 
 
+def test_samples_of_repeated_keys_are_exact(spark):
+    df = spark.range(60).selectExpr("id % 30 AS id", "'s' AS s", "'t' AS kind")
+    assert sampling.sample_stratified(df, "s", "id", 5).count() == 5
+    got = sampling.sample_stratified_fill(df, ["s", "kind"], "id", 5).collect()
+    assert sorted(r.draw for r in got) == [1, 2, 3, 4, 5]
+
+
 def test_share_split_is_about_right(spark):
     n = sampling.split_hash_share(spark.range(10000), "id", 0.1).filter("split = 'test'").count()
     assert math.isclose(n, 1000, rel_tol=0.15)

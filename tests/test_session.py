@@ -57,14 +57,3 @@ def test_broadcast_only_what_fits(spark):
     assert "strategy=broadcast" in hinted
     plain = big.join(session.small_side(df, 99), "id")._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" not in plain
-
-
-def test_few_files_are_spread(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    one = spark.read.parquet(path)
-    assert "REPARTITION_BY_COL" in session.spread(one, "id")._jdf.queryExecution().executedPlan().toString()
-    many = str(tmp_path / "many")
-    spark.range(100).repartition(16).write.parquet(many)
-    table = spark.read.parquet(many)
-    assert session.spread(table, "id") is table

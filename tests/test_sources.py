@@ -10,17 +10,19 @@ from tagloom.operators.labels import build_vocabulary
 from tagloom.sources import monthly, records, sinks
 
 ARTICLES = [
-    {"journal": "J1", "meshMajor": ["COVID-19", "SARS-CoV-2"], "year": "2023", "abstractText": "aé", "title": "t1", "pmid": "1"},
-    {"journal": "J2", "meshMajor": ["Malaria"], "year": 2023, "abstractText": "b", "pmid": "2", "title": "t2"},
+    {"journal": "J1", "meshMajor": ["Alpine Flora", "Glaciers"], "year": "1987", "abstractText": "aé", "title": "t1", "pmid": "1"},
+    {"journal": "J2", "meshMajor": ["Tides"], "year": 1987, "abstractText": "b", "pmid": "2", "title": "t2"},
 ]
 
 
 def test_articles_load_text_and_number_years(spark, tmp_path):
     path = tmp_path / "a.jsonl"
     path.write_text("\n".join(json.dumps(a) for a in ARTICLES))
-    got = records.read_articles(spark, str(path)).orderBy("pmid").collect()
-    assert [r.year for r in got] == ["2023", "2023"]
-    assert [r.meshMajor for r in got] == [["COVID-19", "SARS-CoV-2"], ["Malaria"]]
+    good, bad = records.read_articles(spark, str(path))
+    got = good.orderBy("pmid").collect()
+    assert bad.count() == 0
+    assert [r.year for r in got] == ["1987", "1987"]
+    assert [r.meshMajor for r in got] == [["Alpine Flora", "Glaciers"], ["Tides"]]
 
 
 def wrapped(tmp_path, *lines, encoding="latin-1"):
@@ -48,8 +50,8 @@ def test_wrapped_articles_end_in_any_way(spark, tmp_path):
 
 def test_wrapped_articles_are_filtered(spark, tmp_path):
     path = wrapped(tmp_path, *[json.dumps(a) + "," for a in ARTICLES])
-    assert rows(records.read_articles_wrapped(spark, path, tags=["Malaria"])[0], "pmid") == [("2",)]
-    assert records.read_articles_wrapped(spark, path, years=["2022"])[0].count() == 0
+    assert rows(records.read_articles_wrapped(spark, path, tags=["Tides"])[0], "pmid") == [("2",)]
+    assert records.read_articles_wrapped(spark, path, years=["1990"])[0].count() == 0
 
 
 def test_wrapped_articles_in_utf8(spark, tmp_path):
@@ -73,12 +75,16 @@ def test_tagged_text_with_any_meta(spark, tmp_path):
         {"text": "c", "tags": ["y"], "meta": {}},
     ]
     path.write_text("\n".join(json.dumps(r) for r in data))
-    got = records.read_tagged_text(spark, str(path))
+    got, bad = records.read_tagged_text(spark, str(path))
+    assert bad.count() == 0
     assert [(r.text, r.meta) for r in got.orderBy("text").collect()] == [
         ("a", {"g": "1", "n": "2"}), ("b", {}), ("c", {}),
     ]
     assert rows(records.flatten_meta(got, ["g"])) == sorted([("1", "a"), (None, "b"), (None, "c")], key=repr)
-    assert rows(records.tags(got, ["y", "x"])) == [([0, 0],), ([0, 1],), ([1, 0],)]
+    vocabulary = spark.createDataFrame([(0, "x"), (1, "y")], "label_id int, label string")
+    assert rows(records.tags(got, vocabulary)) == [([0, 0],), ([0, 1],), ([1, 0],)]
+    sparse = [tuple(r.tags) for r in records.tags(got, vocabulary, dense=False).collect()]
+    assert sorted(sparse) == [(2, []), (2, [0]), (2, [1])]
     assert records.texts(got).columns == ["text"]
 
 
@@ -125,7 +131,38 @@ def test_terms(spark, tmp_path):
 def test_publications_as_one_array(spark, tmp_path):
     path = tmp_path / "pubs.json"
     path.write_text(json.dumps([{"title": "t", "abstract": "x", "mesh_terms": ["A/b*"]}] * 3))
-    assert records.read_publications(spark, str(path)).count() == 3
+    good, bad = records.read_publications(spark, str(path))
+    assert good.count() == 3 and bad.count() == 0
+
+
+def test_malformed_publications_are_quarantined_whole(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"title": "t"}]))
+    (tmp_path / "b.json").write_text('[{"title": "é"')
+    good, bad = records.read_publications(spark, str(tmp_path))
+    assert rows(good, "title") == [("t",)] and rows(bad) == [('[{"title": "é"',)]
+    (tmp_path / "c.txt").write_text('{"title": "t"}\n{"title": \n\n')
+    good, bad = records.read_publications(spark, str(tmp_path / "c.txt"), "lines")
+    assert rows(good, "title") == [("t",)] and rows(bad) == [('{"title": ',)]
+
+
+def test_malformed_lines_are_quarantined_whole(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    lines = [json.dumps(ARTICLES[0]), "{broken é", "[1]", "7", "", json.dumps(ARTICLES[1])]
+    path.write_bytes("\n".join(lines).encode("latin-1"))
+    good, bad = records.read_articles(spark, str(path), encoding="ISO-8859-1")
+    assert rows(good, "pmid") == [("1",), ("2",)]
+    assert {"{broken é", "7"} <= {r.line for r in bad.collect()} and good.count() + bad.count() == 5
+    good, bad = records.read_articles(spark, str(path), encoding="ISO-8859-1", max_rows=2)
+    assert rows(good, "pmid") == [("1",)] and bad.count() == 1
+    (tmp_path / "t.jsonl").write_text('{"text": "a"}\n{"text": \n')
+    good, bad = records.read_tagged_text(spark, str(tmp_path / "t.jsonl"))
+    assert good.count() == 1 and rows(bad) == [('{"text": ',)]
+
+
+def test_control_characters_do_not_cut_lines(spark, tmp_path):
+    odd = dict(ARTICLES[0], title="a\u0001b")
+    good, bad = records.read_articles_wrapped(spark, wrapped(tmp_path, json.dumps(odd) + ",", "x\u0001y,"))
+    assert good.first().title == "a\u0001b" and rows(bad) == [("x\u0001y,",)]
 
 
 def test_dataset_round_trip(spark, tmp_path):

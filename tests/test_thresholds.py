@@ -60,6 +60,7 @@ def tuned(spark, y, scores, sparse=False, grid=None):
     return [t for _, t in rows(result.thresholds)], result
 
 
+# Golden cases, as matrices of truth and scores with the thresholds to be found.
 ONES = [[1, 1, 1], [1, 1, 1]], [[0.3, 0.5, 0.7], [0.1, 0.8, 0.2]], [0.1, 0.5, 0.2]
 REALISTIC = (
     [[0, 0, 1], [1, 0, 0], [0, 1, 0]],
@@ -114,6 +115,21 @@ def test_apply_label_thresholds_is_strict(spark):
     assert rows(th.apply_label_thresholds(scores, limits), "doc_id", "label") == [(1, "b"), (2, "a")]
 
 
+def test_labels_without_threshold(spark):
+    scores = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.6), (2, "b", 0.2)], "doc_id int, label string, score double")
+    limits = spark.createDataFrame([("a", 0.4)], "label string, threshold double")
+    assert rows(th.apply_label_thresholds(scores, limits, 0.3), "doc_id", "label") == [(1, "a"), (1, "b")]
+    with pytest.raises(Exception, match="no threshold for label: b"):
+        th.apply_label_thresholds(scores, limits).collect()
+
+
+def test_too_few_rounds_are_an_error(spark):
+    y, scores, _ = REALISTIC
+    truth, scored, names = tables(spark, np.array(y), np.array(scores))
+    with pytest.raises(RuntimeError):
+        th.tune_thresholds(truth, scored, 3, names, max_rounds=0)
+
+
 def test_tuning_pays_off_on_the_held_out_part(spark):
     r = np.random.default_rng(9)
     y = (r.random((200, 4)) < 0.3).astype(int)
