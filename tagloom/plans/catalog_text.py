@@ -100,28 +100,110 @@ def label_embedding(spark: SparkSession, d: str) -> DataFrame:
     return rounded(betas.join(terms, "term_id").select("label", "term", "beta"))
 
 
-@query("cluster_labels")
+def clusters_sql(vectors: str, per_cluster: int, name: str, rounds: int = linear.CLUSTER_ROUNDS) -> dict[str, str]:
+    """The clustering of ``vectors`` (label, term, beta), each round spelled out; (label,
+    cluster) is called ``name``. Further rounds change nothing once no label moves."""
+    steps = {
+        f"{name}_0": f"""SELECT label, CAST((row_number() OVER (ORDER BY label) - 1)
+                * CAST(ceil(count(*) OVER () / {per_cluster}.0) AS BIGINT) // count(*) OVER () AS INTEGER) AS cluster
+            FROM (SELECT DISTINCT label FROM {vectors})"""
+    }
+    for i in range(rounds):
+        steps[f"{name}_centre{i}"] = f"""SELECT cluster, term,
+                total / sqrt(sum(total * total) OVER (PARTITION BY cluster)) AS centre
+            FROM (SELECT cluster, term, sum(beta) AS total FROM {vectors} JOIN {name}_{i} USING (label)
+                  GROUP BY 1, 2)"""
+        following = name if i + 1 == rounds else f"{name}_{i + 1}"
+        steps[following] = f"""SELECT label, cluster FROM (
+            SELECT label, cluster, row_number() OVER (PARTITION BY label ORDER BY score DESC, cluster) AS rn
+            FROM (SELECT label, cluster, sum(beta * centre) AS score
+                  FROM {vectors} JOIN {name}_centre{i} USING (term) GROUP BY 1, 2)) WHERE rn = 1"""
+    return steps
+
+
+CLUSTERED = {**EMBEDDING, **clusters_sql("betas", 5, "members")}
+
+
+@query("cluster_labels", sql("SELECT label, cluster FROM members", "text_labels", **CLUSTERED))
 def cluster_labels(spark: SparkSession, d: str) -> DataFrame:
     _, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
     betas = linear.label_embedding(weights, views.text_labels(spark, d))
     return linear.cluster_labels(betas, per_cluster=5)
 
 
-@query("train_linear_tagger")
+def training_sql(own: str, parents: str, name: str, settings: linear.TrainSettings) -> dict[str, str]:
+    """The gradient steps of one level, spelled out: the scorers ``name`` (label, term, beta) of
+    the labels that ``own`` (doc_id, label) gives to documents, in the clusters ``parents``."""
+    steps = {
+        f"{name}_pairs": f"""SELECT doc_id, m.label, max(CASE WHEN m.label = o.label THEN 1.0 ELSE 0.0 END) :: DOUBLE AS y
+            FROM {own} o JOIN {parents} p ON o.label = p.label JOIN {parents} m ON m.cluster = p.cluster
+            GROUP BY 1, 2""",
+        f"{name}_features": f"""SELECT doc_id, term, weight FROM weights
+            UNION ALL SELECT DISTINCT doc_id, '', CAST(1 AS DOUBLE) FROM {own}""",
+        f"{name}_sizes": f"SELECT label, count(*) AS size FROM {name}_pairs GROUP BY 1",
+        f"{name}_r0": f"SELECT doc_id, label, 0.5 - y AS r FROM {name}_pairs",
+    }
+    keep = 1.0 - settings.rate * settings.decay
+    for i in range(settings.steps):
+        if i:
+            steps[f"{name}_r{i}"] = f"""SELECT p.doc_id, p.label,
+                    1.0 / (1.0 + exp(-sum(f.weight * b.beta))) - max(p.y) AS r
+                FROM {name}_pairs p JOIN {name}_features f ON f.doc_id = p.doc_id
+                JOIN {name}_b{i} b ON b.label = p.label AND b.term = f.term GROUP BY 1, 2"""
+        steps[f"{name}_g{i}"] = f"""SELECT r.label, f.term, sum(r.r * f.weight) / any_value(s.size) AS g
+            FROM {name}_r{i} r JOIN {name}_features f ON f.doc_id = r.doc_id
+            JOIN {name}_sizes s ON s.label = r.label GROUP BY 1, 2"""
+        steps[f"{name}_b{i + 1}"] = (
+            f"""SELECT g.label, g.term, {keep!r} * b.beta - {settings.rate!r} * g AS beta
+                FROM {name}_g{i} g JOIN {name}_b{i} b ON b.label = g.label AND b.term = g.term"""
+            if i
+            else f"SELECT label, term, -{settings.rate!r} * g AS beta FROM {name}_g0"
+        )
+    steps[name] = f"""SELECT label, term, beta FROM {name}_b{settings.steps}
+        WHERE abs(beta) >= {settings.min_weight!r} OR term = ''"""
+    return steps
+
+
+PER_CLUSTER = 6  # of the trained taggers: few enough for a tree of two levels
+
+
+def tree_sql(settings: linear.TrainSettings) -> dict[str, str]:
+    """Label tree and scorers of a trained tagger: ``low`` for labels, ``high`` for clusters."""
+    return {
+        **EMBEDDING,
+        **clusters_sql("betas", PER_CLUSTER, "members"),
+        "low_parents": "SELECT label, '0:' || cluster AS cluster FROM members",
+        "own_labels": "SELECT DISTINCT doc_id, label FROM text_labels",
+        "own_clusters": """SELECT DISTINCT doc_id, cluster AS label
+            FROM own_labels JOIN low_parents USING (label)""",
+        "high_parents": "SELECT DISTINCT cluster AS label, '1:0' AS cluster FROM low_parents",
+        **training_sql("own_labels", "low_parents", "low", settings),
+        **training_sql("own_clusters", "high_parents", "high", settings),
+    }
+
+
+def trained(spark: SparkSession, d: str, settings: linear.TrainSettings, **more) -> linear.LinearTagger:
+    return linear.train_linear_tagger(
+        views.texts(spark, d), views.text_labels(spark, d), SETTINGS, settings, PER_CLUSTER, **more
+    )
+
+
+@query(
+    "train_linear_tagger",
+    sql(
+        """SELECT 0 AS level, label, term, round(beta, 6) AS beta FROM high
+           UNION ALL SELECT 1, label, term, round(beta, 6) FROM low""",
+        "text_labels", **tree_sql(linear.TrainSettings()),
+    ),
+)
 def train_linear_tagger(spark: SparkSession, d: str) -> DataFrame:
     """Betas of a tagger trained on all documents, with their tree level and term."""
-    tagger = linear.train_linear_tagger(
-        views.texts(spark, d),
-        views.text_labels(spark, d),
-        SETTINGS,
-        linear.TrainSettings(steps=3, rate=4.0),
-        per_cluster=6,
-    )
+    tagger = trained(spark, d, linear.TrainSettings())
     levels = [x.betas.withColumn("level", F.lit(i)) for i, x in enumerate(tagger.levels)]
     betas = reduce(DataFrame.unionByName, levels)
     terms = small_side(tagger.tfidf.terms.select("term_id", "term"))
     named = betas.join(terms, "term_id", "left")
-    return named.select("level", "label", F.coalesce("term", F.lit("")).alias("term"), "beta")
+    return rounded(named.select("level", "label", F.coalesce("term", F.lit("")).alias("term"), "beta"))
 
 
 BEST = {
@@ -132,8 +214,6 @@ BEST = {
         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn
         FROM scores) WHERE rn <= 5""",
 }
-BEST_ROWS = sql("SELECT doc_id, label, round(score, 6) AS score FROM best", "text_labels", **BEST)
-
 
 def tagger(spark: SparkSession, d: str) -> linear.LinearTagger:
     return linear.embedding_tagger(
@@ -141,11 +221,30 @@ def tagger(spark: SparkSession, d: str) -> linear.LinearTagger:
     )
 
 
-@query("score_linear", BEST_ROWS)
+@query(
+    "score_linear",
+    sql(
+        """SELECT doc_id, label, round(score, 6) AS score FROM (
+             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM (
+               SELECT doc_id, label, sum(weight * beta) AS score
+               FROM near JOIN members ON near.cluster = members.cluster
+               JOIN weights USING (doc_id) JOIN betas USING (label, term) GROUP BY 1, 2)) WHERE rn <= 5""",
+        "text_labels", **CLUSTERED,
+        centres="""SELECT cluster, term, sum(beta) / any_value(size) AS beta
+            FROM betas JOIN members USING (label)
+            JOIN (SELECT cluster, count(*) AS size FROM members GROUP BY 1) USING (cluster) GROUP BY 1, 2""",
+        near="""SELECT doc_id, cluster FROM (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, CAST(cluster AS VARCHAR)) AS rn
+            FROM (SELECT doc_id, cluster, sum(weight * beta) AS score
+                  FROM weights JOIN centres USING (term) GROUP BY 1, 2)) WHERE rn <= 2""",
+    ),
+)
 def score_linear(spark: SparkSession, d: str) -> DataFrame:
+    """The labels of each document's two nearest clusters."""
     _, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
     betas = materialise(linear.label_embedding(weights, views.text_labels(spark, d)))
-    return rounded(linear.score_linear(weights, betas, k=5))
+    clusters = materialise(linear.cluster_labels(betas, per_cluster=5), "clusters")
+    return rounded(linear.score_linear(weights, betas, k=5, clusters=clusters, beam=2))
 
 
 TAGGED = sql(
@@ -161,10 +260,36 @@ def score_batch_query(spark: SparkSession, d: str) -> DataFrame:
     return tags.select("doc_id", F.concat_ws("|", "tags").alias("tags"))
 
 
-@query("model_save_load", BEST_ROWS)
+# A few steps: this question is about the saved tree, not about how far it is trained.
+SHORT = linear.TrainSettings(steps=4)
+
+
+def level_sql(scorers: str) -> str:
+    return f"""SELECT doc_id, label, 1.0 / (1.0 + exp(-sum(weight * beta))) AS score
+        FROM (SELECT doc_id, term, weight FROM weights
+              UNION ALL SELECT doc_id, '', CAST(1 AS DOUBLE) FROM documents) f
+        JOIN {scorers} USING (term) GROUP BY 1, 2"""
+
+
+@query(
+    "model_save_load",
+    sql(
+        """SELECT doc_id, label, round(score, 6) AS score FROM (
+             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM (
+               SELECT doc_id, s.label, a.score * s.score AS score FROM above a
+               JOIN low_parents p ON p.cluster = a.label
+               JOIN low_scores s USING (doc_id) WHERE s.label = p.label)) WHERE rn <= 5""",
+        "text_labels", **tree_sql(SHORT),
+        low_scores=level_sql("low"),
+        above=f"""SELECT doc_id, label, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn
+            FROM ({level_sql("high")})) WHERE rn <= 2""",
+    ),
+)
 def model_save_load(spark: SparkSession, d: str) -> DataFrame:
+    """A trained tree with two levels, saved, loaded, and followed along its two best clusters."""
     path = scratch_path(spark, "tagger")
-    linear.save_tagger(tagger(spark, d), path)
+    linear.save_tagger(trained(spark, d, SHORT, only_topk=5, beam=2), path)
     loaded = linear.load_tagger(spark, path)
     return rounded(loaded.score(views.texts(spark, d)))
 
