@@ -134,32 +134,32 @@ def cluster_labels(spark: SparkSession, d: str) -> DataFrame:
 def training_sql(own: str, parents: str, name: str, settings: linear.TrainSettings) -> dict[str, str]:
     """The gradient steps of one level, spelled out: the scorers ``name`` (label, term, beta) of
     the labels that ``own`` (doc_id, label) gives to documents, in the clusters ``parents``."""
+    keep = 1.0 - settings.rate * settings.decay
     steps = {
-        f"{name}_pairs": f"""SELECT doc_id, m.label, max(CASE WHEN m.label = o.label THEN 1.0 ELSE 0.0 END) :: DOUBLE AS y
+        f"{name}_pairs": f"""SELECT row_number() OVER () AS pair, * FROM (
+            SELECT doc_id, m.label, max(CASE WHEN m.label = o.label THEN 1.0 ELSE 0.0 END) :: DOUBLE AS y
             FROM {own} o JOIN {parents} p ON o.label = p.label JOIN {parents} m ON m.cluster = p.cluster
-            GROUP BY 1, 2""",
+            GROUP BY 1, 2)""",
         f"{name}_features": f"""SELECT doc_id, term, weight FROM weights
             UNION ALL SELECT DISTINCT doc_id, '', CAST(1 AS DOUBLE) FROM {own}""",
-        f"{name}_sizes": f"SELECT label, count(*) AS size FROM {name}_pairs GROUP BY 1",
-        f"{name}_r0": f"SELECT doc_id, label, 0.5 - y AS r FROM {name}_pairs",
+        f"{name}_keys": f"""SELECT label, term, row_number() OVER () AS key, any_value(size) AS size
+            FROM {name}_pairs JOIN {name}_features USING (doc_id)
+            JOIN (SELECT label, count(*) AS size FROM {name}_pairs GROUP BY 1) USING (label)
+            GROUP BY label, term""",
+        f"{name}_cells": f"""SELECT pair, key, weight, size FROM {name}_pairs
+            JOIN {name}_features USING (doc_id) JOIN {name}_keys USING (label, term)""",
+        f"{name}_r0": f"SELECT pair, 0.5 - y AS r FROM {name}_pairs",
+        f"{name}_b0": f"SELECT key, CAST(0 AS DOUBLE) AS beta FROM {name}_keys",
     }
-    keep = 1.0 - settings.rate * settings.decay
     for i in range(settings.steps):
         if i:
-            steps[f"{name}_r{i}"] = f"""SELECT p.doc_id, p.label,
-                    1.0 / (1.0 + exp(-sum(f.weight * b.beta))) - max(p.y) AS r
-                FROM {name}_pairs p JOIN {name}_features f ON f.doc_id = p.doc_id
-                JOIN {name}_b{i} b ON b.label = p.label AND b.term = f.term GROUP BY 1, 2"""
-        steps[f"{name}_g{i}"] = f"""SELECT r.label, f.term, sum(r.r * f.weight) / any_value(s.size) AS g
-            FROM {name}_r{i} r JOIN {name}_features f ON f.doc_id = r.doc_id
-            JOIN {name}_sizes s ON s.label = r.label GROUP BY 1, 2"""
-        steps[f"{name}_b{i + 1}"] = (
-            f"""SELECT g.label, g.term, {keep!r} * b.beta - {settings.rate!r} * g AS beta
-                FROM {name}_g{i} g JOIN {name}_b{i} b ON b.label = g.label AND b.term = g.term"""
-            if i
-            else f"SELECT label, term, -{settings.rate!r} * g AS beta FROM {name}_g0"
-        )
-    steps[name] = f"""SELECT label, term, beta FROM {name}_b{settings.steps}
+            steps[f"{name}_r{i}"] = f"""SELECT pair, 1.0 / (1.0 + exp(-m)) - y AS r
+                FROM (SELECT pair, sum(weight * beta) AS m FROM {name}_cells
+                      JOIN {name}_b{i} USING (key) GROUP BY 1) JOIN {name}_pairs USING (pair)"""
+        steps[f"{name}_b{i + 1}"] = f"""SELECT key, {keep!r} * beta - {settings.rate!r} * g AS beta
+            FROM (SELECT key, sum(r * weight) / any_value(size) AS g FROM {name}_cells
+                  JOIN {name}_r{i} USING (pair) GROUP BY 1) JOIN {name}_b{i} USING (key)"""
+    steps[name] = f"""SELECT label, term, beta FROM {name}_b{settings.steps} JOIN {name}_keys USING (key)
         WHERE abs(beta) >= {settings.min_weight!r} OR term = ''"""
     return steps
 
