@@ -6,13 +6,13 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a side may have before it is joined by shuffle instead of broadcast.
-# Dimension rows here are a few dozen bytes, so this keeps a broadcast well
-# under 200 MB.
+# Rows and bytes a side may have before it is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 << 20
 
 
 def build_session(app: str = "tagloom", master: str | None = None, **conf) -> SparkSession:
@@ -72,9 +72,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(df: DataFrame) -> Column:
+    """About how many bytes a row takes: 16 for each column, and the length of texts and of
+    nested values as JSON."""
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(F.struct(column))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        width = width + F.coalesce(F.octet_length(column), F.lit(0))
+    return width
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows that take about ``max_bytes`` at most; the
+    bytes are added up only if the rows, of which no more than needed are counted, fit."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        return False
+    return (df.agg(F.sum(_width(df))).first()[0] or 0) <= max_bytes
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

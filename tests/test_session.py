@@ -57,3 +57,10 @@ def test_broadcast_only_what_fits(spark):
     assert "strategy=broadcast" in hinted
     plain = big.join(session.small_side(df, 99), "id")._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" not in plain
+
+
+def test_wide_rows_do_not_fit(spark):
+    wide = spark.range(10).selectExpr("repeat('x', 1000) AS a", "array(repeat('y', 500)) AS b", "CAST(NULL AS STRING) AS c")
+    assert session.fits(wide, 10) and not session.fits(wide, 9)
+    assert session.fits(wide, 10, 20_000) and not session.fits(wide, 10, 14_000)
+    assert session.fits(wide.limit(0), 0, 0)
