@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import map_slices, small_batches
 from tagloom.session import materialise
 
-# A word ends a chunk if its hash is less than those of so many words before and after it.
+# A word ends a chunk if no hash of so many words before and after it is less. Of equal ones
+# each ends a chunk, so words that are said over and over are cut alike wherever they start.
 NEIGHBOURS = 3
 
 # Words after which a chunk ends in any case.
@@ -67,7 +68,7 @@ class Chunks:
         least = np.ones(n, bool)
         padded = np.concatenate([[_MASK + 1] * NEIGHBOURS, hashes, [_MASK + 1] * NEIGHBOURS])
         for d in range(1, NEIGHBOURS + 1):
-            least &= hashes < padded[NEIGHBOURS - d : NEIGHBOURS - d + n]
+            least &= hashes <= padded[NEIGHBOURS - d : NEIGHBOURS - d + n]
             least &= hashes <= padded[NEIGHBOURS + d : NEIGHBOURS + d + n]
         bounds = np.unique(np.concatenate([[0], np.flatnonzero(least) + 1, [n]]))
         if (np.diff(bounds) > LONGEST).any():

@@ -77,6 +77,18 @@ def test_cut_texts_hold_a_passage_once(spark):
     assert all(texts[i] == before[i] for i in range(40))
 
 
+def test_words_said_over_and_over_are_found(spark):
+    rows = []
+    for period in (1, 2, 3, 5):
+        passage = " ".join((["ka", "lo", "mi", "ru", "te"][:period] * 80)[:70])
+        for c in (0, 1):
+            at = 10 * period + c
+            rows.append((at, f"{cases.prose(at, 33 + 8 * c)} {passage} {cases.prose(700 + at, 25 + 6 * c)}"))
+    got = chunks.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["doc_id"] % 10} == {11, 21, 31, 51}
+    assert all(r["n_words"] >= 40 for r in got if r["doc_id"] % 10)
+
+
 def test_awkward_rows(documents, nothing):
     df = cases.clashing(documents)
     cut = chunks.cut_repeats(df)
