@@ -42,8 +42,11 @@ _letters = re.compile(r"[^\W\d_]+").findall
 
 
 def prepared(text: str | None) -> str:
-    """Lower-cased words of letters with single spaces around them; empty without letters."""
-    words = _letters((text or "").lower())
+    """Lower-cased words of letters with single spaces around them; empty without letters.
+    Figures such as one half count as letters of a word, but don't make a text by themselves."""
+    if not any(map(str.isalpha, text or "")):
+        return ""
+    words = _letters(text.lower())
     return f"{PAD} {' '.join(words)} " if words else ""
 
 

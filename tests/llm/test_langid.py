@@ -122,3 +122,8 @@ def test_empty_tables(spark, table):
 def test_a_small_size_limit_drops_the_rarest(table, monkeypatch):
     monkeypatch.setattr(langid, "MAX_MODEL_BYTES", 2 * 20 * 300)
     assert sum(len(t.hashes) for t in langid.train(table).grams[-1:]) <= 300
+
+
+def test_figures_are_no_letters():
+    assert langid.prepared("½ ² ⅷ 7") == langid.prepared(None) == ""
+    assert "abc" in langid.prepared("½ ABC")
