@@ -64,7 +64,8 @@ def index_bytes(rules: Sequence[tuple[str, str, str]], hosts: Sequence[str]) ->
     keyed = sorted((xxhash.xxh64_intdigest(s.encode()), s.encode(), kind) for s, kind in entries)
     strings = [s for _, s, _ in keyed]
     lengths = {len(p) for _, _, p in rules} | ({0} if hosts else set())
-    head = json.dumps({"n": len(keyed), "lengths": sorted(lengths)}).encode() + b"\n"
+    labels = max((h.count(".") + 1 for h in [*hosts, *(h for _, h, _ in rules)]), default=1)
+    head = json.dumps({"n": len(keyed), "lengths": sorted(lengths), "labels": labels}).encode() + b"\n"
     head = head.rjust(-(-len(head) // 8) * 8)
     parts = [
         np.array([d for d, _, _ in keyed], np.uint64),
@@ -81,7 +82,7 @@ class Index:
         with open(path, "rb") as file:
             line = file.readline()
         head, at = json.loads(line), len(line)
-        self.n, self.lengths = head["n"], head["lengths"]
+        self.n, self.lengths, self.labels = head["n"], head["lengths"], head["labels"]
         whole = np.memmap(path, np.uint8, "r")
         self.digests = whole[at : at + 8 * self.n].view(np.uint64)
         at += 8 * self.n
@@ -91,9 +92,10 @@ class Index:
         self.strings = whole[at + self.n :]
 
     def candidates(self, host: str, path: str) -> list[str]:
-        """All strings under which a fitting rule can be stored: the host and its parents,
-        each with the starts of the path that are as long as some rule's."""
-        labels = host.split(".")
+        """All strings under which a fitting rule can be stored: the host's endings of as many
+        labels as some rule has, each with the starts of the path that are as long as some
+        rule's."""
+        labels = host.rsplit(".", self.labels)[-self.labels :]
         hosts = [".".join(labels[i:]) for i in range(len(labels))]
         starts = [path[:n] for n in self.lengths if n <= len(path)]
         return [h + s for h in hosts for s in starts]

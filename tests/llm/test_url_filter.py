@@ -12,6 +12,7 @@ URLS = [
     "https://WWW.Example.COM/en/?q#f", "http://b.net/es/", "http://b.net/es", "http://net/fr/x",
     "http://xnet/fr/x", "http://x.com", "http://x.com?a=/en/", "http://x.com#/en/", "http://x.com/",
     "ftp://x.org/a://b/c", "no scheme", "", None, "://", "http:///en/", "http://spam-farm.example.org/x",
+    "http://" + "a." * 200_000 + "net/es/" + "x" * 200_000, "http://" + "." * 200_000,
     "http://a.spam-farm.example.org", "http://É.COM/é", "http://x.com:80/en/", "http://..com//", "a://b\n.com/x\ny",
 ]
 
