@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import agreement, filters, labels, metrics, sampling, taxonomy, thresholds
 from tagloom.operators import augment as aug
 from tagloom.operators import textfeatures as tx
-from tagloom.operators.ordering import head_rows, with_row_ids
+from tagloom.operators.ordering import head_rows, number_lines, with_row_ids
 from tagloom.operators.predictions import Scorer, score_batch
 from tagloom.session import materialise
 from tagloom.sources import records, sinks
@@ -207,3 +207,55 @@ def compare_taggers(
     if path is not None:
         sinks.write_report(result, path, "csv")
     return result
+
+
+def convert_articles(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    tags: Sequence[str] | None = None,
+    years: Sequence | None = None,
+    encoding: str = "ISO-8859-1",
+) -> DataFrame:
+    """Wrapped articles with a wanted tag and year, as JSON lines; returns the quarantine."""
+    articles, bad = records.read_articles_wrapped(spark, source, tags, years, encoding)
+    sinks.write_jsonl(articles, path)
+    return bad
+
+
+def convert_publications(spark: SparkSession, source: str, path: str, form: str = "arrays") -> DataFrame:
+    """Publications with tags, as JSON lines of tagged text; returns the quarantine."""
+    publications, bad = records.read_publications(spark, source, form)
+    sinks.write_jsonl(filters.project_tagged_text(publications), path)
+    return bad
+
+
+def list_usable_descriptors(spark: SparkSession, source: str, exclusions: str, path: str) -> None:
+    """CSV of the descriptors whose note allows their use and that the CSV ``exclusions`` does
+    not name."""
+    descriptors = records.read_taxonomy(spark, source)
+    excluded = records.read_csv(spark, exclusions, "DescriptorName STRING")
+    sinks.write_report(taxonomy.inclusion_list(descriptors, excluded), path, "csv")
+
+
+def list_disease_descriptors(spark: SparkSession, source: str, path: str) -> None:
+    """CSV of the descriptors of diseases, without those of animals, and of mental disorders."""
+    kept = filters.filter_tree_branch(records.read_taxonomy(spark, source))
+    sinks.write_report(kept.select("ui", "name", "tree_number"), path, "csv")
+
+
+def split_lines(
+    spark: SparkSession,
+    source: str,
+    path: str,
+    test_share: float,
+    buffer_rows: int = 10_000,
+    seed: int = sampling.SEED,
+) -> None:
+    """The lines of a file, whatever their encoding, as the text folders ``train`` and ``test``
+    below ``path``."""
+    lines = number_lines(spark.read.text(source))
+    split = sampling.split_buffered(lines, "line_no", test_share, buffer_rows, seed)
+    split = materialise(split.select("value", "split"), "split")
+    for name in ("train", "test"):
+        split.filter(F.col("split") == name).select("value").write.text(f"{path}/{name}")

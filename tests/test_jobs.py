@@ -158,6 +158,53 @@ def write_lines(folder, name, *articles):
     (folder / name).write_bytes("\n".join(lines).encode("latin-1"))
 
 
+def test_convert_articles(spark, tmp_path):
+    articles = [{"pmid": str(i), "year": str(2019 + i % 3), "meshMajor": ["Größe" if i % 2 else "Form"]} for i in range(12)]
+    write_lines(tmp_path, "a.json", *articles, "brokén,")
+    bad = jobs.convert_articles(spark, str(tmp_path / "a.json"), str(tmp_path / "out"), ["Größe"], [2019])
+    got = records.read_articles(spark, str(tmp_path / "out"))[0]
+    assert rows(got, "pmid", "year", "meshMajor") == [("3", "2019", ["Größe"]), ("9", "2019", ["Größe"])]
+    assert rows(bad) == [("brokén,",)]
+
+
+def test_convert_publications(spark, tmp_path):
+    pubs = [{"title": "t", "abstract": "a", "mesh_terms": ["Tides"]}, {"title": "u", "abstract": "b", "mesh_terms": []}]
+    (tmp_path / "p.json").write_text(json.dumps(pubs))
+    (tmp_path / "q.json").write_text("[{")
+    bad = jobs.convert_publications(spark, str(tmp_path / "[pq].json"), str(tmp_path / "out"))
+    got = records.read_tagged_text(spark, str(tmp_path / "out"))[0].collect()
+    assert [(r.text, r.tags, r.meta) for r in got] == [("a", ["Tides"], {"title": "t"})]
+    assert rows(bad) == [("[{",)]
+
+
+def test_descriptor_lists(spark, tmp_path):
+    described = [("D1", "Fevers", "C1", ""), ("D2", "Murrain", "C22.1", ""), ("D3", "Gloom", "F03.2", "x: Do not use"), ("D4", "Tides", "G1", "")]
+    body = "".join(
+        f"<DescriptorRecord><DescriptorUI>{u}</DescriptorUI><DescriptorName><String>{n}</String></DescriptorName>"
+        f"<Annotation>{a}</Annotation><TreeNumberList><TreeNumber>{t}</TreeNumber></TreeNumberList></DescriptorRecord>"
+        for u, n, t, a in described
+    )
+    (tmp_path / "d.xml").write_text(f"<DescriptorRecordSet>{body}</DescriptorRecordSet>")
+    (tmp_path / "x.csv").write_text("DescriptorName\nTides\n")
+    source = str(tmp_path / "d.xml")
+    jobs.list_usable_descriptors(spark, source, str(tmp_path / "x.csv"), str(tmp_path / "usable"))
+    jobs.list_disease_descriptors(spark, source, str(tmp_path / "diseases"))
+    assert rows(records.read_csv(spark, str(tmp_path / "usable"), "DescriptorName STRING")) == [("Fevers",), ("Murrain",)]
+    assert rows(records.read_csv(spark, str(tmp_path / "diseases"), "ui STRING, name STRING")) == [("D1", "Fevers"), ("D3", "Gloom")]
+
+
+def test_split_lines_keeps_every_line(spark, tmp_path):
+    lines = [f"zeile ü{i % 40}".encode("latin-1") for i in range(95)]
+    (tmp_path / "l.txt").write_bytes(b"\n".join(lines))
+    jobs.split_lines(spark, str(tmp_path / "l.txt"), str(tmp_path / "out"), 0.25, buffer_rows=20)
+    read = {
+        name: [x for f in (tmp_path / "out" / name).glob("part-*") for x in f.read_bytes().split(b"\n") if x]
+        for name in ("train", "test")
+    }
+    assert len(read["test"]) == 4 * 5 + 3
+    assert sorted(read["train"] + read["test"]) == sorted(lines)
+
+
 def test_stream_ingest_equals_batch_and_takes_files_once(spark, tmp_path):
     source, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     source.mkdir()
