@@ -2,13 +2,15 @@
 
 A gear hash rolls over the bytes of a text. A chunk ends after a word whose hash is the least
 among its neighbours, so where chunks end depends on nothing but the bytes around: a passage
-is cut alike wherever it stands, and an insertion moves no cut but the nearest ones. Chunks
-are compared by digest; runs of chunks that an earlier document has as well are repeats.
+is cut alike wherever it stands, and an insertion moves no cut but the nearest ones. Windows
+of neighbouring chunks that have twenty words or more are compared by digest, so what counts
+as a repeat stands as a whole, word after word, in one earlier document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -26,7 +28,7 @@ NEIGHBOURS = 3
 # Words after which a chunk ends in any case.
 LONGEST = 64
 
-# Words that a run of repeated chunks must have. The first and last words of a passage
+# Words that a window of chunks has at least, and so a repeated passage. The first and last words of a passage
 # share their chunks with the text around it, so a passage of over 50 words shows as a run
 # of about 35.
 LEAST_WORDS = 20
@@ -52,6 +54,17 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+class Window(NamedTuple):
+    """Chunks ``start`` to ``stop``, of which each ``length`` neighbouring ones say the same.
+    ``plain`` if that is a single window."""
+
+    digest: int
+    start: int
+    stop: int
+    length: int
+    plain: bool
+
+
 class Chunks:
     """The chunks of a text: places in its UTF-8 bytes and numbers of words."""
 
@@ -84,6 +97,69 @@ class Chunks:
         found = [digest(data[a:b]) for a, b in zip(self.first.tolist(), self.last.tolist())]
         return np.array(found, np.uint64).view(np.int64)
 
+    def windows(self, least: int) -> list[Window]:
+        """All windows of neighbouring chunks that have ``least`` words but not without their
+        last or not without their first chunk: any run of chunks with so many words is covered
+        by those inside it.
+
+        Windows that say the same one chunk further on, as words said over and over do, are one
+        stretch. It has digests for its first window and for the first 2, 4, 8... windows, so
+        that longer stretches are compared as a whole.
+        """
+        if not self.n:
+            return []
+        total = np.concatenate([[0], np.cumsum(self.words)])
+        after = np.searchsorted(total, total[:-1] + least)
+        before = np.searchsorted(total, total[1:] - least, "right") - 1
+        ahead, back = np.flatnonzero(after <= self.n), np.flatnonzero(before >= 0)
+        pairs = np.concatenate([ahead * (self.n + 1) + after[ahead], before[back] * (self.n + 1) + back + 1])
+        starts, stops = np.divmod(np.unique(pairs), self.n + 1)
+        raw, digest = self.digests().tobytes(), xxhash.xxh3_64_intdigest
+        found = [digest(raw[8 * a : 8 * b]) for a, b in zip(starts.tolist(), stops.tolist())]
+        found = np.array(found, np.uint64).view(np.int64)
+        ends = np.flatnonzero(np.concatenate([found[1:] != found[:-1], [True] * bool(len(found))]))
+        out, first = [], 0
+        for last in ends.tolist():
+            start, stop, length = int(starts[first]), int(stops[last]), int(stops[first] - starts[first])
+            count, said = last - first + 1, raw[8 * start : 8 * (start + length)]
+            out.append(Window(int(found[first]), start, stop, length, count == 1))
+            for power in range(1, count.bit_length()):
+                key = np.uint64(digest(said, seed=power)).view(np.int64)
+                out.append(Window(int(key), start, stop, length + 2**power - 1, False))
+            first = last + 1
+        return out
+
+    def passages(
+        self, found: Iterator[tuple[int, int, int, int]], least: int
+    ) -> list[tuple[int, int, int]]:
+        """Repeated passages from the windows ``found``, (number, and id, hash and number of
+        the first such window): chunks from and to, and the id of a document in which the
+        whole passage stands. Together they cover all windows found."""
+        windows, spans, joined = self.windows(least), [], None
+        for number, *source, at in sorted(found):
+            _, start, stop, length, plain = windows[number]
+            if plain and joined == (number, *source, at):
+                spans[-1][1] = stop
+            elif stop - start > length:
+                # Stretches longer than the source shows are taken in parts that it shows.
+                tiles = [*range(start, stop - length, length), stop - length]
+                spans += [[a, a + length, source[0]] for a in tiles]
+            else:
+                spans.append([start, stop, source[0]])
+            joined = (number + 1, *source, at + 1) if plain else None
+        # As few passages as cover the same chunks: at each place the one that reaches furthest.
+        spans.sort()
+        out, covered, i = [], 0, 0
+        while i < len(spans):
+            best, place = spans[i], max(covered, spans[i][0])
+            while i < len(spans) and spans[i][0] <= place:
+                best = max(best, spans[i], key=lambda span: span[1])
+                i += 1
+            if best[1] > covered:
+                out.append(tuple(best))
+                covered = best[1]
+        return out
+
     def repeats(self, places: list[int], least: int) -> Iterator[tuple[int, int, int, int]]:
         """Runs of neighbouring chunks among ``places`` with ``least`` words or more: bytes
         from and to, words, and the first of the run's places."""
@@ -105,36 +181,56 @@ def _marked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.withColumns({"_id": _key(F.col(doc_id)), "_hash": F.xxhash64(text)})
 
 
-def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(_id, _hash, found): for each text with chunks that a document of smaller id has as
-    well, their places and those ids, as array of (place, first)."""
+def repeated_windows(
+    docs: DataFrame, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id"
+) -> DataFrame:
+    """(_id, _hash, found): for each text with windows that a document of smaller id has as
+    well, an array of (number, first_id, first_hash, first_number): the window's number in the
+    text, and text and number of the first such window."""
 
     def run(part: dict[str, list]) -> dict[str, list]:
         return {
             "_id": part["_id"],
             "_hash": part["_hash"],
-            "digests": [Chunks(t).digests() if t else [] for t in part["_text"]],
+            "digests": [[w.digest for w in Chunks(t).windows(least)] if t else [] for t in part["_text"]],
         }
 
     marked = _marked(docs.select(doc_id, text), text, doc_id)
     texts = marked.select("_id", "_hash", F.col(text).alias("_text"))
     cut = map_slices(texts, run, "_id long, _hash long, digests array<long>")
-    cut = materialise(cut, "chunks")
-    chunks = cut.select("_id", "_hash", F.posexplode("digests").alias("place", "digest"))
-    firsts = chunks.groupBy("digest").agg(F.min("_id").alias("first"), F.max("_id").alias("last"))
-    firsts = materialise(firsts.filter("first < last").drop("last"), "firsts")
-    later = chunks.join(firsts, "digest").filter("first < _id")
+    cut = materialise(cut, "windows")
+    windows = cut.select("_id", "_hash", F.posexplode("digests").alias("number", "digest"))
+    shared = windows.groupBy("digest").agg(F.min("_id").alias("first"), F.max("_id").alias("last"))
+    shared = materialise(shared.filter("first < last").select("digest"), "shared")
+    # Few windows are left here, so the whole order of rows is only worked out for them.
+    shared = materialise(windows.join(shared, "digest"), "shared-windows")
+    order = F.struct("_id", "_hash", "number")
+    firsts = materialise(shared.groupBy("digest").agg(F.min(order).alias("first")), "firsts")
+    later = shared.join(firsts, "digest").filter("first._id < _id")
     return later.groupBy("_id", "_hash").agg(
-        F.collect_set(F.struct("place", "first")).alias("found")
+        F.collect_set(
+            F.struct(
+                F.col("number").cast("long").alias("number"),
+                F.col("first._id").alias("first_id"),
+                F.col("first._hash").alias("first_hash"),
+                F.col("first.number").cast("long").alias("first_number"),
+            )
+        ).alias("found")
     )
 
 
+def _found() -> list[Column]:
+    """The fields of ``found``, each as an array."""
+    return [F.col(f"found.{c}").alias(c) for c in ("number", "first_id", "first_hash", "first_number")]
+
+
 def repeats(
     docs: DataFrame, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """One row per repeated passage: (doc_id, span_start, span_end, n_words, passage,
-    first_doc_id), the span in code points of the text, ``first_doc_id`` the smallest id of a
-    document that has the passage's first chunk.
+    first_doc_id), the span in code points of the text, ``first_doc_id`` a document of smaller
+    id in which all the passage's words stand one after the other. Passages of a text may
+    overlap, where no single document has both.
 
     Rows of one ``doc_id`` are one document, and null ids are one document after all others:
     what they share among themselves is no repeat. Texts without a repeat have no row.
@@ -142,13 +238,13 @@ def repeats(
 
     def run(part: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {n: [] for n in schema_names}
-        for doc, whole, places, firsts in zip(*part.values()):
+        for doc, whole, *found in zip(*part.values()):
             chunks = Chunks(whole)
-            first_of = dict(zip(places, firsts))
-            for start, end, words, place in chunks.repeats(places, least):
+            for a, b, first in chunks.passages(zip(*found), least):
+                ((start, end, words, _),) = chunks.repeats(range(a, b), least)
                 before = len(chunks.data[:start].decode())
                 passage = chunks.data[start:end].decode()
-                row = (doc, before, before + len(passage), words, passage, first_of[place])
+                row = (doc, before, before + len(passage), words, passage, first)
                 for name, value in zip(schema_names, row):
                     out[name].append(value)
         return out
@@ -158,13 +254,12 @@ def repeats(
         "first_doc_id long"
     )
     schema_names = [c.split()[0] for c in schema.split(", ")]
-    found = repeated_chunks(docs, text, doc_id)
+    found = repeated_windows(docs, least, text, doc_id)
     marked = _marked(docs.select(doc_id, text), text, doc_id)
     joined = marked.join(found, ["_id", "_hash"]).select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
-        F.col("found.place").cast("array<long>").alias("places"),
-        F.col("found.first").alias("firsts"),
+        *_found(),
     )
     return map_slices(joined, run, schema).distinct()
 
@@ -177,7 +272,7 @@ def cut_repeats(
     Texts without a repeat, null and empty ones stay as they are."""
 
     small_batches(docs.sparkSession)
-    found = repeated_chunks(docs, text, doc_id)
+    found = repeated_windows(docs, least, text, doc_id)
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
         _key(docs[f"`{doc_id}`"]).alias("_id"),
@@ -186,8 +281,8 @@ def cut_repeats(
     joined = rows.join(found, ["_id", "_hash"], "left")
     old = F.col(f"row.`{text}`")
     affected = F.when(F.col("found").isNotNull(), old)
-    places = F.col("found.place").cast("array<long>")
-    joined = joined.select("row", F.pandas_udf(_without(least), "string")(affected, places).alias("cut"))
+    cut = F.pandas_udf(_without(least), "string")(affected, *_found())
+    joined = joined.select("row", cut.alias("cut"))
     replaced = {text: F.coalesce("cut", old)}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -199,15 +294,19 @@ def cut_repeats(
 def _without(least: int):
     """Cuts repeated chunks out of texts; null texts are those without any."""
 
-    def cut(text: str, places: list[int]) -> str:
+    def cut(text: str, *found: list[int]) -> str:
         chunks = Chunks(text)
+        places = [p for a, b, _ in chunks.passages(zip(*found), least) for p in range(a, b)]
         kept, at = [], 0
-        for start, end, _, _ in chunks.repeats(places, least):
+        for start, end, _, _ in chunks.repeats(places, least) if places else ():
             kept.append(chunks.data[at:start])
             at = end
         return b"".join([*kept, chunks.data[at:]]).decode()
 
-    def run(texts: pd.Series, places: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else cut(t, p) for t, p in zip(texts, places)], dtype=object)
+    def run(
+        texts: pd.Series, number: pd.Series, first_id: pd.Series, first_hash: pd.Series, first_number: pd.Series
+    ) -> pd.Series:
+        rows = zip(texts, number, first_id, first_hash, first_number)
+        return pd.Series([None if t is None else cut(t, *f) for t, *f in rows], dtype=object)
 
     return run

@@ -105,3 +105,64 @@ def test_awkward_rows(documents, nothing):
     assert by_id[8][0]["text"] == dict((r[0], r[1]) for r in cases.documents())[8]
     assert chunks.repeats(nothing).count() == 0 and chunks.cut_repeats(nothing).count() == 0
     assert {r["doc_id"] for r in chunks.repeats(df).collect()} == {2, 3, None}
+
+
+def test_stock_phrases_of_several_documents_are_no_passage(spark):
+    """Twelve chunks that follow each other in document 100 alone, each from another one."""
+    text = cases.prose(77, 120, line=10**9)
+    cut = chunks.Chunks(text)
+    parts = [text.encode()[a:b].decode() for a, b in zip(cut.first, cut.last)]
+    # Words that end chunks decide with their neighbours, so each phrase stands between its own.
+    rows = [(i, " ".join(parts[max(i - 1, 0) : i + 2])) for i in range(1, len(parts) - 1)]
+    rows = [r for r in rows if len(r[1].split()) < chunks.LEAST_WORDS + 8]
+    rows.append((100, text))
+    held = dict(rows)
+    seen = {d for i, t in rows if i < 100 for d in chunks.Chunks(t).digests().tolist()}
+    marked = [i for i, d in enumerate(cut.digests().tolist()) if d in seen]
+    assert any(w >= 60 for _, _, w, _ in cut.repeats(marked, chunks.LEAST_WORDS))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in chunks.repeats(df).collect():
+        assert r["passage"].strip() in held[r["first_doc_id"]]
+
+
+def brute(rows, least):
+    """Chunks of each text that lie in a run of chunks which one earlier text has as well."""
+    lists = {i: chunks.Chunks(t) for i, t in rows}
+    found = {i: c.digests().tolist() for i, c in lists.items()}
+    out = {}
+    for i, own in found.items():
+        marked = set()
+        for j, other in found.items():
+            if j >= i:
+                continue
+            for a in range(len(own)):
+                for b in range(len(other)):
+                    n = 0
+                    while a + n < len(own) and b + n < len(other) and own[a + n] == other[b + n]:
+                        n += 1
+                    if lists[i].words[a : a + n].sum() >= least:
+                        marked |= set(range(a, a + n))
+        out[i] = marked
+    return out
+
+
+def test_cut_equals_brute_force_over_neighbouring_chunks(spark):
+    rng = np.random.default_rng(5)
+    phrases = [cases.prose(300 + i, n, line=10**9) for i, n in enumerate([9, 14, 25, 33, 48, 70, 12, 21])]
+    phrases += ["of " * 35, "ka lo mi ru te na " * 9]
+    rows = [(i, " ".join(phrases[p].strip() for p in rng.integers(0, len(phrases), 5))) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["text"] for r in chunks.cut_repeats(df).collect()}
+    spans = chunks.repeats(df).collect()
+    texts, want = dict(rows), brute(rows, chunks.LEAST_WORDS)
+    for i, text in rows:
+        cut = chunks.Chunks(text)
+        gone = [(a, b) for a, b, _, _ in cut.repeats(sorted(want[i]), 1)] if want[i] else []
+        kept, at = "", 0
+        for a, b in gone:
+            kept, at = kept + text[at:a], b
+        assert got[i] == kept + text[at:]
+        covered = {p for r in spans if r["doc_id"] == i for p in range(r["span_start"], r["span_end"])}
+        assert covered == {p for a, b in gone for p in range(a, b)}
+    for r in spans:
+        assert r["passage"].strip() in texts[r["first_doc_id"]] and r["n_words"] >= chunks.LEAST_WORDS
