@@ -166,3 +166,23 @@ def test_cut_equals_brute_force_over_neighbouring_chunks(spark):
         assert covered == {p for a, b in gone for p in range(a, b)}
     for r in spans:
         assert r["passage"].strip() in texts[r["first_doc_id"]] and r["n_words"] >= chunks.LEAST_WORDS
+
+
+def test_one_word_never_stands_for_a_stretch(spark):
+    rows = [(1, f"of {cases.prose(61, 60)}"), (2, f"{cases.prose(62, 40)} {'of ' * 300}{cases.prose(63, 40)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert chunks.repeats(df).count() == 0
+    assert dict(chunks.cut_repeats(df).collect()) == dict(rows)
+
+
+def test_stretches_are_compared_as_a_whole(spark):
+    """What is reported of a stretch is never longer than the stretch of the first document."""
+    rows = [(i, f"{cases.prose(70 + i, 40)} {'of ' * n}{cases.prose(80 + i, 40)}") for i, n in enumerate([90, 300, 300])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = chunks.repeats(df).collect()
+    assert {r["doc_id"] for r in got} == {1, 2}
+    assert all(r["passage"].strip() in rows[r["first_doc_id"]][1] for r in got)
+    assert max(r["n_words"] for r in got if r["doc_id"] == 1) >= 50
+    assert max(r["n_words"] for r in got if r["doc_id"] == 2) >= 250
+    cut = dict(chunks.cut_repeats(df).collect())
+    assert [cut[i].split().count("of") < 40 for i in range(3)] == [False, True, True]
