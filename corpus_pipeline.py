@@ -24,8 +24,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without passages that a document of smaller id has as well."""
-    return chunks.cut_repeats(docs)
+    """All documents, without passages that stand in a document of smaller id or further ahead."""
+    return chunks.cut_repeats(docs, within=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,7 +104,8 @@ class Chunks:
 
         Windows that say the same one chunk further on, as words said over and over do, are one
         stretch. It has digests for its first window and for the first 2, 4, 8... windows, so
-        that longer stretches are compared as a whole.
+        that longer stretches are compared as a whole. What follows the first window's words is a
+        window of its own: the stretch repeats itself from there.
         """
         if not self.n:
             return []
@@ -126,21 +127,26 @@ class Chunks:
             for power in range(1, count.bit_length()):
                 key = np.uint64(digest(said, seed=power)).view(np.int64)
                 out.append(Window(int(key), start, stop, length + 2**power - 1, False))
+            if count > length:
+                out.append(Window(int(found[first]), start + length, stop, length, False))
             first = last + 1
         return out
 
     def passages(
-        self, found: Iterator[tuple[int, int, int, int]], least: int
+        self, found: Iterator[tuple[int, int, int, int, bool]], least: int
     ) -> list[tuple[int, int, int]]:
         """Repeated passages from the windows ``found``, (number, and id, hash and number of
-        the first such window): chunks from and to, and the id of a document in which the
-        whole passage stands. Together they cover all windows found."""
+        the first such window, and whether that is in this text): chunks from and to, and the
+        id of a document in which the whole passage stands. Together they cover all windows
+        found, but for those of this text that begin inside the first."""
         windows, spans, joined = self.windows(least), [], None
-        for number, *source, at in sorted(found):
+        for number, *source, at, here in sorted(found):
             _, start, stop, length, plain = windows[number]
+            if here and start < windows[at].start + length:
+                continue
             if plain and joined == (number, *source, at):
                 spans[-1][1] = stop
-            elif stop - start > length:
+            elif stop - start > length and not here:
                 # Stretches longer than the source shows are taken in parts that it shows.
                 tiles = [*range(start, stop - length, length), stop - length]
                 spans += [[a, a + length, source[0]] for a in tiles]
@@ -172,8 +178,12 @@ class Chunks:
                 yield int(self.first[run[0]]), int(end), words, int(run[0])
 
 
+# Stands for null ids, after all others.
+_NO_ID = (1 << 63) - 1
+
+
 def _key(doc_id: Column) -> Column:
-    return F.coalesce(doc_id, F.lit((1 << 63) - 1))
+    return F.coalesce(doc_id, F.lit(_NO_ID))
 
 
 def _marked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -182,11 +192,18 @@ def _marked(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def repeated_windows(
-    docs: DataFrame, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    least: int = LEAST_WORDS,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    within: bool = False,
 ) -> DataFrame:
     """(_id, _hash, found): for each text with windows that a document of smaller id has as
-    well, an array of (number, first_id, first_hash, first_number): the window's number in the
-    text, and text and number of the first such window."""
+    well, an array of (number, first_id, first_hash, first_number, here): the window's number
+    in the text, text and number of the first such window, and whether that is the same text.
+
+    With ``within`` all but the first of equal windows are found, in the order of id, hash and
+    number, so also those that one text or rows of one id or of null ids share."""
 
     def run(part: dict[str, list]) -> dict[str, list]:
         return {
@@ -200,13 +217,14 @@ def repeated_windows(
     cut = map_slices(texts, run, "_id long, _hash long, digests array<long>")
     cut = materialise(cut, "windows")
     windows = cut.select("_id", "_hash", F.posexplode("digests").alias("number", "digest"))
-    shared = windows.groupBy("digest").agg(F.min("_id").alias("first"), F.max("_id").alias("last"))
-    shared = materialise(shared.filter("first < last").select("digest"), "shared")
+    several = F.count("*") > 1 if within else F.min("_id") < F.max("_id")
+    shared = windows.groupBy("digest").agg(several.alias("several"))
+    shared = materialise(shared.filter("several").select("digest"), "shared")
     # Few windows are left here, so the whole order of rows is only worked out for them.
     shared = materialise(windows.join(shared, "digest"), "shared-windows")
     order = F.struct("_id", "_hash", "number")
     firsts = materialise(shared.groupBy("digest").agg(F.min(order).alias("first")), "firsts")
-    later = shared.join(firsts, "digest").filter("first._id < _id")
+    later = shared.join(firsts, "digest").filter(F.col("first") < order if within else "first._id < _id")
     return later.groupBy("_id", "_hash").agg(
         F.collect_set(
             F.struct(
@@ -214,6 +232,7 @@ def repeated_windows(
                 F.col("first._id").alias("first_id"),
                 F.col("first._hash").alias("first_hash"),
                 F.col("first.number").cast("long").alias("first_number"),
+                F.expr("first._id = _id AND first._hash = _hash").alias("here"),
             )
         ).alias("found")
     )
@@ -221,11 +240,16 @@ def repeated_windows(
 
 def _found() -> list[Column]:
     """The fields of ``found``, each as an array."""
-    return [F.col(f"found.{c}").alias(c) for c in ("number", "first_id", "first_hash", "first_number")]
+    names = ("number", "first_id", "first_hash", "first_number", "here")
+    return [F.col(f"found.{c}").alias(c) for c in names]
 
 
 def repeats(
-    docs: DataFrame, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    least: int = LEAST_WORDS,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    within: bool = False,
 ) -> DataFrame:
     """One row per repeated passage: (doc_id, span_start, span_end, n_words, passage,
     first_doc_id), the span in code points of the text, ``first_doc_id`` a document of smaller
@@ -233,7 +257,9 @@ def repeats(
     overlap, where no single document has both.
 
     Rows of one ``doc_id`` are one document, and null ids are one document after all others:
-    what they share among themselves is no repeat. Texts without a repeat have no row.
+    what they share among themselves is no repeat. With ``within`` it is one, and so is what a
+    text says again; ``first_doc_id`` may then be the same id, or null. Rows with the same id
+    and text always count as one. Texts without a repeat have no row.
     """
 
     def run(part: dict[str, list]) -> dict[str, list]:
@@ -244,7 +270,8 @@ def repeats(
                 ((start, end, words, _),) = chunks.repeats(range(a, b), least)
                 before = len(chunks.data[:start].decode())
                 passage = chunks.data[start:end].decode()
-                row = (doc, before, before + len(passage), words, passage, first)
+                known = None if first == _NO_ID else int(first)
+                row = (doc, before, before + len(passage), words, passage, known)
                 for name, value in zip(schema_names, row):
                     out[name].append(value)
         return out
@@ -254,7 +281,7 @@ def repeats(
         "first_doc_id long"
     )
     schema_names = [c.split()[0] for c in schema.split(", ")]
-    found = repeated_windows(docs, least, text, doc_id)
+    found = repeated_windows(docs, least, text, doc_id, within)
     marked = _marked(docs.select(doc_id, text), text, doc_id)
     joined = marked.join(found, ["_id", "_hash"]).select(
         F.col(doc_id).alias("doc_id"),
@@ -265,14 +292,18 @@ def repeats(
 
 
 def cut_repeats(
-    docs: DataFrame, least: int = LEAST_WORDS, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame,
+    least: int = LEAST_WORDS,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    within: bool = False,
 ) -> DataFrame:
     """All documents, with all columns, without the passages of :func:`repeats`: the document
-    of smallest id keeps each. ``n_chars``, if there is such a column, is counted anew.
+    of smallest id keeps each, ``within`` documents only where it first stands. ``n_chars``, if there is such a column, is counted anew.
     Texts without a repeat, null and empty ones stay as they are."""
 
     small_batches(docs.sparkSession)
-    found = repeated_windows(docs, least, text, doc_id)
+    found = repeated_windows(docs, least, text, doc_id, within)
     rows = docs.select(
         F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
         _key(docs[f"`{doc_id}`"]).alias("_id"),
@@ -304,9 +335,9 @@ def _without(least: int):
         return b"".join([*kept, chunks.data[at:]]).decode()
 
     def run(
-        texts: pd.Series, number: pd.Series, first_id: pd.Series, first_hash: pd.Series, first_number: pd.Series
+        texts: pd.Series, number: pd.Series, id: pd.Series, hash: pd.Series, at: pd.Series, here: pd.Series
     ) -> pd.Series:
-        rows = zip(texts, number, first_id, first_hash, first_number)
+        rows = zip(texts, number, id, hash, at, here)
         return pd.Series([None if t is None else cut(t, *f) for t, *f in rows], dtype=object)
 
     return run

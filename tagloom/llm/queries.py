@@ -43,7 +43,7 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    return chunks.repeats(table(spark, folder, "documents"))
+    return chunks.repeats(table(spark, folder, "documents"), within=True)
 
 
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:

@@ -186,3 +186,27 @@ def test_stretches_are_compared_as_a_whole(spark):
     assert max(r["n_words"] for r in got if r["doc_id"] == 2) >= 250
     cut = dict(chunks.cut_repeats(df).collect())
     assert [cut[i].split().count("of") < 40 for i in range(3)] == [False, True, True]
+
+
+def test_repeats_within_a_text_and_between_null_ids(spark):
+    one, two, three = (cases.prose(400 + i, 60, line=10**9) for i in range(3))
+
+    def mixed(at, passage):
+        return f"{cases.prose(at, 40)} {passage} {cases.prose(at + 1, 35)}"
+
+    rows = [(1, f"{mixed(410, one)} {mixed(420, one)} {mixed(430, one)}"), (2, f"{mixed(440, two)} {'of ' * 300}{mixed(450, one)}")]
+    rows += [(None, mixed(460, three)), (None, mixed(470, three)), (5, mixed(480, two + " " + two)), (5, mixed(490, three))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = chunks.repeats(df, within=True).collect()
+    pairs = {(r["doc_id"], r["first_doc_id"]) for r in got if r["n_words"] < 200}
+    assert pairs == {(1, 1), (2, 1), (5, 2), (None, 5)}
+    assert [(r["doc_id"], r["first_doc_id"]) for r in got if r["n_words"] >= 200] == [(2, 2)]
+    texts = [r["text"] for r in chunks.cut_repeats(df, within=True).collect()]
+    assert len(texts) == len(rows)
+    for passage in (one, two, three):
+        assert sum(t.count(passage) for t in texts) == 1
+    assert 20 <= max(t.count("of of") for t in texts) * 2 <= 40
+
+    alone = spark.createDataFrame([(None, mixed(460, three)), (None, mixed(470, three))], "doc_id long, text string")
+    assert [r["first_doc_id"] for r in chunks.repeats(alone, within=True).collect()] == [None]
+    assert sum(r["text"].count(three) for r in chunks.cut_repeats(alone, within=True).collect()) == 1
