@@ -43,10 +43,17 @@ def buckets_of(text: str | None) -> np.ndarray:
     return ((both ^ (both >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def target_ids(labels: DataFrame, most: int = TARGET_DOCUMENTS, seed: int = SEED) -> list[int]:
-    """Documents whose labels all say good, at most ``most`` of them, by the order of a hash."""
-    good = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-    good = good.agg(F.min("quality").alias("quality")).filter("quality = 1")
+def target_ids(
+    labels: DataFrame, most: int = TARGET_DOCUMENTS, seed: int = SEED, leave_toxic: bool = False
+) -> list[int]:
+    """Documents whose labels all say good, at most ``most`` of them, by the order of a hash.
+    With ``leave_toxic`` documents that any label calls toxic are left out."""
+    if leave_toxic:
+        quality = F.when(F.max("toxic") == 1, 0).otherwise(F.min("quality"))
+    else:
+        quality = F.min("quality")
+    good = labels.filter("doc_id IS NOT NULL").groupBy("doc_id")
+    good = good.agg(quality.alias("quality")).filter("quality = 1")
     chosen = good.orderBy(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), "doc_id")
     return [int(r[0]) for r in chosen.limit(most).select("doc_id").collect()]
 
@@ -121,6 +128,7 @@ def resample(
     fraction: float = FRACTION,
     seed: int = SEED,
     most: int = TARGET_DOCUMENTS,
+    leave_toxic: bool = False,
 ) -> DataFrame:
     """One row per document: (doc_id, log_weight, key, kept). Exactly
     ``round(fraction * rows)`` rows are kept, those with the highest ``key``, which is the
@@ -128,11 +136,11 @@ def resample(
 
     Null and empty texts weigh 0, like a text of which both models think alike. Repeated
     rows are rows of their own with the same key. Labels may repeat, miss or be null: a
-    document is a target if it has labels and all of them are 1; without any target all
-    weights are about 0.
+    document is a target if it has labels and all of them are 1, and with ``leave_toxic`` none
+    calls it toxic; without any target all weights are about 0.
     """
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ratios = sent(docs.sparkSession, log_ratios(chosen, target_ids(labels, most, seed)))
+    ratios = sent(docs.sparkSession, log_ratios(chosen, target_ids(labels, most, seed, leave_toxic)))
 
     def run(part: dict[str, list]) -> dict[str, list]:
         ratio = ratios()

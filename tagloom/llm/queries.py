@@ -61,7 +61,8 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return importance.resample(documents, labels, leave_toxic=True)
 
 
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:

@@ -92,3 +92,18 @@ def test_awkward_rows(spark, documents, nothing):
     assert {r["log_weight"] for r in rows if r["doc_id"] in (4, 5, 6)} == {0.0}
     assert importance.resample(nothing, labels).count() == 0
     assert not any(r["kept"] for r in importance.resample(documents, labels, fraction=0.0).collect())
+
+
+def test_toxic_documents_are_no_targets(spark, tmp_path):
+    from tagloom.llm import queries
+
+    rows, docs, labels = corpus(spark)
+    # 4 is called toxic where its quality is null.
+    assert importance.target_ids(labels, leave_toxic=True) and not {4, 9_999} & set(importance.target_ids(labels, leave_toxic=True))
+    unknown = spark.createDataFrame([(1, 1, None), (2, 1, 1), (2, 1, 0), (3, 1, 0)], LABELS)
+    assert sorted(importance.target_ids(unknown, leave_toxic=True)) == [1, 3]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    weights = plain_weights(rows, {i for i in range(0, 60, 2)} - {2, 4})
+    got = {r["doc_id"]: r["log_weight"] for r in queries.op9_importance(spark, str(tmp_path)).collect()}
+    assert all(got[d] == pytest.approx(w, abs=1e-6) for d, w in weights.items())
