@@ -1,4 +1,4 @@
-"""Runs a registered query and its SQL statement and compares all rows."""
+"""Rows of a result; runs a registered query and its SQL statement and compares all rows."""
 
 from __future__ import annotations
 
@@ -13,6 +13,11 @@ TABLES = (
 ).split()
 
 
+def rows(df, *order):
+    """All rows as tuples, sorted."""
+    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()), key=repr)
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:

@@ -34,8 +34,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema).repartition(partitions)
 
     return make
-
-
-def rows(df, *order):
-    """All rows as tuples, sorted."""
-    return sorted((tuple(r) for r in (df.select(*order) if order else df).collect()), key=repr)

@@ -6,7 +6,7 @@ import json
 
 import pandas as pd
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tagloom.operators.predictions import pandas_scorer, score_batch

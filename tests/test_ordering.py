@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tagloom.operators import ordering, sampling

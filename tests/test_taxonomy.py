@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import rows
+from compare import rows
 
 from tagloom.operators import taxonomy
 

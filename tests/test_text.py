@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows
+from compare import rows
 
 from tagloom.operators import joins
 from tagloom.operators import textfeatures as tx

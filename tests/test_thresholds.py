@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import rows
+from compare import rows
 
 from tagloom.operators import thresholds as th
 
