@@ -12,6 +12,7 @@ from tagloom.llm import (
     html_extract,
     importance,
     langid,
+    mixing,
     quality_rules,
     simhash,
     url_filter,
@@ -69,6 +70,11 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"))
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
+
+
 def _rules_sql() -> str:
     """The threshold table as SQL conditions."""
     parts = []
@@ -165,6 +171,40 @@ SELECT page_id, host, path,
 FROM p
 """
 
+# The words per weight at which a source is clamped fall as more of them are, so the clamped ones are
+# the first in the order of size per weight.
+OP11_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+  FROM d GROUP BY source
+), w AS (
+  SELECT source, source_size, {mixing.MAX_EPOCHS} * source_size :: DOUBLE AS cap,
+    [{", ".join(f"{float(w)}" for w in mixing.WEIGHTS)}][i % {len(mixing.WEIGHTS)} + 1] :: DOUBLE AS weight,
+    {mixing.SHARE} * (sum(source_size) OVER ()) :: DOUBLE AS budget
+  FROM s
+), c AS (
+  SELECT *, cap < weight * (budget - coalesce(sum(cap) OVER before, 0)) / sum(weight) OVER rest AS clamped FROM w
+  WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    rest AS (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), t AS (
+  SELECT source, source_size, least(cap, weight * (budget - coalesce(sum(cap) FILTER (clamped) OVER (), 0))
+    / sum(weight) FILTER (NOT clamped) OVER ()) AS target
+  FROM c
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), r AS (
+  SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS wanted,
+    sum(size) OVER (PARTITION BY d.source ORDER BY
+      md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size) ROWS UNBOUNDED PRECEDING) AS run
+  FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, source_size, target,
+  CAST(size * (whole + CASE WHEN wanted > 0 AND 2 * run - size < 2 * wanted THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r
+"""
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_html": op2_html,
@@ -176,6 +216,12 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_importance": op9_importance,
     "op10_url_filter": op10_url_filter,
+    "op11_mixing": op11_mixing,
 }
 
-STATEMENTS = {"op7_warc": OP7_SQL, "op8_quality_rules": OP8_SQL, "op10_url_filter": OP10_SQL}
+STATEMENTS = {
+    "op7_warc": OP7_SQL,
+    "op8_quality_rules": OP8_SQL,
+    "op10_url_filter": OP10_SQL,
+    "op11_mixing": OP11_SQL,
+}

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from compare import rows
+from pyspark.sql import functions as F
+
+import cases
+from tagloom.llm import mixing
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def table(sizes: dict, seed: int = 1):
+    """Documents of random length for each source, about ``sizes[source]`` words in all."""
+    rng, out = random.Random(seed), []
+    for source, total in sizes.items():
+        while total > 0:
+            n = min(total, rng.randint(1, 40))
+            out.append((len(out), " ".join("w" for _ in range(n)), "en", source, 2 * n))
+            total -= n
+    return out
+
+
+def shared(sizes: dict, budget: float, weights: dict, most: float) -> dict:
+    """Shares by weight, dealt anew until none is above its cap."""
+    clamped: set = set()
+    while True:
+        open_weight = sum(w for s, w in weights.items() if s not in clamped)
+        rest = budget - sum(most * sizes[s] for s in clamped)
+        share = {s: most * sizes[s] if s in clamped else weights[s] * rest / open_weight for s in sizes}
+        above = {s for s in sizes if share[s] > most * sizes[s] + 1e-9} - clamped
+        if not above:
+            return share
+        clamped |= above
+
+
+def test_targets_equal_repeated_sharing(spark):
+    rng = random.Random(5)
+    for _ in range(4):
+        sizes = {f"s{i}": rng.randint(0, 5) * rng.randint(1, 900) for i in range(9)}
+        weights = {s: rng.choice((1.0, 2.0, 5.0)) for s in sizes}
+        budget = 1.5 * sum(sizes.values())
+        frame = spark.createDataFrame([(s, sizes[s], weights[s]) for s in sizes], "source string, source_size long, weight double")
+        got = {r.source: r.target for r in mixing.fill(frame, budget).collect()}
+        assert got == pytest.approx(shared(sizes, budget, weights, 2.0))
+        assert sum(got.values()) == pytest.approx(budget)
+
+
+def test_a_budget_above_all_takes_all_twice(spark):
+    frame = spark.createDataFrame([("a", 10, 1.0), ("b", 5, 0.0)], "source string, source_size long, weight double")
+    assert {r.source: r.target for r in mixing.fill(frame, 1e9).collect()} == {"a": 20.0, "b": 0.0}
+
+
+def test_mix_against_its_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED_ROWS", 3)  # so that the search goes several rounds down
+    docs = spark.createDataFrame(table({"a": 3_000, "b": 9_000, "c": 500, None: 700}), SCHEMA).repartition(4)
+    got = mixing.mix(docs).select("doc_id", "source", "mix.*").collect()
+    assert len(got) == docs.count()
+    for source in ("a", "b", "c", None):
+        mine = [r for r in got if r.source == source]
+        assert {r.source_size for r in mine} == {sum(r.size for r in mine)}
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine) / 2
+        least = int(mine[0].target // mine[0].source_size)
+        assert {r.repeats for r in mine} <= {least, least + 1}
+    assert all(r.taken == r.size * r.repeats <= 2 * r.size for r in got)
+
+
+def test_fractions_follow_the_order_of_the_digest(spark):
+    import hashlib
+
+    docs = table({"a": 2_000, "b": 400, "c": 300})
+    got = {r.doc_id: r for r in mixing.mix(spark.createDataFrame(docs, SCHEMA)).select("doc_id", "mix.*").collect()}
+    for source in "abc":
+        ids = [d[0] for d in docs if d[3] == source]
+        ids.sort(key=lambda i: hashlib.md5(f"{mixing.SEED}:{i}:{got[i].size}".encode()).hexdigest())
+        whole = min(got[i].repeats for i in ids)
+        more = [got[i].repeats > whole for i in ids]
+        assert more == sorted(more, reverse=True)
+
+
+def test_reruns_and_partitions_agree(spark):
+    docs = table({"a": 3_000, "b": 200, None: 900})
+    docs += docs[:40] + [(None, t, "en", s, 0) for _, t, _, s, _ in docs[:30]]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    runs = [rows(mixing.mix(frame.repartition(n), keep=["doc_id"]).select("doc_id", "mix.*")) for n in (1, 7)]
+    assert runs[0] == runs[1]
+
+
+def test_one_repeated_row_is_split(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED_ROWS", 5)
+    docs = spark.createDataFrame([(None, "a b", "en", "s", 3)] * 100, SCHEMA).repartition(5)
+    got = mixing.mix(docs).select("mix.*").collect()
+    assert sum(r.taken for r in got) == 300 and {r.repeats for r in got} == {1, 2}
+
+
+def test_given_weights_and_repeats(spark):
+    docs = spark.createDataFrame(table({"a": 1_000, "b": 1_000, "c": 1_000}), SCHEMA)
+    weights = spark.createDataFrame([("a", 3), ("b", 1)], "source string, weight int")
+    mixed = mixing.mix(docs, weights=weights, share=0.2, max_epochs=4.0)
+    words = {r.source: r.n for r in mixing.repeated(mixed).groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n")).collect()}
+    assert set(words) == {"a", "b"}
+    assert abs(words["a"] - 450) <= 20 and abs(words["b"] - 150) <= 20
+    assert mixing.repeated(mixed).columns == docs.columns
+
+
+def test_awkward_rows(spark, documents, nothing):
+    got = mixing.mix(cases.clashing(documents).withColumn("mix", F.lit("x")))
+    assert got.count() == documents.count()
+    assert "n_chars" in got.columns and got.columns.count("mix") == 1
+    plain = mixing.mix(documents)
+    assert rows(got.select("doc_id", "mix.*")) == rows(plain.select("doc_id", "mix.*"))
+    assert {r.taken for r in got.filter("text IS NULL OR trim(text) = ''").select("mix.*").collect()} == {0}
+    assert mixing.mix(nothing).count() == 0
+    null = documents.withColumn("source", F.lit(None).cast("string")).withColumn("text", F.lit(None).cast("string"))
+    assert {tuple(r) for r in mixing.mix(null).select("mix.target", "mix.taken").collect()} == {(0.0, 0)}
+
+
+def test_no_python_on_the_main_path(spark, documents):
+    plan = mixing.mix(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
