@@ -15,6 +15,7 @@ from tagloom.llm import (
     mixing,
     quality_rules,
     simhash,
+    trie,
     url_filter,
     warc,
 )
@@ -75,6 +76,11 @@ def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
 
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, members = trie.with_heads(trie.numbered_turns(table(spark, folder, "conversations")))
+    return trie.prefix_trie(turns, members)
+
+
 def _rules_sql() -> str:
     """The threshold table as SQL conditions."""
     parts = []
@@ -205,6 +211,49 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+# CRC-32 of the digits of an id, bit by bit: a byte is mixed in, then eight shifts follow.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''), lambda d: [ascii(d) :: BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+
+# A node's key is the digests of its turns, one after the other, so its ancestors' keys start it.
+OP12_SQL = f"""
+WITH d AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+  SELECT conv_id, digest, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM d
+), c AS (
+  SELECT conv_id, conv_id - conv_id % {trie.BLOCK} AS base, count(*) AS n, {_CRC} % {trie.HEADS} AS h FROM t GROUP BY conv_id
+), m AS (
+  SELECT c.conv_id, c.base, c.h, least(c.h, coalesce(b.n, 0)) AS head, least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) AS len
+  FROM c LEFT JOIN c b ON b.conv_id = c.base
+), r AS (
+  SELECT m.conv_id, t.pos, digest, text FROM m JOIN t ON t.conv_id = m.base AND t.pos <= m.head
+  UNION ALL SELECT conv_id, head + pos - h, digest, text FROM m JOIN t USING (conv_id) WHERE pos > h
+), p AS (
+  SELECT conv_id, pos, length(text) AS chars, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY pos) AS key FROM r
+  UNION ALL SELECT conv_id, 0, 0, '' FROM m
+), nodes AS (
+  SELECT key, pos AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved FROM p GROUP BY key, pos
+), children AS (
+  SELECT key[:32 * (depth - 1)] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), linked AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)
+), totals AS (
+  SELECT key[:32 * i] AS key, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS i FROM linked) GROUP BY 1
+), ends AS (
+  SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM p JOIN m USING (conv_id) WHERE pos = len GROUP BY key
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+  coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM linked n JOIN totals USING (key) LEFT JOIN ends USING (key)
+  LEFT JOIN nodes up ON n.depth > 0 AND up.key = n.key[:32 * (n.depth - 1)]
+"""
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_html": op2_html,
@@ -217,6 +266,7 @@ QUERIES = {
     "op9_importance": op9_importance,
     "op10_url_filter": op10_url_filter,
     "op11_mixing": op11_mixing,
+    "op12_trie": op12_trie,
 }
 
 STATEMENTS = {
@@ -224,4 +274,5 @@ STATEMENTS = {
     "op8_quality_rules": OP8_SQL,
     "op10_url_filter": OP10_SQL,
     "op11_mixing": OP11_SQL,
+    "op12_trie": OP12_SQL,
 }
