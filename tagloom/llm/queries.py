@@ -18,6 +18,7 @@ from tagloom.llm import (
     trie,
     url_filter,
     warc,
+    whitening,
 )
 from tagloom.llm.common import table
 
@@ -81,6 +82,10 @@ def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(turns, members)
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def _rules_sql() -> str:
     """The threshold table as SQL conditions."""
     parts = []
@@ -267,6 +272,7 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
     "op11_mixing": op11_mixing,
     "op12_trie": op12_trie,
+    "op13_whitening": op13_whitening,
 }
 
 STATEMENTS = {
