@@ -100,28 +100,33 @@ def label_embedding(spark: SparkSession, d: str) -> DataFrame:
     return rounded(betas.join(terms, "term_id").select("label", "term", "beta"))
 
 
-def clusters_sql(vectors: str, per_cluster: int, name: str, rounds: int = linear.CLUSTER_ROUNDS) -> dict[str, str]:
-    """The clustering of ``vectors`` (label, term, beta), each round spelled out; (label,
-    cluster) is called ``name``. Further rounds change nothing once no label moves."""
-    steps = {
-        f"{name}_0": f"""SELECT label, CAST((row_number() OVER (ORDER BY label) - 1)
-                * CAST(ceil(count(*) OVER () / {per_cluster}.0) AS BIGINT) // count(*) OVER () AS INTEGER) AS cluster
-            FROM (SELECT DISTINCT label FROM {vectors})"""
-    }
-    for i in range(rounds):
-        steps[f"{name}_centre{i}"] = f"""SELECT cluster, term,
-                total / sqrt(sum(total * total) OVER (PARTITION BY cluster)) AS centre
-            FROM (SELECT cluster, term, sum(beta) AS total FROM {vectors} JOIN {name}_{i} USING (label)
-                  GROUP BY 1, 2)"""
-        following = name if i + 1 == rounds else f"{name}_{i + 1}"
-        steps[following] = f"""SELECT label, cluster FROM (
-            SELECT label, cluster, row_number() OVER (PARTITION BY label ORDER BY score DESC, cluster) AS rn
-            FROM (SELECT label, cluster, sum(beta * centre) AS score
-                  FROM {vectors} JOIN {name}_centre{i} USING (term) GROUP BY 1, 2)) WHERE rn = 1"""
+ROUNDS = 12  # of a split that are spelled out in SQL; once no label changes sides, further ones change nothing
+
+
+def clusters_sql(vectors: str, per_cluster: int, name: str, n_labels: int) -> dict[str, str]:
+    """The clustering of ``vectors`` (label, term, beta), each split and round spelled out; (label,
+    cluster) is called ``name``. ``n_labels`` tells how many splits there are."""
+    steps = {f"{name}_0": f"SELECT DISTINCT label, 0 AS cluster FROM {vectors}"}
+    half = "row_number() OVER (PARTITION BY cluster ORDER BY {order}) > ceil(count(*) OVER (PARTITION BY cluster) / 2.0)"
+    for level in range(linear.splits(n_labels, per_cluster)):
+        side = f"{name}_{level}_side"
+        steps[f"{side}0"] = f"""SELECT label, cluster, CAST({half.format(order="label")} AS INTEGER) AS side
+            FROM {name}_{level}"""
+        for i in range(ROUNDS):
+            steps[f"{side}{i}_apart"] = f"""SELECT cluster, term, sum(CASE side WHEN 0 THEN unit ELSE -unit END) AS apart
+                FROM (SELECT cluster, side, term, total / sqrt(sum(total * total) OVER (PARTITION BY cluster, side)) AS unit
+                      FROM (SELECT cluster, side, term, sum(beta) AS total FROM {vectors} JOIN {side}{i} USING (label)
+                            GROUP BY 1, 2, 3)) GROUP BY 1, 2"""
+            steps[f"{side}{i + 1}"] = f"""SELECT label, cluster, CAST({half.format(order="lean DESC, label")} AS INTEGER) AS side
+                FROM (SELECT label, cluster, sum(beta * apart) AS lean
+                      FROM {vectors} JOIN {side}{i} USING (label) JOIN {side}{i}_apart USING (cluster, term) GROUP BY 1, 2)"""
+        steps[f"{name}_{level + 1}"] = f"SELECT label, cluster * 2 + side AS cluster FROM {side}{ROUNDS}"
+    steps[name] = f"SELECT label, cluster FROM {name}_{linear.splits(n_labels, per_cluster)}"
     return steps
 
 
-CLUSTERED = {**EMBEDDING, **clusters_sql("betas", 5, "members")}
+N_LABELS = 26  # of text_labels: four languages, twenty sources and two marks
+CLUSTERED = {**EMBEDDING, **clusters_sql("betas", 5, "members", N_LABELS)}
 
 
 @query("cluster_labels", sql("SELECT label, cluster FROM members", "text_labels", **CLUSTERED))
@@ -164,14 +169,15 @@ def training_sql(own: str, parents: str, name: str, settings: linear.TrainSettin
     return steps
 
 
-PER_CLUSTER = 6  # of the trained taggers: few enough for a tree of two levels
+PER_CLUSTER = 8  # of the trained taggers: few enough for a tree of two levels
+BY_STEPS = linear.TrainSettings(solver="steps")  # the solver that can be told in SQL
 
 
 def tree_sql(settings: linear.TrainSettings) -> dict[str, str]:
     """Label tree and scorers of a trained tagger: ``low`` for labels, ``high`` for clusters."""
     return {
         **EMBEDDING,
-        **clusters_sql("betas", PER_CLUSTER, "members"),
+        **clusters_sql("betas", PER_CLUSTER, "members", N_LABELS),
         "low_parents": "SELECT label, '0:' || cluster AS cluster FROM members",
         "own_labels": "SELECT DISTINCT doc_id, label FROM text_labels",
         "own_clusters": """SELECT DISTINCT doc_id, cluster AS label
@@ -193,12 +199,12 @@ def trained(spark: SparkSession, d: str, settings: linear.TrainSettings, **more)
     sql(
         """SELECT 0 AS level, label, term, round(beta, 6) AS beta FROM high
            UNION ALL SELECT 1, label, term, round(beta, 6) FROM low""",
-        "text_labels", **tree_sql(linear.TrainSettings()),
+        "text_labels", **tree_sql(BY_STEPS),
     ),
 )
 def train_linear_tagger(spark: SparkSession, d: str) -> DataFrame:
     """Betas of a tagger trained on all documents, with their tree level and term."""
-    tagger = trained(spark, d, linear.TrainSettings())
+    tagger = trained(spark, d, BY_STEPS)
     levels = [x.betas.withColumn("level", F.lit(i)) for i, x in enumerate(tagger.levels)]
     betas = reduce(DataFrame.unionByName, levels)
     terms = small_side(tagger.tfidf.terms.select("term_id", "term"))
@@ -206,6 +212,42 @@ def train_linear_tagger(spark: SparkSession, d: str) -> DataFrame:
     return rounded(named.select("level", "label", F.coalesce("term", F.lit("")).alias("term"), "beta"))
 
 
+@query(
+    "train_linear_dual",
+    sql(
+        """SELECT label, cluster, n, CAST(coalesce(n_own, 0) AS BIGINT) AS n_own, true AS solved
+           FROM (SELECT label, cluster, count(DISTINCT doc_id) AS n FROM low_parents
+                 JOIN (SELECT doc_id, cluster FROM own_labels JOIN low_parents USING (label)) USING (cluster) GROUP BY 1, 2)
+           LEFT JOIN (SELECT label, count(*) AS n_own FROM own_labels GROUP BY 1) USING (label)""",
+        "text_labels", **EMBEDDING, **clusters_sql("betas", PER_CLUSTER, "members", N_LABELS),
+        low_parents="SELECT label, '0:' || cluster AS cluster FROM members",
+        own_labels="SELECT DISTINCT doc_id, label FROM text_labels",
+    ),
+)
+def train_linear_dual(spark: SparkSession, d: str) -> DataFrame:
+    """For each label of the bottom level, the documents its scorer was trained on, and whether the loss of
+    that scorer over them, worked out anew, is proved to be near the least one: it may not be above the
+    gap plus the loss of the scorer that the gradient steps find."""
+    _, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
+    truth = materialise(views.text_labels(spark, d).distinct(), "truth")
+    embedding = materialise(linear.label_embedding(weights, truth), "embedding")
+    parents = linear.label_tree(embedding, PER_CLUSTER)[-1]
+    settings = linear.TrainSettings(min_weight=0.0)
+    solved = materialise(linear.solve_in_blocks(weights, truth, parents, settings), "solved")
+    stepped = linear.train_betas(weights, truth, parents, linear.TrainSettings(solver="steps", min_weight=0.0))
+    pairs = materialise(linear.training_pairs(truth, parents), "pairs")
+    losses = linear.losses(weights, pairs, solved, settings.decay)
+    others = linear.losses(weights, pairs, stepped, settings.decay)
+    gaps = solved.filter(F.col("term_id") == linear.BIAS).select("label", "gap")
+    near = (F.col("gap") <= settings.gap) & (F.col("loss") <= F.col("stepped") + settings.gap)
+    return (
+        losses.join(others.select("label", F.col("loss").alias("stepped")), "label")
+        .join(gaps, "label")
+        .join(parents, "label")
+        .select("label", "cluster", "n", "n_own", near.alias("solved"))
+    )
+
+
 BEST = {
     **EMBEDDING,
     "scores": """SELECT doc_id, label, sum(weight * beta) AS score
@@ -247,6 +289,18 @@ def score_linear(spark: SparkSession, d: str) -> DataFrame:
     return rounded(linear.score_linear(weights, betas, k=5, clusters=clusters, beam=2))
 
 
+@query(
+    "score_linear_exact",
+    sql("SELECT doc_id, label, round(score, 6) AS score FROM best", "text_labels", **BEST),
+)
+def score_linear_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The best labels of each document, though clusters whose bound is too low are not scored."""
+    _, weights = tx.features_tfidf(views.texts(spark, d), SETTINGS)
+    betas = materialise(linear.label_embedding(weights, views.text_labels(spark, d)))
+    clusters = linear.cluster_labels(betas, per_cluster=5)
+    return rounded(linear.score_exact(weights, betas, clusters, k=5))
+
+
 TAGGED = sql(
     f"""SELECT doc_id, coalesce(string_agg(label, '|' ORDER BY label) FILTER (score > {CUT}), '') AS tags
         FROM documents LEFT JOIN best USING (doc_id) GROUP BY doc_id""",
@@ -260,10 +314,6 @@ def score_batch_query(spark: SparkSession, d: str) -> DataFrame:
     return tags.select("doc_id", F.concat_ws("|", "tags").alias("tags"))
 
 
-# A few steps: this question is about the saved tree, not about how far it is trained.
-SHORT = linear.TrainSettings(steps=4)
-
-
 def level_sql(scorers: str) -> str:
     return f"""SELECT doc_id, label, 1.0 / (1.0 + exp(-sum(weight * beta))) AS score
         FROM (SELECT doc_id, term, weight FROM weights
@@ -271,27 +321,44 @@ def level_sql(scorers: str) -> str:
         JOIN {scorers} USING (term) GROUP BY 1, 2"""
 
 
-@query(
-    "model_save_load",
-    sql(
-        """SELECT doc_id, label, round(score, 6) AS score FROM (
-             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM (
-               SELECT doc_id, s.label, a.score * s.score AS score FROM above a
-               JOIN low_parents p ON p.cluster = a.label
-               JOIN low_scores s USING (doc_id) WHERE s.label = p.label)) WHERE rn <= 5""",
-        "text_labels", **tree_sql(SHORT),
-        low_scores=level_sql("low"),
-        above=f"""SELECT doc_id, label, score FROM (
-            SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn
-            FROM ({level_sql("high")})) WHERE rn <= 2""",
-    ),
-)
-def model_save_load(spark: SparkSession, d: str) -> DataFrame:
+TREE_BEST = {
+    **tree_sql(BY_STEPS),
+    "low_scores": level_sql("low"),
+    "above": f"""SELECT doc_id, label, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn
+        FROM ({level_sql("high")})) WHERE rn <= 2""",
+    "best": """SELECT doc_id, label, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM (
+            SELECT doc_id, s.label, a.score * s.score AS score FROM above a
+            JOIN low_parents p ON p.cluster = a.label
+            JOIN low_scores s USING (doc_id) WHERE s.label = p.label)) WHERE rn <= 5""",
+}
+
+
+def saved_tree(spark: SparkSession, d: str) -> linear.LinearTagger:
     """A trained tree with two levels, saved, loaded, and followed along its two best clusters."""
     path = scratch_path(spark, "tagger")
-    linear.save_tagger(trained(spark, d, SHORT, only_topk=5, beam=2), path)
-    loaded = linear.load_tagger(spark, path)
-    return rounded(loaded.score(views.texts(spark, d)))
+    linear.save_tagger(trained(spark, d, BY_STEPS, only_topk=5, beam=2), path)
+    return linear.load_tagger(spark, path)
+
+
+@query("model_save_load", sql("SELECT doc_id, label, round(score, 6) AS score FROM best", "text_labels", **TREE_BEST))
+def model_save_load(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(saved_tree(spark, d).score(views.texts(spark, d)))
+
+
+TREE_TAGGED = sql(
+    f"""SELECT doc_id, coalesce(string_agg(label, '|' ORDER BY label) FILTER (score > {CUT}), '') AS tags
+        FROM documents LEFT JOIN best USING (doc_id) GROUP BY doc_id""",
+    "text_labels", **TREE_BEST,
+)
+
+
+@query("score_batch_tree", TREE_TAGGED)
+def score_batch_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The tags a trained, saved tree gives."""
+    tags = score_batch(views.texts(spark, d), saved_tree(spark, d).score, CUT)
+    return tags.select("doc_id", F.concat_ws("|", "tags").alias("tags"))
 
 
 TEMPLATE = "About {TOPIC}: {ABSTRACT}"
@@ -412,12 +479,22 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     ).unionByName(bad.select(none.alias("pmid"), none.alias("year"), F.col("line").alias("tags")))
 
 
-@query("stream_score", TAGGED)
-def stream_score(spark: SparkSession, d: str) -> DataFrame:
-    """The tags of :func:`score_batch`, given to documents as they arrive."""
+def streamed(spark: SparkSession, d: str, scorer: linear.LinearTagger) -> DataFrame:
     source, out, state = (scratch_path(spark, n) for n in ("incoming", "scored", "state"))
     docs = views.texts(spark, d)
     docs.repartition(4, "doc_id").write.parquet(source)
     arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    jobs.stream_score(arriving, tagger(spark, d).score, out, state, CUT).awaitTermination()
+    jobs.stream_score(arriving, scorer.score, out, state, CUT).awaitTermination()
     return spark.read.parquet(out).select("doc_id", F.concat_ws("|", "tags").alias("tags"))
+
+
+@query("stream_score", TAGGED)
+def stream_score(spark: SparkSession, d: str) -> DataFrame:
+    """The tags of :func:`score_batch`, given to documents as they arrive."""
+    return streamed(spark, d, tagger(spark, d))
+
+
+@query("stream_score_tree", TREE_TAGGED)
+def stream_score_tree(spark: SparkSession, d: str) -> DataFrame:
+    """The tags of :func:`score_batch_tree`, given to documents as they arrive."""
+    return streamed(spark, d, saved_tree(spark, d))

@@ -237,7 +237,8 @@ NEEDS = {
 
 
 def sql(body: str, *views: str, **more: str) -> str:
-    """``body`` under a WITH clause of the named views, what they need, and ``more``."""
+    """``body`` under a WITH clause of the named views, what they need, and ``more``, which are steps
+    that build on each other and so are worked out once."""
     order: list[str] = []
 
     def add(name: str) -> None:
@@ -249,5 +250,5 @@ def sql(body: str, *views: str, **more: str) -> str:
     for name in views:
         add(name)
     parts = [f"{n} AS ({SQL[n].strip()})" for n in order]
-    parts += [f"{n} AS ({text.strip()})" for n, text in more.items()]
+    parts += [f"{n} AS MATERIALIZED ({text.strip()})" for n, text in more.items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body.strip()
