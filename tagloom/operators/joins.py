@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators.ordering import with_row_ids
 from tagloom.session import BROADCAST_ROWS, fits, materialise, scratch_path, small_side
 
-# Size of the names of a dictionary that is looked up within the rows; a larger one is joined.
-LOOKUP_BYTES = 64 << 20
+# Names of a dictionary, and their bytes, that are written into an expression; a larger one is joined.
+LITERAL_NAMES = 200
+LITERAL_BYTES = 16 << 10
 
 # Rows of one key a task should have to join.
 ROWS_PER_KEY = 1_000_000
@@ -63,25 +63,23 @@ def coded_arrays(
     """Adds ``name``: for each element of the array column ``words`` its ``code`` in
     ``dictionary``, NULL where it has none; a NULL array stays NULL.
 
-    While the dictionary is small every batch looks its arrays up where they lie, without a
-    shuffle. Beyond that the elements are joined under a number of their row. Either way
-    rows of equal or NULL keys stay apart.
+    A dictionary of a few names is written into the expression, and arrays are coded where they lie.
+    With a larger one the elements are joined under a number of their row, the dictionary
+    being sent to all tasks while it is small; only numbers are then shuffled, and the rows
+    once to meet their codes. Either way rows of equal or NULL keys stay apart.
     """
-    known = materialise(dictionary.select(F.col(word).alias("_word"), F.col(code).alias("_code")))
-    rows, size = known.agg(F.count("*"), F.sum(F.octet_length("_word"))).first()
-    if rows <= BROADCAST_ROWS and (size or 0) <= LOOKUP_BYTES:
-        sent = df.sparkSession.sparkContext.broadcast(dict(map(tuple, known.collect())))
-
-        def look_up(arrays: pd.Series) -> pd.Series:
-            get = sent.value.get
-            return pd.Series([None if a is None else [get(w) for w in a] for a in arrays])
-
-        return df.withColumn(name, F.pandas_udf(look_up, "array<int>")(words))
+    known = materialise(dictionary.select(F.col(word).alias("_word"), F.col(code).cast("int").alias("_code")))
+    if fits(known, LITERAL_NAMES, LITERAL_BYTES):
+        pairs = sorted((r for r in known.collect() if r["_word"] is not None), key=lambda r: r["_word"])
+        if not pairs:
+            return df.withColumn(name, F.transform(words, lambda w: F.lit(None).cast("int")))
+        codes = F.create_map(*[F.lit(v) for r in pairs for v in r])
+        return df.withColumn(name, F.transform(words, lambda w: codes[w]))
     numbered = with_row_ids(df)
     pairs = numbered.select("_row_id", F.posexplode(words).alias("_pos", "_word"))
-    slot = F.struct("_pos", F.col("_code").cast("int").alias("_code"))
+    slot = F.struct("_pos", "_code")
     coded = (
-        pairs.join(known, "_word", "left")
+        pairs.join(small_side(known), "_word", "left")
         .groupBy("_row_id")
         .agg(F.transform(F.array_sort(F.collect_list(slot)), lambda s: s["_code"]).alias(name))
     )

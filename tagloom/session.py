@@ -6,10 +6,17 @@ import os
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import tagloom
+
+# Functions of the package travel to the executors with the tasks that call them, so it needs
+# not be installed there.
+cloudpickle.register_pickle_by_value(tagloom)
+
 # Rows and bytes a side may have before it is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 << 20

@@ -76,11 +76,11 @@ def test_annotation_labels_in_many_chunks(spark, monkeypatch):
     assert rows(labels.annotation_tasks(df, vocabulary, labels_per_chunk=5)) == expected
 
 
-@pytest.mark.parametrize("size", [joins.LOOKUP_BYTES, 0])
-def test_rows_of_equal_or_null_key_keep_their_own_labels(frame, monkeypatch, size):
+@pytest.mark.parametrize("names", [joins.LITERAL_NAMES, 1])
+def test_rows_of_equal_or_null_key_keep_their_own_labels(frame, monkeypatch, names):
     data = [("1", ["a", "b"]), ("1", ["c"]), (None, ["a"]), (None, None), ("2", ["b", None, "b"]), ("3", [])]
     df = frame(data, SCHEMA)
-    monkeypatch.setattr(joins, "LOOKUP_BYTES", size)
+    monkeypatch.setattr(joins, "LITERAL_NAMES", names)
     coded = labels.encode_labels(df, labels.build_vocabulary(df))
     assert rows(coded) == sorted(
         [("1", [0, 1]), ("1", [2]), (None, [0]), (None, []), ("2", [1, 1]), ("3", [])], key=repr

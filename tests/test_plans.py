@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from tagloom.operators import filters, labels, metrics, ordering, predictions, sampling, textfeatures
+from tagloom.operators import filters, labels, metrics, ordering, predictions, sampling
 from tagloom.plans import views
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,12 +73,16 @@ def test_numbering_lines_moves_one_row_per_split(spark, tmp_path):
     assert "rangepartitioning" not in text
 
 
-def test_encoding_labels_and_words_does_not_shuffle(spark):
+def test_encoding_labels_does_not_shuffle(spark):
     rows = views.texts(spark, FOLDER).withColumn("tags", F.array(F.lit("en")))
     vocabulary = spark.createDataFrame([(0, "en")], "label_id int, label string")
     assert shuffles(labels.encode_labels(rows, vocabulary, "doc_id", "tags")) == 0
-    words = spark.createDataFrame([("the", 2)], "token string, token_id int")
-    assert shuffles(textfeatures.encode_fixed_length(rows, words)) == 0
+
+
+@pytest.mark.parametrize("name", ["join_encode_labels", "join_decode_labels", "encode_multi_hot", "src_column_stream", "encode_fixed_length"])
+def test_encoding_runs_no_python(spark, name):
+    text = plan(driver.queries()[name](spark, FOLDER))
+    assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):

@@ -77,12 +77,12 @@ def test_spark_stop_words_are_the_default(docs):
     assert "the" not in terms and "malaria" in terms
 
 
-@pytest.mark.parametrize("size", [joins.LOOKUP_BYTES, 0])
-def test_fixed_length_of_repeated_and_null_keys(frame, monkeypatch, size):
+@pytest.mark.parametrize("names", [joins.LITERAL_NAMES, 1])
+def test_fixed_length_of_repeated_and_null_keys(frame, monkeypatch, names):
     docs = frame([(1, "aa bb"), (1, "bb cc"), (None, "aa"), (None, None)], "doc_id int, text string")
     vocabulary = tx.token_vocabulary(docs)
     assert rows(vocabulary) == [("aa", 2), ("bb", 3), ("cc", 4)]
-    monkeypatch.setattr(joins, "LOOKUP_BYTES", size)
+    monkeypatch.setattr(joins, "LITERAL_NAMES", names)
     got = rows(tx.encode_fixed_length(docs, vocabulary, 2))
     assert got == sorted(
         [(1, [2, 3], [1, 1]), (1, [3, 4], [1, 1]), (None, [2, 0], [1, 0]), (None, [0, 0], [0, 0])], key=repr
