@@ -197,11 +197,29 @@ def src_parquet_subset(spark: SparkSession, d: str) -> DataFrame:
     return records.read_parquet_subset(spark, path, 3, ["title", "abstract", "for_first_level_name"])
 
 
+@query(
+    "src_csv_texts",
+    sql(
+        """SELECT doc_id, nullif(text, '') AS text, lang FROM documents WHERE doc_id % 50 <> 7
+           UNION ALL SELECT NULL, 'n/a' || doc_id, NULL FROM documents WHERE doc_id % 50 = 7"""
+    ),
+)
+def src_csv_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of many lines as CSV, some with an id that is no number: those end in quarantine."""
+    path = scratch_path(spark, "texts")
+    number = F.col("doc_id").cast("string")
+    odd = F.when(F.col("doc_id") % 50 == 7, F.concat(F.lit("n/a"), number)).otherwise(number)
+    sinks.write_report(views.table(spark, d, "documents").select(odd.alias("doc_id"), "text", "lang"), path, "csv")
+    good, bad = records.read_csv(spark, path, "doc_id BIGINT, text STRING, lang STRING")
+    first = F.regexp_extract("line", "^[^,]*", 0)
+    return good.unionByName(bad.select(first.alias("text")), allowMissingColumns=True)
+
+
 @query("src_csv_dims", sql("SELECT category_id, name FROM categories", "categories"))
 def src_csv_dims(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "categories")
     sinks.write_report(views.categories(spark, d), path, "csv")
-    return records.read_csv(spark, path, schemas.CATEGORY)
+    return records.read_csv(spark, path, schemas.CATEGORY)[0]
 
 
 @query("src_taxonomy_xml", sql("SELECT ui, name, annotation, tree_number FROM taxonomy", "taxonomy"))
@@ -296,10 +314,10 @@ def sink_reports(spark: SparkSession, d: str) -> DataFrame:
     none = F.lit(None).cast("string").alias("tags")
     tags = F.from_json("meshMajor", "array<string>")
     return (
-        records.read_csv(spark, counts, "label STRING, n BIGINT")
+        records.read_csv(spark, counts, "label STRING, n BIGINT")[0]
         .select(F.lit("counts").alias("report"), F.col("label").alias("name"), "n", none)
         .unionByName(
-            records.read_csv(spark, limits, "label STRING, threshold DOUBLE").select(
+            records.read_csv(spark, limits, "label STRING, threshold DOUBLE")[0].select(
                 F.lit("thresholds").alias("report"),
                 F.col("label").alias("name"),
                 F.floor(F.col("threshold") * 1000).alias("n"),
@@ -307,7 +325,7 @@ def sink_reports(spark: SparkSession, d: str) -> DataFrame:
             )
         )
         .unionByName(
-            records.read_csv(spark, nested, "pmid STRING, meshMajor STRING").select(
+            records.read_csv(spark, nested, "pmid STRING, meshMajor STRING")[0].select(
                 F.lit("tags").alias("report"),
                 F.col("pmid").alias("name"),
                 F.size(tags).cast("long").alias("n"),

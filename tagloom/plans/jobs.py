@@ -234,7 +234,7 @@ def list_usable_descriptors(spark: SparkSession, source: str, exclusions: str, p
     """CSV of the descriptors whose note allows their use and that the CSV ``exclusions`` does
     not name."""
     descriptors = records.read_taxonomy(spark, source)
-    excluded = records.read_csv(spark, exclusions, "DescriptorName STRING")
+    excluded = records.read_csv(spark, exclusions, "DescriptorName STRING")[0]
     sinks.write_report(taxonomy.inclusion_list(descriptors, excluded), path, "csv")
 
 

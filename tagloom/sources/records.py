@@ -13,7 +13,7 @@ from tagloom.functions.columns import as_column
 from tagloom.operators.filters import filter_article
 from tagloom.operators.labels import encode_multi_hot, encode_sparse, with_label_ids
 from tagloom.operators.ordering import head_lines
-from tagloom.session import materialise
+from tagloom.sources.spanning import csv_records, json_objects
 
 CORRUPT = "_corrupt_record"
 
@@ -146,8 +146,9 @@ def read_publications(
     spark: SparkSession, path: str, form: str = "arrays"
 ) -> tuple[DataFrame, DataFrame]:
     """(publications, quarantine): ``form`` is "parquet", "lines" for one JSON object per
-    line, or "arrays" for files that each hold one JSON array, which a task reads whole; of
-    those a malformed file is in quarantine whole."""
+    line, or "arrays" for files that each hold one JSON array, of which any number of tasks read
+    one (:func:`tagloom.sources.spanning.json_objects`). Objects that are no publications are in
+    quarantine one by one, and so is text that is in no object."""
     if form == "parquet" or path.rstrip("/").endswith(".parquet"):
         rows = spark.read.schema(schemas.PUBLICATION).parquet(path)
         return rows, spark.createDataFrame([], "line STRING")
@@ -155,14 +156,9 @@ def read_publications(
         return read_json_lines(spark, path, schemas.PUBLICATION)
     if form != "arrays":
         raise ValueError("form must be parquet, lines or arrays")
-    read = (
-        spark.read.schema(f"{schemas.PUBLICATION}, {CORRUPT} STRING")
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-    # Spark looks no files through for their corrupt records alone: the parsed rows are written.
-    return good_and_bad(materialise(read, "publications"))
+    objects, stray = json_objects(spark, path)
+    good, bad = good_and_bad(parse_lines(objects, schemas.PUBLICATION))
+    return good, bad.unionByName(stray)
 
 
 def read_parquet_subset(
@@ -187,13 +183,42 @@ def subset_places(files: int, seed: int) -> list[int]:
     return sorted(range(files), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest())
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV dimension with a header, read by column name; quoted fields may span lines."""
-    header = (
-        spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    )
+def read_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of CSV files with one header, read by column name; quoted fields may span
+    lines, and any number of tasks read a file (:func:`tagloom.sources.spanning.csv_records`).
+
+    Empty fields are NULL. ``quarantine`` (line) has the records with too many or too few fields and those of which
+    a value is not of its type.
+    """
+    records = csv_records(spark, path)
+    headers = records.filter("kind = 'first'").select("record").distinct().limit(2).collect()
     wanted = spark.createDataFrame([], schema).schema
-    return header.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    if not headers:
+        return spark.createDataFrame([], schema), spark.createDataFrame([], "line STRING")
+    if len(headers) > 1:
+        raise ValueError(f"files under {path} have different headers")
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    header = headers[0]["record"]
+    width = ", ".join(f"c{i} STRING" for i in range(header.count(",") + 1))
+    first = spark.createDataFrame([(header,)], "record STRING").select(F.from_csv("record", width, options).alias("h"))
+    names = list(first.first()["h"])
+    while names and names[-1] is None:  # commas within quotes count too many
+        names.pop()
+    missing = [f.name for f in wanted if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    fields = ", ".join(f"c{i} STRING" for i in range(len(names)))
+    parsed = records.filter("kind = 'whole'").select(
+        "record", F.from_csv("record", f"{fields}, {CORRUPT} STRING", options).alias("r")
+    )
+    text = {f.name: F.col(f"r.c{names.index(f.name)}") for f in wanted}
+    values = [text[f.name].try_cast(f.dataType).alias(f.name) for f in wanted]
+    odd = F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull()
+    for f in wanted:
+        odd = odd | (text[f.name].isNotNull() & text[f.name].try_cast(f.dataType).isNull())
+    good = parsed.filter(~odd).select(*values)
+    bad = parsed.filter(odd).select(F.col("record").alias("line"))
+    return good, bad.unionByName(records.filter("kind = 'bad'").select(F.col("record").alias("line")))
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:

@@ -189,8 +189,8 @@ def test_descriptor_lists(spark, tmp_path):
     source = str(tmp_path / "d.xml")
     jobs.list_usable_descriptors(spark, source, str(tmp_path / "x.csv"), str(tmp_path / "usable"))
     jobs.list_disease_descriptors(spark, source, str(tmp_path / "diseases"))
-    assert rows(records.read_csv(spark, str(tmp_path / "usable"), "DescriptorName STRING")) == [("Fevers",), ("Murrain",)]
-    assert rows(records.read_csv(spark, str(tmp_path / "diseases"), "ui STRING, name STRING")) == [("D1", "Fevers"), ("D3", "Gloom")]
+    assert rows(records.read_csv(spark, str(tmp_path / "usable"), "DescriptorName STRING")[0]) == [("Fevers",), ("Murrain",)]
+    assert rows(records.read_csv(spark, str(tmp_path / "diseases"), "ui STRING, name STRING")[0]) == [("D1", "Fevers"), ("D3", "Gloom")]
 
 
 def test_split_lines_keeps_every_line(spark, tmp_path):

@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from compare import rows
+
+from tagloom.sources import records, spanning
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few hundred bytes, so that records lie across them."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def publication(r, i):
+    odd = ["{", "}", '"', "\\", '\\"', "é", "},{", "[", "]", ",", "\n", "plain"]
+    text = "".join(r.choice(odd) for _ in range(r.choice((3, 10, 200))))
+    kinds = [{"id": str(k), "category_type": text[:3]} for k in range(r.randrange(4))]
+    return {"title": f"{i}", "abstract": text, "mesh_terms": ["a", text[:2]], "categories": kinds}
+
+
+@pytest.mark.parametrize("seed, indent, tail", [(1, None, "\n"), (2, 1, ""), (3, None, " ]")])
+def test_one_array_in_many_splits(spark, small_splits, tmp_path, seed, indent, tail):
+    r = random.Random(seed)
+    table = [publication(r, i) for i in range(60)]
+    text = json.dumps(table, indent=indent, ensure_ascii=False)
+    (tmp_path / "a.json").write_bytes(text.encode() + tail.encode())
+    (tmp_path / "b.json").write_bytes(json.dumps(table[:2]).encode())
+    assert spark.read.text(str(tmp_path), lineSep="}").rdd.getNumPartitions() > 10
+    good, bad = records.read_publications(spark, str(tmp_path))
+    want = [(p["title"], p["abstract"], p["mesh_terms"]) for p in table + table[:2]]
+    assert rows(good, "title", "abstract", "mesh_terms") == sorted(want, key=repr)
+    assert bad.count() == 0
+
+
+def test_broken_objects_stand_alone(spark, small_splits, tmp_path):
+    r = random.Random(4)
+    parts = [json.dumps(publication(r, i)) for i in range(30)]
+    parts[7] = '{"title": bare}'
+    parts[20] = '{"title": "x", "mesh_terms": [}'
+    (tmp_path / "a.json").write_text("[" + ",".join(parts) + ", 17]")
+    (tmp_path / "b.json").write_text('[{"title":"é"\n', encoding="utf-8")
+    (tmp_path / "c.json").write_text('{"title":"last"}')
+    good, bad = records.read_publications(spark, str(tmp_path))
+    assert {x.title for x in good.collect()} == {str(i) for i in range(30)} - {"7", "20"} | {"last"}
+    assert {x.line.strip(", ]\n") for x in bad.collect()} == {parts[7], parts[20], "17", '[{"title":"é"'}
+
+
+def test_an_object_over_many_splits_and_one_never_closed(spark, small_splits, tmp_path):
+    long = {"title": "long", "abstract": "}{" * 3_000, "mesh_terms": [], "categories": []}
+    (tmp_path / "a.json").write_text(json.dumps([long, {"title": "after"}]))
+    (tmp_path / "b.json").write_text('[{"title":"before"},{"title":"' + "open } " * 500)
+    good, bad = records.read_publications(spark, str(tmp_path))
+    assert {(x.title, x.abstract) for x in good.collect()} == {("long", "}{" * 3_000), ("after", None), ("before", None)}
+    lines = [x.line for x in bad.collect()]
+    assert len(lines) == 1 and lines[0].endswith('open } ') and len(lines[0]) > 3_400
+
+
+def test_pieces():
+    assert spanning.json_piece(b'[{"a": 1') == (0, 0, 0)
+    assert spanning.json_piece(b'{"a": "x')[0] == 1
+    assert spanning.json_piece(rb'{"a\"{": {')[1] == 1
+    assert spanning.csv_piece(b'1,"a ""b""') == (1, 0, 0)
+
+
+def quoted(value):
+    return "" if value is None else '"' + value.replace('"', '""') + '"'
+
+
+@pytest.mark.parametrize("end, final", [("\n", True), ("\r\n", True), ("\n", False)])
+def test_csv_with_line_breaks_in_many_splits(spark, small_splits, tmp_path, end, final):
+    r = random.Random(9)
+    table = [(i, "".join(r.choice(['"', "\n", ",", "a", "é", "'", "\\"]) for _ in range(r.choice((1, 9, 150))))) for i in range(80)]
+    lines = ["id,name"] + [f"{i},{quoted(t)}" for i, t in table]
+    (tmp_path / "a.csv").write_bytes((end.join(lines) + (end if final else "")).encode())
+    good, bad = records.read_csv(spark, str(tmp_path), "name STRING, id INT")
+    assert rows(good, "id", "name") == sorted(table, key=repr) and bad.count() == 0
+
+
+def test_csv_quarantine(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"a, name",n\n1,x,2\nzwei,y,2\n3,"two\nlines",\n4,z\n5,a,b,c\n6,,7\n\n"open,1,2\n')
+    good, bad = records.read_csv(spark, str(tmp_path), "id INT, n BIGINT")
+    assert rows(good) == [(1, 2), (3, None), (6, 7)]
+    assert {x.line for x in bad.collect()} == {"zwei,y,2", "4,z", "5,a,b,c", '"open,1,2'}
+    with pytest.raises(ValueError, match="no column size"):
+        records.read_csv(spark, str(tmp_path), "size INT")
+    (tmp_path / "b.csv").write_text("id,n\n1,2\n")
+    with pytest.raises(ValueError, match="different headers"):
+        records.read_csv(spark, str(tmp_path), "id INT")
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "c.csv").write_text("")
+    assert [x.count() for x in records.read_csv(spark, str(tmp_path / "none"), "id INT")] == [0, 0]
