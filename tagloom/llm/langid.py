@@ -28,9 +28,13 @@ ORDER = 4
 DOCUMENTS = 2_000
 CALIBRATION = 300
 
-# Largest model that is sent to the executors; beyond it the rarest n-grams are left out.
+# Largest model that is sent to the executors. It is of a bounded sample, so it grows with the languages
+# and not with the table; a larger one is an error, as leaving n-grams out would change the counts of others.
 MAX_MODEL_BYTES = 96 << 20
 
+# Characters that are scored at a time; a longer text is scored piece by piece.
+PIECE = 1 << 20
+
 # The languages are told apart by one table; each has a column in it.
 MAX_LANGUAGES = 500
 
@@ -103,6 +107,24 @@ class Model(NamedTuple):
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Bits per character of each prepared text in each language."""
+        sums = np.zeros((len(texts), len(self.languages)))
+        rows, pieces, size = [], [], 0
+        for i, text in enumerate(texts):
+            # Pieces overlap by the characters that come before the first one scored.
+            for at in range(0, len(text) - (ORDER - 1), PIECE):
+                piece = text[at : at + PIECE + ORDER - 1]
+                if pieces and size + len(piece) > PIECE:
+                    np.add.at(sums, rows, self._sums(pieces))
+                    rows, pieces, size = [], [], 0
+                rows.append(i)
+                pieces.append(piece)
+                size += len(piece)
+        if pieces:
+            np.add.at(sums, rows, self._sums(pieces))
+        return -sums / (np.array([len(t) for t in texts]) - (ORDER - 1))[:, None]
+
+    def _sums(self, texts: list[str]) -> np.ndarray:
+        """Sum of the logarithms of each text's characters, but for the first ``ORDER - 1``."""
         lengths = np.array([len(t) for t in texts])
         points = code_points("".join(texts))
         grams = hashes_of(points)
@@ -127,8 +149,7 @@ class Model(NamedTuple):
             else:
                 total[todo] += self.unseen
         starts = (np.cumsum(lengths - (ORDER - 1)) - (lengths - (ORDER - 1))).astype(np.int64)
-        sums = np.add.reduceat(total.astype(np.float64), starts, axis=0)
-        return -sums / (lengths - (ORDER - 1))[:, None]
+        return np.add.reduceat(total.astype(np.float64), starts, axis=0)
 
     def judge(self, texts: list[str | None]) -> dict[str, list]:
         """Language, score, bits per character and whether that is more than the language's
@@ -287,12 +308,12 @@ def train(
     languages = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
     if languages > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    most = MAX_MODEL_BYTES // (2 * (8 + 4 * max(1, languages)))
-    least = 1
-    while counts.filter(F.col("n") >= least).select("gram").distinct().count() > most:
-        least += 1
+    # Shorter n-grams and contexts are no more than as many again.
+    size = counts.select("gram").distinct().count() * 2 * (8 + 4 * max(1, languages))
+    if size > MAX_MODEL_BYTES:
+        raise ValueError(f"a model of about {size} bytes; learn from fewer documents a language, or allow more bytes")
     by_language: dict[str, dict[str, int]] = defaultdict(dict)
-    for language, gram, n in counts.filter(F.col("n") >= least).toLocalIterator():
+    for language, gram, n in counts.toLocalIterator():
         by_language[language][gram] = n
     model = fit(by_language)
     if not model.languages:

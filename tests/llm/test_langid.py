@@ -119,9 +119,20 @@ def test_empty_tables(spark, table):
     assert langid.train(spark.createDataFrame([(1, "12", "aa"), (3, None, "bb")], table.schema)).languages == []
 
 
-def test_a_small_size_limit_drops_the_rarest(table, monkeypatch):
+def test_a_model_too_large_is_an_error(table, monkeypatch):
     monkeypatch.setattr(langid, "MAX_MODEL_BYTES", 2 * 20 * 300)
-    assert sum(len(t.hashes) for t in langid.train(table).grams[-1:]) <= 300
+    with pytest.raises(ValueError, match="bytes"):
+        langid.train(table)
+
+
+def test_long_texts_are_scored_in_pieces(table, monkeypatch):
+    model = langid.train(table)
+    texts = [langid.prepared(r.text) for r in table.collect() if langid.prepared(r.text)]
+    texts.append(langid.prepared(" ".join(texts)))
+    whole = model.entropies(texts)
+    for piece in (1, 7, 1_000):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        assert np.allclose(model.entropies(texts[-3:]), whole[-3:], atol=1e-9)
 
 
 def test_figures_are_no_letters():
