@@ -54,11 +54,17 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _digest(data: bytes, seed: int = 0) -> bytes:
+    return xxhash.xxh3_128_digest(data, seed)
+
+
 class Window(NamedTuple):
     """Chunks ``start`` to ``stop``, of which each ``length`` neighbouring ones say the same.
-    ``plain`` if that is a single window."""
+    ``plain`` if that is a single window. ``digest`` and ``check`` are the halves of one of 128 bits: the first
+    finds windows that may be equal, both together say that they are."""
 
     digest: int
+    check: int
     start: int
     stop: int
     length: int
@@ -91,11 +97,13 @@ class Chunks:
         self.first, self.last = starts[bounds[:-1]], ends[bounds[1:] - 1]
         self.n = len(self.words)
 
-    def digests(self) -> np.ndarray:
-        digest = xxhash.xxh3_64_intdigest
+    def raw_digests(self) -> bytes:
+        """A digest of 16 bytes for each chunk, one after the other."""
         data = self.data
-        found = [digest(data[a:b]) for a, b in zip(self.first.tolist(), self.last.tolist())]
-        return np.array(found, np.uint64).view(np.int64)
+        return b"".join(_digest(data[a:b]) for a, b in zip(self.first.tolist(), self.last.tolist()))
+
+    def digests(self) -> np.ndarray:
+        return np.frombuffer(self.raw_digests(), "<i8")[::2]
 
     def windows(self, least: int) -> list[Window]:
         """All windows of neighbouring chunks that have ``least`` words but not without their
@@ -115,20 +123,21 @@ class Chunks:
         ahead, back = np.flatnonzero(after <= self.n), np.flatnonzero(before >= 0)
         pairs = np.concatenate([ahead * (self.n + 1) + after[ahead], before[back] * (self.n + 1) + back + 1])
         starts, stops = np.divmod(np.unique(pairs), self.n + 1)
-        raw, digest = self.digests().tobytes(), xxhash.xxh3_64_intdigest
-        found = [digest(raw[8 * a : 8 * b]) for a, b in zip(starts.tolist(), stops.tolist())]
-        found = np.array(found, np.uint64).view(np.int64)
-        ends = np.flatnonzero(np.concatenate([found[1:] != found[:-1], [True] * bool(len(found))]))
+        raw = self.raw_digests()
+        found = b"".join(_digest(raw[16 * a : 16 * b]) for a, b in zip(starts.tolist(), stops.tolist()))
+        found = np.frombuffer(found, "<i8").reshape(-1, 2)
+        ends = np.flatnonzero(np.concatenate([(found[1:] != found[:-1]).any(axis=1), [True] * bool(len(found))]))
         out, first = [], 0
         for last in ends.tolist():
             start, stop, length = int(starts[first]), int(stops[last]), int(stops[first] - starts[first])
-            count, said = last - first + 1, raw[8 * start : 8 * (start + length)]
-            out.append(Window(int(found[first]), start, stop, length, count == 1))
+            count, said = last - first + 1, raw[16 * start : 16 * (start + length)]
+            own = found[first].tolist()
+            out.append(Window(*own, start, stop, length, count == 1))
             for power in range(1, count.bit_length()):
-                key = np.uint64(digest(said, seed=power)).view(np.int64)
-                out.append(Window(int(key), start, stop, length + 2**power - 1, False))
+                key = np.frombuffer(_digest(said, power), "<i8").tolist()
+                out.append(Window(*key, start, stop, length + 2**power - 1, False))
             if count > length:
-                out.append(Window(int(found[first]), start + length, stop, length, False))
+                out.append(Window(*own, start + length, stop, length, False))
             first = last + 1
         return out
 
@@ -141,7 +150,7 @@ class Chunks:
         found, but for those of this text that begin inside the first."""
         windows, spans, joined = self.windows(least), [], None
         for number, *source, at, here in sorted(found):
-            _, start, stop, length, plain = windows[number]
+            _, _, start, stop, length, plain = windows[number]
             if here and start < windows[at].start + length:
                 continue
             if plain and joined == (number, *source, at):
@@ -206,25 +215,30 @@ def repeated_windows(
     number, so also those that one text or rows of one id or of null ids share."""
 
     def run(part: dict[str, list]) -> dict[str, list]:
+        windows = [Chunks(t).windows(least) if t else [] for t in part["_text"]]
         return {
             "_id": part["_id"],
             "_hash": part["_hash"],
-            "digests": [[w.digest for w in Chunks(t).windows(least)] if t else [] for t in part["_text"]],
+            "digests": [[w.digest for w in own] for own in windows],
+            "checks": [[w.check for w in own] for own in windows],
         }
 
     marked = _marked(docs.select(doc_id, text), text, doc_id)
     texts = marked.select("_id", "_hash", F.col(text).alias("_text"))
-    cut = map_slices(texts, run, "_id long, _hash long, digests array<long>")
+    cut = map_slices(texts, run, "_id long, _hash long, digests array<long>, checks array<long>")
     cut = materialise(cut, "windows")
     windows = cut.select("_id", "_hash", F.posexplode("digests").alias("number", "digest"))
     several = F.count("*") > 1 if within else F.min("_id") < F.max("_id")
     shared = windows.groupBy("digest").agg(several.alias("several"))
     shared = materialise(shared.filter("several").select("digest"), "shared")
     # Few windows are left here, so the whole order of rows is only worked out for them.
+    both = F.posexplode(F.arrays_zip("digests", "checks")).alias("number", "both")
+    windows = cut.select("_id", "_hash", both).select("_id", "_hash", "number", "both.digests", "both.checks")
+    windows = windows.withColumnsRenamed({"digests": "digest", "checks": "check"})
     shared = materialise(windows.join(shared, "digest"), "shared-windows")
     order = F.struct("_id", "_hash", "number")
-    firsts = materialise(shared.groupBy("digest").agg(F.min(order).alias("first")), "firsts")
-    later = shared.join(firsts, "digest").filter(F.col("first") < order if within else "first._id < _id")
+    firsts = materialise(shared.groupBy("digest", "check").agg(F.min(order).alias("first")), "firsts")
+    later = shared.join(firsts, ["digest", "check"]).filter(F.col("first") < order if within else "first._id < _id")
     return later.groupBy("_id", "_hash").agg(
         F.collect_set(
             F.struct(

@@ -3,6 +3,7 @@ from __future__ import annotations
 import cases
 import numpy as np
 import pytest
+from compare import rows
 
 from tagloom.llm import chunks
 
@@ -210,3 +211,14 @@ def test_repeats_within_a_text_and_between_null_ids(spark):
     alone = spark.createDataFrame([(None, mixed(460, three)), (None, mixed(470, three))], "doc_id long, text string")
     assert [r["first_doc_id"] for r in chunks.repeats(alone, within=True).collect()] == [None]
     assert sum(r["text"].count(three) for r in chunks.cut_repeats(alone, within=True).collect()) == 1
+
+
+def test_windows_of_one_digest_but_other_words_are_no_repeats(spark, monkeypatch):
+    texts = [(i, cases.prose(50 + i, 120)) for i in range(6)] + [(9, cases.prose(50, 120))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    true = rows(chunks.repeats(docs), "doc_id", "span_start", "span_end", "first_doc_id")
+    plain = chunks._digest
+    # The first half of every digest is the same number.
+    monkeypatch.setattr(chunks, "_digest", lambda data, seed=0: bytes(8) + plain(data, seed)[8:])
+    assert rows(chunks.repeats(docs), "doc_id", "span_start", "span_end", "first_doc_id") == true
+    assert {r[0] for r in true} == {9}
