@@ -29,8 +29,8 @@ K1, B = 1.2, 0.75
 # run of words as long as a segment lies within some passage.
 SEGMENT = 64
 
-# Share of its score against itself that a segment must reach in a passage. A passage with
-# 0.8 of a segment's shingles scores more (see the tests).
+# Share of its score against itself that a segment must reach in a passage, or less where the words that
+# ``OVERLAP`` allows to be lost may carry more of it.
 THRESHOLD = 0.5
 
 # Words of a shingle, and share of them that must be found again.
@@ -47,7 +47,10 @@ SLACK = 0.4
 # Largest item text that is indexed and sent to every executor.
 MAX_INDEX_BYTES = 64 << 20
 
-_words = re.compile(r"[^\W_]+").findall
+# Scripts without spaces between words, of which each character is a word: Thai, Lao, Burmese, Khmer,
+# Japanese and Chinese.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_words = re.compile(rf"[{_UNSPACED}]|[^\W_{_UNSPACED}]+").findall
 _sentences = re.compile(r"(?<=[.?!])\s+")
 
 
@@ -81,10 +84,11 @@ class Item(NamedTuple):
 
 class Index(NamedTuple):
     """Postings by term: segments ascending, with impacts as shares of the segment's own
-    score; blocks of neighbouring segments with their largest impact."""
+    score, times its ``scale``, by which one that may reach less comes to ``THRESHOLD``; blocks of neighbouring segments with their largest impact."""
 
     items: list[Item]
     item_of: list[int]
+    scale: list[float]
     terms: dict[str, int]
     postings: list[list[tuple[int, float]]]
     common: np.ndarray
@@ -97,7 +101,7 @@ class Index(NamedTuple):
     def build(rows: list[tuple[int | None, str | None]]) -> Index:
         if sum(len(t or "") for _, t in rows) > MAX_INDEX_BYTES:
             raise ValueError("too much item text to be sent to every executor")
-        items, item_of, segments = [], [], []
+        items, item_of, segments, spare = [], [], [], []
         for item_id, text in rows:
             question, answer = parts_of(text)
             words = question + answer
@@ -106,12 +110,17 @@ class Index(NamedTuple):
             for at in range(0, len(words), SEGMENT):
                 item_of.append(len(items))
                 segments.append(Counter(words[at : at + SEGMENT]))
+                # Each lost word takes at least one shingle along; the last ones of a segment that goes on in
+                # others may take those that start before it.
+                lost = int((1 - OVERLAP) * len(words[at : at + SEGMENT]) + 1e-9)
+                spare.append(lost + (SHINGLE - 1) * (len(words) > SEGMENT))
             items.append(Item(item_id, words, question, answer))
         n = len(segments)
         df = Counter(t for s in segments for t in s)
         average = sum(sum(s.values()) for s in segments) / n if n else 1.0
         terms = {t: i for i, t in enumerate(sorted(df))}
         postings: list[list[tuple[int, float]]] = [[] for _ in terms]
+        scale = [1.0] * n
         for number, segment in enumerate(segments):
             norm = K1 * (1 - B + B * sum(segment.values()) / average)
             scores = {
@@ -119,8 +128,9 @@ class Index(NamedTuple):
                 for t, tf in segment.items()
             }
             own = sum(scores.values())
+            scale[number] = max(1.0, THRESHOLD / _least(segment, scores, spare[number]))
             for t, score in scores.items():
-                postings[terms[t]].append((number, score / own))
+                postings[terms[t]].append((number, score / own * scale[number]))
         starts, numbers, maxima = [0], [], []
         for row in postings:
             best: dict[int, float] = {}
@@ -132,7 +142,7 @@ class Index(NamedTuple):
         n_blocks = -(-n // BLOCK)
         common = Index._common(np.diff(starts), postings, n)
         return Index(
-            items, item_of, terms, postings, common, np.array(starts),
+            items, item_of, scale, terms, postings, common, np.array(starts),
             np.array(numbers, np.int64), np.array(maxima), n_blocks,
         )
 
@@ -219,7 +229,7 @@ class Index(NamedTuple):
             item = self.item_of[segment]
             at = passage * SEGMENT
             spans.setdefault(item, []).append(at)
-            best[item] = max(score, best.get(item, 0.0))
+            best[item] = max(score / self.scale[segment], best.get(item, 0.0))
         out = []
         for item, starts in spans.items():
             entry = self.items[item]
@@ -234,6 +244,20 @@ class Index(NamedTuple):
         return out
 
 
+def _least(segment: Counter, scores: dict[str, float], spare: int) -> float:
+    """Least share of its score that is left of a segment when ``spare`` of its words are lost: those that carry
+    most for each time they occur, the last one in part."""
+    left = sum(scores.values())
+    own = left
+    for term in sorted(scores, key=lambda t: scores[t] / segment[t], reverse=True):
+        gone = min(1.0, spare / segment[term])
+        left -= gone * scores[term]
+        spare -= segment[term]
+        if spare <= 0:
+            break
+    return max(left / own, 1e-6)
+
+
 def _bound(threshold: float) -> float:
     """What the terms that are not common must reach, as the common ones add no more than
     ``SLACK * THRESHOLD``."""
@@ -270,11 +294,17 @@ def index_of(benchmark: DataFrame, item_id: str = "item_id", text: str = "text")
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """One row per document and item that it holds: (doc_id, item_id, score,
     question_overlap, answer_overlap).
 
+    Found is what has ``OVERLAP`` of an item's shingles, or of those of its question and of its answer, in one run of
+    ``SEGMENT`` words for each segment: words lost there cost no more of its score than was allowed for.
     Null and empty texts hold nothing, items without words are held by nothing; repeated
     documents and items each give their rows.
     """
@@ -292,7 +322,7 @@ def find_leaks(
         "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     )
     names = [c.split()[0] for c in schema.split(", ")]
-    return map_slices(docs.select(F.col(doc_id).alias("doc_id"), "text"), run, schema)
+    return map_slices(docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("text")), run, schema)
 
 
 def drop_leaks(

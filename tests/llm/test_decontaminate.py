@@ -117,3 +117,43 @@ def test_too_large_a_benchmark_is_refused(spark, documents, monkeypatch):
     monkeypatch.setattr(dc, "MAX_INDEX_BYTES", 10)
     with pytest.raises(ValueError):
         dc.find_leaks(documents, spark.createDataFrame(items(3), ITEMS))
+
+
+def test_items_of_one_template_are_found_without_their_own_words():
+    """The rare words carry most of the score, but few of the shingles."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(9))
+    for _ in range(6):
+        shared = [word() for _ in range(rng.randint(12, 40))]
+        own = [[word() for _ in range(3)] for _ in range(150)]
+        cut = rng.randrange(len(shared) + 1)
+        table = [(i, " ".join([*shared[:cut], *o, *shared[cut:]])) for i, o in enumerate(own)]
+        table += [(200 + i, " ".join(word() for _ in range(20))) for i in range(50)]
+        index = dc.Index.build(table)
+        for i in rng.sample(range(200), 25):
+            words = table[i % 200][1].split()
+            for _ in range(rng.randrange(4)):
+                words[rng.choice((-1, -2, 0, rng.randrange(len(words))))] = word()
+            text = " ".join([*(word() for _ in range(rng.randrange(90))), *words, word()])
+            wanted = {
+                item.item_id
+                for item in index.items
+                if dc._share(item.words, [dc.words_of(text)]) >= dc.OVERLAP
+            }
+            assert wanted <= {m[0] for m in index.matches(text)}
+
+
+def test_an_item_in_a_script_without_spaces_is_found_within_a_sentence():
+    item = "".join(chr(0x4E00 + 37 * i) for i in range(30))
+    index = dc.Index.build([(1, item), (2, "one two three four five six seven")])
+    around = "".join(chr(0x6000 + 11 * i) for i in range(100))
+    assert [m[0] for m in index.matches(around + item + around)] == [1]
+    assert index.matches(around) == []
+
+
+def test_repeated_items_and_other_names(spark):
+    rows = items()[:20]
+    benchmark = spark.createDataFrame([*rows, rows[3], rows[3]], ITEMS)
+    docs = spark.createDataFrame([(5, rows[3][1]), (5, rows[3][1])], "doc_id long, body string")
+    found = dc.find_leaks(docs.selectExpr("*", "'x' AS text", "1 AS score"), benchmark, text="body")
+    assert [tuple(r)[:2] for r in found.collect()] == [(5, rows[3][0])] * 6
