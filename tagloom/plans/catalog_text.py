@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.text import WORD
+from tagloom.functions.text import words as fn_words
 from tagloom.operators import augment as aug
-from tagloom.operators import linear
+from tagloom.operators import linear, subwords
 from tagloom.operators import textfeatures as tx
+from tagloom.operators.ordering import add_row_index
 from tagloom.operators.predictions import score_batch
 from tagloom.plans import views
 from tagloom.plans.catalog_labels import RARE, RARE_DOCS, SUPPLY, rare, supply
@@ -60,6 +62,67 @@ def encode_fixed_length(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# Pieces of the sub-word queries: the most used words, the ends of words, and single characters, but no figures.
+PIECES = """SELECT piece AS token, row_number() OVER (ORDER BY piece) + 1 AS token_id FROM (
+    SELECT token AS piece FROM (SELECT token FROM tokens GROUP BY token ORDER BY count(*) DESC, token LIMIT 800)
+    UNION SELECT '##' || ending FROM (SELECT right(token, 3) AS ending FROM tokens WHERE length(token) > 3
+        GROUP BY 1 ORDER BY count(*) DESC, ending LIMIT 400)
+    UNION SELECT '##' || c FROM letters UNION SELECT c FROM letters)"""
+LETTERS = """SELECT DISTINCT c FROM (SELECT unnest(string_split(token, '')) AS c FROM (SELECT DISTINCT token FROM tokens))
+    WHERE NOT regexp_matches(c, '[0-9]')"""
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """(token, token_id): the vocabulary ``PIECES`` of the documents, from their own words."""
+    counts = materialise(
+        docs.select(F.explode(fn_words("text")).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "counts"
+    )
+    letters = counts.select(F.explode(F.split("token", "")).alias("c")).distinct().filter("c <> '' AND NOT c RLIKE '[0-9]'")
+    endings = counts.filter("length(token) > 3").groupBy(F.expr("right(token, 3)").alias("ending")).agg(F.sum("n").alias("n"))
+    named = [
+        counts.orderBy(F.desc("n"), "token").limit(800).select("token"),
+        endings.orderBy(F.desc("n"), "ending").limit(400).select(F.concat(F.lit("##"), "ending").alias("token")),
+        letters.select(F.col("c").alias("token")),
+        letters.select(F.concat(F.lit("##"), "c").alias("token")),
+    ]
+    numbered = add_row_index(reduce(DataFrame.unionAll, named).distinct(), ["token"], "_at")
+    return numbered.select("token", (F.col("_at") + tx.RESERVED).cast("int").alias("token_id"))
+
+
+@query(
+    "encode_subwords",
+    sql(
+        """SELECT doc_id, CAST(coalesce(sum(len(ids)), 0) AS BIGINT) AS n_pieces,
+                  array_to_string((coalesce(flatten(list(ids ORDER BY pos)), CAST([] AS INTEGER[]))
+                      || list_transform(range(512), lambda x: CAST(0 AS INTEGER)))[:512], ' ') AS input_ids
+           FROM documents LEFT JOIN (SELECT doc_id, pos, coalesce(ids, [1]) AS ids FROM tokens LEFT JOIN coded USING (token))
+           USING (doc_id) GROUP BY doc_id""",
+        tokens=TOKENS,
+        letters=LETTERS,
+        pieces=PIECES,
+        bodies="""SELECT token_id AS id, starts_with(token, '##') AND length(token) > 2 AS inside,
+            CASE WHEN starts_with(token, '##') AND length(token) > 2 THEN token[3:] ELSE token END AS body FROM pieces""",
+        words="SELECT DISTINCT token FROM tokens",
+        # The longest piece at each place of each word.
+        longest="""SELECT token, place, arg_max(id, length(body)) AS id, max(length(body)) AS n
+            FROM (SELECT token, unnest(range(1, length(token) + 1)) AS place FROM words) w,
+                 (SELECT DISTINCT length(body) AS l FROM bodies) s, bodies b
+            WHERE b.inside = (place > 1) AND length(b.body) = l AND place + l <= length(token) + 1 AND b.body = substr(token, place, l)
+            GROUP BY 1, 2""",
+        coded="""WITH RECURSIVE walk(token, place, ids) AS (
+                SELECT token, CAST(1 AS BIGINT), CAST([] AS INTEGER[]) FROM words
+                UNION ALL SELECT w.token, w.place + l.n, list_append(w.ids, CAST(l.id AS INTEGER))
+                FROM walk w JOIN longest l ON l.token = w.token AND l.place = w.place)
+            SELECT token, ids FROM walk WHERE place = length(token) + 1""",
+    ),
+)
+def encode_subwords(spark: SparkSession, d: str) -> DataFrame:
+    docs = views.texts(spark, d)
+    coded = subwords.encode_subwords(docs, pieces(docs))
+    ids = F.concat_ws(" ", F.col("input_ids").cast("array<string>")).alias("input_ids")
+    return coded.select("doc_id", "n_pieces", ids)
+
+
 STOP_LIST = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 TFIDF = {
@@ -479,6 +542,28 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     ).unionByName(bad.select(none.alias("pmid"), none.alias("year"), F.col("line").alias("tags")))
 
 
+@query(
+    "stream_monthly",
+    """SELECT CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
+              count(*) AS n, min(o_orderkey) AS first_key
+       FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate END AS day FROM orders)
+       GROUP BY 1, 2""",
+)
+def stream_monthly(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that arrive in files, a third of them twice; the second run of the stream finds late ones."""
+    source, out, state = (scratch_path(spark, n) for n in ("incoming", "months", "state"))
+    day = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate"))
+    orders = views.table(spark, d, "orders").select("o_orderkey", day.alias("day"))
+    for late in (False, True):
+        new = orders.filter((F.col("o_orderkey") % 3 == 0) | ((F.col("o_orderkey") % 3 == 1) == F.lit(late)))
+        new.repartition(2, "o_orderkey").write.mode("append").parquet(source)
+        arriving = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        arriving = arriving.withColumn("arrived", F.col("_metadata.file_modification_time"))
+        jobs.stream_monthly(arriving, "o_orderkey", "day", "arrived", out, state).awaitTermination()
+    rows, _ = jobs.read_stream_months(spark, out)
+    return rows.groupBy("year", "month").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"))
+
+
 def streamed(spark: SparkSession, d: str, scorer: linear.LinearTagger) -> DataFrame:
     source, out, state = (scratch_path(spark, n) for n in ("incoming", "scored", "state"))
     docs = views.texts(spark, d)

@@ -27,25 +27,39 @@ def finished_months(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MONTH)
 
 
+def _keep_undated(undated: DataFrame, path: str) -> None:
+    """Adds the rows to those without a date; rows that an earlier run has kept are not kept again."""
+    spark, place = undated.sparkSession, os.path.join(path, "undated")
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in undated.columns]), {"ignoreNullFields": "false"})
+    marked = undated.withColumn("_row", F.sha2(row, 256))
+    try:
+        known = spark.read.schema("_row STRING").parquet(place).distinct()
+        marked = marked.join(known, "_row", "left_anti")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    marked.write.mode("append").parquet(place)
+
+
 def ingest_monthly(df: DataFrame, date: str, path: str, year: int | None = None) -> DataFrame:
     """Writes the months of ``df`` that are not finished yet; returns them (year, month).
 
     Rows go to one folder per month under ``data``, replacing what an earlier,
     interrupted run may have left there. A month counts as finished only when the
     ledger under ``finished`` names it, which is written last. Rows without a date belong to
-    no month: each run writes those of its ``df`` anew under ``undated``.
+    no month: they are added to ``undated`` once, whichever runs see them. The list of months reads
+    the date alone; the rows are read once, and those without a date once more if there are any.
     """
     spark = df.sparkSession
-    undated = df.filter(F.col(date).isNull())
-    undated.write.mode("overwrite").parquet(os.path.join(path, "undated"))
-    months = with_month(df.filter(F.col(date).isNotNull()), date)
+    months = with_month(df, date)
     if year is not None:
-        months = months.filter(F.col("year") == year)
+        months = months.filter((F.col("year") == year) | F.col("year").isNull())
     # A calendar has few months: both sides of this join are lists of them.
     done = F.broadcast(finished_months(spark, path))
-    todo = materialise(
-        months.select("year", "month").distinct().join(done, ["year", "month"], "left_anti")
-    )
+    listed = materialise(months.select("year", "month").distinct().join(done, ["year", "month"], "left_anti"))
+    todo = listed.filter("year IS NOT NULL")
+    if not listed.filter("year IS NULL").isEmpty():
+        _keep_undated(df.filter(F.col(date).isNull()), path)
     rows = months.join(F.broadcast(todo), ["year", "month"], "left_semi")
     # Rebalancing by month keeps the number of files small and splits a hot month.
     (
@@ -60,8 +74,8 @@ def ingest_monthly(df: DataFrame, date: str, path: str, year: int | None = None)
 
 
 def read_undated(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last run that have no date."""
-    return spark.read.parquet(os.path.join(path, "undated"))
+    """Rows of all runs that have no date."""
+    return spark.read.parquet(os.path.join(path, "undated")).drop("_row")
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:

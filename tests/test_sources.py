@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime
 import json
 
 from compare import rows
@@ -211,3 +212,14 @@ def test_finished_months_stay_and_unfinished_are_redone(spark, tmp_path):
     assert rows(monthly.read_months(spark, path), "item") == [("2020-01-05",), ("2020-02-01",)]
     assert monthly.ingest_monthly(days(spark, "2020-01-31", "2020-02-01"), "d", path).count() == 0
     assert rows(monthly.read_months(spark, path), "item") == [("2020-01-05",), ("2020-02-01",)]
+
+
+def test_undated_rows_of_all_runs_are_kept_once(spark, tmp_path):
+    path = str(tmp_path)
+    table = lambda *r: spark.createDataFrame(list(r), "item string, d date")
+    day = datetime.date(2020, 1, 5)
+    monthly.ingest_monthly(table(("a", None), ("a", None), ("b", day)), "d", path)
+    monthly.ingest_monthly(table(("a", None), ("c", None)), "d", path)
+    monthly.ingest_monthly(table(("e", day)), "d", path)
+    assert rows(monthly.read_undated(spark, path), "item") == [("a",), ("a",), ("c",)]
+    assert rows(monthly.read_months(spark, path), "item") == [("b",)]

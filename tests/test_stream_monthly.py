@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+from compare import rows
+from pyspark.sql import functions as F
+
+from tagloom.streaming import jobs
+
+SCHEMA = "pmid string, day date, arrived timestamp"
+
+
+def arrive(spark, folder, *table):
+    typed = [f"('{k}', DATE '{d}', TIMESTAMP '{a}')" if k else f"(NULL, DATE '{d}', TIMESTAMP '{a}')" for k, d, a in table]
+    spark.sql(f"SELECT * FROM VALUES {', '.join(typed)} AS t(pmid, day, arrived)").coalesce(1).write.mode("append").parquet(folder)
+
+
+def run(spark, folder, out, state):
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+    jobs.stream_monthly(stream, "pmid", "day", "arrived", out, state).awaitTermination()
+    return jobs.read_stream_months(spark, out)
+
+
+def test_repeats_late_rows_and_replays(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    arrive(spark, folder, ("a", "2020-01-05", "2024-01-01"), ("b", "2020-02-05", "2024-01-01"), ("b", "2020-02-05", "2024-01-01"))
+    run(spark, folder, out, state)
+    # A repeat in a later file, a late row of January, two rows without a key.
+    arrive(spark, folder, ("a", "2020-01-05", "2024-01-09"), ("c", "2020-01-31", "2024-01-09"), (None, "2020-03-01", "2024-01-09"), (None, "2020-03-01", "2024-01-09"))
+    taken, months = run(spark, folder, out, state)
+    want = [("a", 2020, 1), ("b", 2020, 2), ("c", 2020, 1), (None, 2020, 3), (None, 2020, 3)]
+    assert rows(taken, "pmid", "year", "month") == sorted(want, key=repr)
+    assert rows(months, "year", "month", "n", "opened") == [(2020, 1, 2, 2), (2020, 2, 1, 1), (2020, 3, 2, 1)]
+    again, _ = run(spark, folder, out, state)  # nothing new
+    assert rows(again, "pmid", "year", "month") == sorted(want, key=repr)
+    # Long after the first time a key counts as new.
+    arrive(spark, folder, ("x", "2020-05-01", "2024-06-01"))
+    run(spark, folder, out, state)
+    arrive(spark, folder, ("a", "2020-01-05", "2024-06-02"))
+    taken, _ = run(spark, folder, out, state)
+    assert taken.filter(F.col("pmid") == "a").count() == 2
