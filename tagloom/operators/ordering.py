@@ -3,13 +3,14 @@ whole hot group, into one task."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tagloom.session import fits, materialise
+from tagloom.session import fits, materialise, small_side
 
 GROUP_SALTS = 64
 
@@ -118,13 +119,12 @@ def top_k(
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= k)
 
 
-def number_lines(lines: DataFrame, n: int = -1) -> DataFrame:
-    """Adds ``line_no``, 0-based over all files in path order; with ``n`` only the lines of
-    the splits that hold the first ``n``.
+def number_lines(lines: DataFrame) -> DataFrame:
+    """Adds ``line_no``, 0-based over all files in path order.
 
     ``lines`` must come straight from ``spark.read.text(...)``. Positions come
     from the split a line was read in, so the lines are neither sorted nor
-    shuffled; only one row per input split is, and is sent to every executor.
+    shuffled; only one row per input split is, and is sent to every executor while these are few.
     """
     marked = lines.select(
         "value",
@@ -143,17 +143,34 @@ def number_lines(lines: DataFrame, n: int = -1) -> DataFrame:
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
     )
-    if n != -1:
-        splits = splits.filter(F.col("_start") < n)  # later splits drop out in the join
-    return marked.join(F.broadcast(splits), ["_file", "_block"]).select(
+    splits = small_side(materialise(splits, "splits"))
+    return marked.join(splits, ["_file", "_block"]).select(
         "value", (F.col("_start") + F.col("_pos") - F.col("_first")).alias("line_no")
     )
 
 
+def first_files(lines: DataFrame, n: int) -> DataFrame:
+    """``lines`` of as many files, in path order, as hold the first ``n``, and of few more.
+
+    Files are tried in growing rounds: one, then four times as many as before, until they have ``n`` lines. A task
+    counts no more than ``n``, and files beyond the round are not opened at all.
+    """
+    # Rows name local files with one slash, the listing with three.
+    files = sorted(re.sub("^file:/+", "file:/", f) for f in lines.inputFiles())
+    some = 1
+    while some < len(files):
+        chosen = lines.filter(F.col("_metadata.file_path").isin(files[:some]))
+        if chosen.limit(n).count() >= n:
+            return chosen
+        some *= 4
+    return lines
+
+
 def head_lines(lines: DataFrame, n: int = -1) -> DataFrame:
     """The first ``n`` lines before any filter; fewer if there are fewer, -1 for all."""
-    numbered = number_lines(lines, n)
-    return numbered if n == -1 else numbered.filter(F.col("line_no") < n)
+    if n == -1:
+        return number_lines(lines)
+    return number_lines(first_files(lines, n)).filter(F.col("line_no") < n)
 
 
 def head_rows(df: DataFrame, order: Sequence[str | Column], n: int = -1) -> DataFrame:

@@ -104,3 +104,16 @@ def test_shards_differ_by_one_at_most(spark):
     assert [by_shard[i] for i in range(4)] == [[0, 1, 2], [3, 4, 5], [6, 7, 8], [9, 10]]
     few = sampling.shard_contiguous(spark.range(2), ["id"], 4)
     assert rows(few, "id", "shard") == [(0, 0), (1, 1)]
+
+
+def test_the_head_of_many_files_opens_few(spark, tmp_path):
+    for i in range(30):
+        (tmp_path / f"part {i:02}.txt").write_text("".join(f"{i}-{j}\n" for j in range(10)))
+    text = spark.read.text(str(tmp_path))
+    opened = lambda n: {r[0] for r in ordering.first_files(text, n).select("_metadata.file_name").distinct().collect()}
+    assert [len(opened(n)) for n in (1, 10, 11, 40, 41, 300, 999)] == [1, 1, 4, 4, 16, 30, 30]
+    plan = ordering.first_files(text, 10)._jdf.queryExecution().executedPlan()
+    assert "part%2000.txt" in plan.toString()
+    for n in (0, 5, 25, 300, 999):
+        got = sorted((r.line_no, r.value) for r in ordering.head_lines(text, n).collect())
+        assert got == [(10 * i + j, f"{i}-{j}") for i in range(30) for j in range(10)][:n]
