@@ -7,15 +7,14 @@ import re
 
 import numpy as np
 
-# Elements without content, elements whose content is no markup, elements that
-# never hold text of the page, and elements that stand within a line.
+# Elements without content, elements whose content is no markup, elements whose content is
+# code, data or a control and never text of the page, and elements that stand within a line.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 RAW = frozenset("script style textarea title xmp iframe noembed noframes template".split())
 UNSHOWN = frozenset(
-    "head script style textarea title xmp iframe noembed noframes template noscript svg math "
-    "object audio video canvas select datalist".split()
+    "head script style textarea title iframe noembed noframes template select datalist".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
@@ -151,22 +150,21 @@ class Page:
         """Whether the text in an element can be text of the page at all."""
         out = np.ones(len(self.tags), bool)
         for i in range(1, len(self.tags)):
-            hidden = self.tags[i] in UNSHOWN or _is_hidden(self.attributes[i])
-            out[i] = out[self.parents[i]] and not hidden
+            out[i] = out[self.parents[i]] and self.tags[i] not in UNSHOWN
         return out
 
     def text(self, kept: np.ndarray) -> str:
         """The text of the elements ``kept``: references decoded, white space as one space,
-        one space between blocks."""
+        one space between blocks. What is left out parts the text around it only where a block stood."""
         parts, block = [], None
-        blocks = self.blocks()
+        blocks, shown = self.blocks(), self.shown()
         for node, text in self.texts:
             if kept[node]:
                 if blocks[node] != block and parts:
                     parts.append(" ")
                 block = blocks[node]
                 parts.append(text)
-            else:
+            elif shown[node] and blocks[node] != block:
                 block = None
         return " ".join("".join(parts).split())
 
@@ -178,17 +176,6 @@ class Page:
         return out
 
 
-def _is_hidden(attributes: str) -> bool:
-    if not attributes:
-        return False
-    low = attributes.lower()
-    if "hidden" not in low and "none" not in low:
-        return False
-    values = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes)}
-    style = values.get("style", "").replace(" ", "").lower()
-    return "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in style
-
-
 FEATURES = (
     "depth chars words link_share tags density punctuation own_share children place siblings "
     "alike page_share start paragraphs items controls headings parent_density sibling_density "

@@ -70,7 +70,9 @@ def whole(source):
         ("<script>var t='</p>';</script><p>&lt;a&gt; &amp;amp; &#233;&nbsp;x &am", "<a> &amp; é x &am"),
         ("<style>p{}</style><!-- <p>no</p> --><p title='>'>yes", "yes"),
         ("a < b and 3<4", "a < b and 3<4"),
-        ("<p hidden>no</p><p style='display: none'>no</p><p>yes</p>", "yes"),
+        ("<p hidden>a</p><noscript><p>b</p></noscript><p>x<math><mi>c</mi></math></p>", "a b x c"),
+        ("wor<script>x</script>ld <b>o<style>y</style>ne</b>", "world one"),
+        ("a<select><option>b</select>c<div>d</div>e", "ac d e"),
         ("<p>end <p cla", "end"),
         ("<p>a\n\t b</p>\n<p>  c</p>", "a b c"),
         ("<div>a<p>b</div>c", "a b c"),
