@@ -32,28 +32,6 @@ def counts(y, scores, limits):
     return np.array([(y * p).sum(0), ((1 - y) * p).sum(0), (y * ~p).sum(0)])
 
 
-def search(y, scores, grid=None):
-    """The rules of the search, one label and candidate at a time."""
-    limits, first, history = scores.min(0), True, []
-    while True:
-        per_label = counts(y, scores, limits)
-        total = per_label.sum(1)
-        history.append(f1(*total))
-        new = limits.copy()
-        for j in range(y.shape[1]):
-            best = history[-1]
-            options = [i / grid for i in range(1, grid)] if grid else np.unique(scores[:, j])
-            for c in options:
-                if not first and c < limits[j]:
-                    continue
-                value = f1(*(total - per_label[:, j] + counts(y[:, [j]], scores[:, [j]], c)[:, 0]))
-                if value > best:
-                    best, new[j] = value, c
-        if (new == limits).all():
-            return limits, history
-        limits, first = new, False
-
-
 def tuned(spark, y, scores, sparse=False, grid=None):
     truth, scored, names = tables(spark, y, scores, sparse)
     result = th.tune_thresholds(truth, scored, len(y), names, grid)
@@ -76,17 +54,37 @@ def test_known_cases(spark, y, scores, expected):
 
 
 @pytest.mark.parametrize("seed,sparse,grid", [(1, False, None), (2, True, None), (3, False, 10), (4, True, 10)])
-def test_random_cases_follow_the_rules(spark, seed, sparse, grid):
+def test_what_holds_for_any_result(spark, seed, sparse, grid):
     r = np.random.default_rng(seed)
     y = (r.random((40, 5)) < 0.3).astype(int)
     scores = np.round(np.clip(r.random((40, 5)) * 0.6 + y * 0.3, 0, 1), 2)
     if sparse:
         scores = scores * (r.random((40, 5)) < 0.5)
     got, result = tuned(spark, y, scores, sparse, grid)
-    limits, history = search(y, scores, grid)
-    assert got == pytest.approx(list(limits))
-    assert result.f1[: len(history)] == pytest.approx(history)
+    start, limits = scores.min(0), np.array(got)
+    at = lambda t: f1(*counts(y, scores, t).sum(1))
+    # The search starts from the least score of each label, never gets worse, and ends where it says.
+    assert result.f1[0] == pytest.approx(at(start)) and result.f1[-1] == pytest.approx(at(limits))
     assert all(b >= a for a, b in zip(result.f1, result.f1[1:]))
+    for j in range(y.shape[1]):
+        options = [i / grid for i in range(1, grid)] if grid else sorted(set(scores[:, j]))
+        moved = lambda c: np.where(np.arange(len(limits)) == j, c, limits)
+        # No label alone can be raised to a better result.
+        assert all(at(moved(c)) <= at(limits) + 1e-12 for c in options if c >= limits[j])
+        if limits[j] != start[j]:
+            # A new threshold is a candidate, and the lowest of those that keep the same documents.
+            assert any(c == pytest.approx(limits[j]) for c in options)
+            lower = [c for c in options if c < limits[j] - 1e-12]
+            if lower:
+                assert (counts(y, scores, moved(lower[-1]))[:, j] != counts(y, scores, limits)[:, j]).any()
+
+
+def test_by_hand(spark):
+    # Raising label 0 to 0.2 loses its false positive: F1 goes from 6/7 to 1, and label 1 is left alone.
+    y = np.array([[1, 1], [0, 0], [0, 1]])
+    scores = np.array([[0.9, 0.8], [0.2, 0.1], [0.1, 0.6]])
+    got, result = tuned(spark, y, scores)
+    assert got == [0.2, 0.1] and result.f1 == pytest.approx([6 / 7, 1.0, 1.0][: len(result.f1)])
 
 
 def test_nothing_to_find_gives_zero(spark):
