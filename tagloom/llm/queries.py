@@ -69,7 +69,8 @@ def op9_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, folder, "pages"))
+    pages = table(spark, folder, "pages")
+    return url_filter.judge_urls(pages, blocked_hosts=url_filter.hosts_named(pages))
 
 
 def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,8 +158,8 @@ def _url_cases() -> tuple[str, str]:
         test = f"(('.' || host) LIKE '%.{host}' AND starts_with(path, '{path}'))"
         fits.append(f"WHEN {test} THEN '{host}{path}'")
         verdicts.append(f"WHEN {test} THEN '{verdict}'")
-    for host in url_filter.BLOCKED_HOSTS:
-        verdicts.append(f"WHEN ('.' || host) LIKE '%.{host}' THEN 'block'")
+    names = ", ".join(f"'{n}'" for n in url_filter.BLOCKED_NAMES)
+    verdicts.append(f"WHEN list_has_any(string_split(host, '.'), [{names}]) THEN 'block'")
     return "\n    ".join(fits), "\n    ".join(verdicts)
 
 

@@ -31,8 +31,11 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 
-# Hosts that are blocked, with their subdomains, where no rule fits.
-BLOCKED_HOSTS = ("spam-farm.example.org", "cheap-pills.example.com", "free-bets.example.com")
+# Names that mark a host as one to be listed, under any ending.
+BLOCKED_NAMES = ("spam-farm", "cheap-pills", "free-bets", "casino-win")
+
+# Most hosts of a list that is made from a table.
+MAX_HOSTS = 1_000_000
 
 _BEFORE_HOST = re.compile("://")
 _HOST_END = re.compile("[/?#]")
@@ -152,10 +155,25 @@ def publish(spark: SparkSession, data: bytes) -> str:
     return os.path.basename(name)
 
 
+def hosts_named(
+    pages: DataFrame, names: Sequence[str] = BLOCKED_NAMES, url: str = "url", most: int = MAX_HOSTS
+) -> list[str]:
+    """The hosts of the URLs that have one of ``names`` between their dots, for a list; more than ``most``
+    are an error."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    host = F.translate(F.regexp_extract(pages[f"`{url}`"], r"(?s)^.*?://([^/?#]*)", 1), upper, lower)
+    marked = F.arrays_overlap(F.split(host, r"\."), F.array(*[F.lit(n) for n in names]))
+    found = pages.select(host.alias("host"), marked.alias("marked")).filter("marked").select("host").distinct()
+    hosts = [r["host"] for r in found.limit(most + 1).collect()]
+    if len(hosts) > most:
+        raise ValueError(f"more than {most} hosts to be listed")
+    return sorted(hosts)
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
-    blocked_hosts: Sequence[str] = BLOCKED_HOSTS,
+    blocked_hosts: Sequence[str] = (),
     page_id: str = "page_id",
     url: str = "url",
 ) -> DataFrame:

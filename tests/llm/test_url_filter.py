@@ -4,9 +4,11 @@ import random
 
 import cases
 import pytest
+from pyspark.sql import functions as F
 
 from tagloom.llm import url_filter
 
+HOSTS = ("spam-farm.example.org", "cheap-pills.example.com", "free-bets.example.com")
 URLS = [
     "http://www.example.com/en/1", "http://example.com/en/1", "http://a.example.com/EN/1",
     "https://WWW.Example.COM/en/?q#f", "http://b.net/es/", "http://b.net/es", "http://net/fr/x",
@@ -40,14 +42,14 @@ def plain(url, rules, hosts):
 
 def judged(spark, urls, **kw):
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    rows = url_filter.judge_urls(df.repartition(3), **kw).collect()
+    rows = url_filter.judge_urls(df.repartition(3), **{"blocked_hosts": HOSTS, **kw}).collect()
     return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows}
 
 
 def test_urls_equal_a_plain_search(spark):
     got = judged(spark, URLS)
     for i, url in enumerate(URLS):
-        assert got[i] == plain(url, url_filter.RULES, url_filter.BLOCKED_HOSTS), url
+        assert got[i] == plain(url, url_filter.RULES, HOSTS), url
 
 
 def test_many_rules(spark):
@@ -70,10 +72,10 @@ def test_many_rules(spark):
 def test_colliding_digests_decide_nothing(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda data: len(data) % 3)
     path = tmp_path / "rules.idx"
-    path.write_bytes(url_filter.index_bytes(url_filter.RULES, url_filter.BLOCKED_HOSTS))
+    path.write_bytes(url_filter.index_bytes(url_filter.RULES, HOSTS))
     got = url_filter.Index(str(path)).judge(URLS)
     rows = list(zip(got["host"], got["path"], got["rule"], got["verdict"]))
-    assert rows == [plain(u, url_filter.RULES, url_filter.BLOCKED_HOSTS) for u in URLS]
+    assert rows == [plain(u, url_filter.RULES, HOSTS) for u in URLS]
 
 
 def test_no_rules_and_no_pages(spark):
@@ -89,3 +91,19 @@ def test_repeats_nulls_and_more_columns(spark):
     df = cases.clashing(spark.createDataFrame(rows, "page_id long, url string").selectExpr("*", "'x' AS host", "1 AS rule"))
     got = sorted(map(str, url_filter.judge_urls(df).collect()))
     assert len(got) == 3 and got[0] == got[1] or got[1] == got[2]
+
+
+def test_hosts_to_be_listed_are_those_with_a_name(spark):
+    urls = [
+        "http://m.free-bets.example.net/a", "HTTPS://X.Free-Bets.example.org?u=http://spam-farm.example.com", "http://free-bets-news.example.com/",
+        "ftp://casino-win", "no host spam-farm.example.org", None, "http://a.example.com/spam-farm.", "http://m.free-bets.example.net/b",
+    ]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    found = url_filter.hosts_named(pages)
+    assert found == ["casino-win", "m.free-bets.example.net", "x.free-bets.example.org"]
+    with pytest.raises(ValueError, match="more than 2"):
+        url_filter.hosts_named(pages, most=2)
+    judged = url_filter.judge_urls(pages.withColumn("page_id", F.lit(1)), blocked_hosts=found).collect()
+    assert sorted(r.host for r in judged if r.rule is None and r.verdict == "block") == [
+        "casino-win", "m.free-bets.example.net", "m.free-bets.example.net", "x.free-bets.example.org",
+    ]
