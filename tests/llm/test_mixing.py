@@ -38,7 +38,7 @@ def shared(sizes: dict, budget: float, weights: dict, most: float) -> dict:
 
 def test_targets_equal_repeated_sharing(spark):
     rng = random.Random(5)
-    for _ in range(4):
+    for _ in range(2):
         sizes = {f"s{i}": rng.randint(0, 5) * rng.randint(1, 900) for i in range(9)}
         weights = {s: rng.choice((1.0, 2.0, 5.0)) for s in sizes}
         budget = 1.5 * sum(sizes.values())
