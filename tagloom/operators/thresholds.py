@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from tagloom.operators.ordering import running_totals
 from tagloom.operators.sampling import SEED, split_val_test
 from tagloom.session import cut_lineage, fits, materialise, small_side
 
+
 @dataclass
 class Tuning:
     """``thresholds`` is (label, threshold); ``f1`` the micro F1 at the start and
@@ -123,6 +126,71 @@ def f1_of(tp, fp, fn) -> float:
     return tp / whole if whole else 0.0
 
 
+def upper_hull(points: list[tuple[int, int]]) -> list[int]:
+    """Places of the points on the upper convex hull of ``points`` (predicted, hit), which are in rising order; those
+    in line with their neighbours stay. Exact, as all are whole numbers."""
+    kept: list[int] = []
+    for i, (x, y) in enumerate(points):
+        while len(kept) > 1:
+            (ax, ay), (bx, by) = points[kept[-2]], points[kept[-1]]
+            if (bx - ax) * (y - ay) <= (by - ay) * (x - ax):
+                break
+            kept.pop()
+        kept.append(i)
+    return kept
+
+
+# Candidates of a label that a task holds before it reduces them to their hull.
+HELD = 50_000
+
+
+def hull_candidates(candidates: DataFrame, starts: DataFrame) -> DataFrame:
+    """The rows of ``candidates`` (label, score, tp, fp, fn) that can be chosen in any round.
+
+    Whatever the other labels add, micro F1 is a ratio of what a label predicts and hits, both without squares, so it
+    is largest on the upper hull of its (predicted, hit) points; of equal points the lowest score is
+    taken. A threshold that has moved is on the hull, and what lies above it is the rest of the hull; for a label still at
+    its start the hull of the scores from there on counts, so both hulls are kept. Each task reduces what it has of
+    a label, and the parts are merged by label, so a label with many scores is never in one task whole.
+    """
+    joined = candidates.join(small_side(starts.select("label", F.col("threshold").alias("start"))), "label")
+    columns = ["label", "score", "tp", "fp", "fn", "start"]
+    joined = joined.select(*columns)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema)
+
+    def reduced(rows: list[tuple]) -> list[tuple]:
+        # By predicted documents; of as many the lowest score first, which alone stays.
+        rows = sorted(rows, key=lambda r: (r[2] + r[3], r[1]))
+        rows = [r for i, r in enumerate(rows) if not i or r[2] + r[3] != rows[i - 1][2] + rows[i - 1][3]]
+        kept = set()
+        for late in (False, True):
+            own = [i for i, r in enumerate(rows) if not late or r[1] >= r[5]]
+            kept.update(own[i] for i in upper_hull([(rows[j][2] + rows[j][3], rows[j][2]) for j in own]))
+        return [rows[i] for i in sorted(kept)]
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        kinds = None
+        for batch in batches:
+            kinds = batch.schema
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                own = held.setdefault(row[0], [])
+                own.append(row)
+                if len(own) >= HELD and len(own) & (len(own) - 1) == 0:
+                    held[row[0]] = reduced(own)
+        if kinds is not None:
+            for own in held.values():
+                rows = reduced(own)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)], schema=kinds)
+
+    def whole(label: pa.Table) -> pa.Table:
+        rows = reduced(list(zip(*(c.to_pylist() for c in label.columns))))
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), label.schema)], schema=label.schema)
+
+    parts = joined.mapInArrow(part, schema)
+    return parts.groupBy("label").applyInArrow(whole, schema).drop("start")
+
+
 def tune_thresholds(
     truth: DataFrame,
     scores: DataFrame,
@@ -135,8 +203,8 @@ def tune_thresholds(
 
     Every round lets each label choose, against the same global counts, the
     candidate that raises F1 most (the lowest of equals); from the second round
-    on a threshold cannot fall, so a label moves at most once per candidate. It ends when no
-    label moves; with ``max_rounds`` it raises if that takes more rounds. Three totals
+    on a threshold cannot fall, so a label moves at most once per candidate. Only candidates of
+    :func:`hull_candidates` are tried, which choose the same. It ends when no label moves; with ``max_rounds`` it raises if that takes more rounds. Three totals
     per round reach the driver.
     """
     if vocabulary is None:
@@ -149,6 +217,7 @@ def tune_thresholds(
         )
     )
     candidates = points.filter("cand").select("label", "score", "tp", "fp", "fn")
+    candidates = materialise(hull_candidates(candidates, state), "candidates")
     one_table = fits(state)  # one row per label, in every round
     totals = _totals(state)
     history = [f1_of(*totals)]
