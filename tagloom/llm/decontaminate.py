@@ -2,10 +2,10 @@
 
 Items are cut into segments, training texts into overlapping passages long enough to hold any
 segment. Every passage is a query. Scores are divided by what the segment would score against
-itself, so one threshold fits all segments. Postings are in blocks with their largest impact:
-block bounds rule out almost all (passage, block) pairs before a posting is read, as in
-block-max WAND. What scores above the threshold is verified by the overlap of word shingles
-with the item's question and answer.
+itself, so one threshold fits all segments. Retrieval is block-max WAND: postings are in blocks
+with their largest impact, whose sums rule out almost all (passage, block) pairs for all
+passages of a text at once; over the blocks that are left, one cursor per word goes from pivot to pivot. What
+scores above the threshold is verified by the overlap of word shingles with the item's question and answer.
 """
 
 from __future__ import annotations
@@ -84,13 +84,15 @@ class Item(NamedTuple):
 
 class Index(NamedTuple):
     """Postings by term: segments ascending, with impacts as shares of the segment's own
-    score, times its ``scale``, by which one that may reach less comes to ``THRESHOLD``; blocks of neighbouring segments with their largest impact."""
+    score, times its ``scale``, by which one that may reach less comes to ``THRESHOLD``; the largest impact of each term
+    (``top``) and of each of its blocks of neighbouring segments."""
 
     items: list[Item]
     item_of: list[int]
     scale: list[float]
     terms: dict[str, int]
     postings: list[list[tuple[int, float]]]
+    top: list[float]
     common: np.ndarray
     block_start: np.ndarray
     block_no: np.ndarray
@@ -140,9 +142,10 @@ class Index(NamedTuple):
             maxima.extend(best.values())
             starts.append(len(numbers))
         n_blocks = -(-n // BLOCK)
+        top = [max(impact for _, impact in row) for row in postings]
         common = Index._common(np.diff(starts), postings, n)
         return Index(
-            items, item_of, scale, terms, postings, common, np.array(starts),
+            items, item_of, scale, terms, postings, top, common, np.array(starts),
             np.array(numbers, np.int64), np.array(maxima), n_blocks,
         )
 
@@ -205,19 +208,61 @@ class Index(NamedTuple):
         """Score of every (passage, segment) that reaches ``threshold``. A passage is the
         ``2 * SEGMENT`` words from ``passage * SEGMENT`` on."""
         out: dict[tuple[int, int], float] = {}
-        queries: dict[int, list[list[tuple[int, float]]]] = {}
-        for passage, block in self.candidates(words, threshold):
-            if passage not in queries:
-                at = passage * SEGMENT
-                distinct = {self.terms.get(w, -1) for w in words[at : at + 2 * SEGMENT]} - {-1}
-                queries[passage] = [self.postings[t] for t in sorted(distinct)]
-            sums: dict[int, float] = {}
-            low, high = block * BLOCK, (block + 1) * BLOCK
-            for row in queries[passage]:
-                for number, impact in row if len(row) < 32 else _within(row, low, high):
-                    if low <= number < high:
-                        sums[number] = sums.get(number, 0.0) + impact
-            out.update({(passage, s): x for s, x in sums.items() if x >= threshold - 1e-9})
+        live: dict[int, list[int]] = {}
+        for passage, block in sorted(self.candidates(words, threshold)):
+            live.setdefault(passage, []).append(block)
+        for passage, blocks in live.items():
+            at = passage * SEGMENT
+            distinct = {self.terms.get(w, -1) for w in words[at : at + 2 * SEGMENT]} - {-1}
+            for segment, score in self.wand(sorted(distinct), blocks, threshold):
+                out[passage, segment] = score
+        return out
+
+    def wand(self, terms: list[int], live: list[int], threshold: float) -> list[tuple[int, float]]:
+        """(segment, score) of the segments in ``live`` blocks that reach ``threshold``, one segment at a time.
+
+        Each term has a cursor in its posting list. The pivot is the first segment that the largest impacts of the
+        cursors up to it can lift to the threshold; what lies before is never read. A pivot whose block is not
+        live sends these cursors to the next block that is.
+        """
+        least = threshold - 1e-9
+        cursors = self._moved([(-1, t, 0) for t in terms], live[0] * BLOCK)
+        found = []
+        while cursors:
+            cursors.sort()
+            total = 0.0
+            for pivot, term, _ in cursors:
+                total += self.top[term]
+                if total >= least:
+                    break
+            else:
+                break
+            following = bisect.bisect_left(live, pivot // BLOCK)
+            if following == len(live):
+                break
+            if live[following] > pivot // BLOCK:
+                target = live[following] * BLOCK
+            elif cursors[0][0] < pivot:
+                target = pivot
+            else:
+                target = pivot + 1
+                here = cursors[: bisect.bisect_left(cursors, (target,))]
+                score = sum(self.postings[term][at][1] for _, term, at in here)
+                if score >= least:
+                    found.append((pivot, score))
+            behind = bisect.bisect_left(cursors, (target,))
+            cursors = self._moved(cursors[:behind], target) + cursors[behind:]
+        return found
+
+    def _moved(self, cursors: list[tuple[int, int, int]], target: int) -> list[tuple[int, int, int]]:
+        """(segment, term, place) of each cursor at its first posting from ``target`` on, if it has one."""
+        out = []
+        for _, term, at in cursors:
+            row = self.postings[term]
+            if at < len(row) and row[at][0] < target:
+                at = bisect.bisect_left(row, (target,), at + 1)
+            if at < len(row):
+                out.append((row[at][0], term, at))
         return out
 
     def matches(self, text: str | None, threshold: float = THRESHOLD) -> list[tuple]:
@@ -264,10 +309,6 @@ def _bound(threshold: float) -> float:
     return threshold - SLACK * THRESHOLD - 1e-9
 
 
-def _within(row: list[tuple[int, float]], low: int, high: int) -> list[tuple[int, float]]:
-    return row[bisect.bisect_left(row, (low, -1.0)) : bisect.bisect_left(row, (high, -1.0))]
-
-
 def _share(words: list[str], texts: list[list[str]]) -> float:
     """Share of the shingles of ``words`` that one of ``texts`` has; 0 without words."""
     wanted = shingles(words)

@@ -65,6 +65,19 @@ def test_bounds_lose_no_passage_above_the_threshold():
         assert all(found[k] == pytest.approx(wanted[k]) for k in found)
 
 
+def test_pivots_lose_no_segment_of_the_live_blocks():
+    rows = items()
+    index = dc.Index.build(rows)
+    blocks = list(range(index.n_blocks))
+    for seed in range(40):
+        words = dc.words_of(leaking(seed, cases.prose(seed, 90), rows[seed][1], seed % 3))[: 2 * dc.SEGMENT]
+        terms = sorted({index.terms[w] for w in words if w in index.terms})
+        wanted = {s: x for (p, s), x in brute_scores(index, words).items() if p == 0}
+        for live in (blocks, blocks[::2], blocks[seed % len(blocks) :]):
+            found = dict(index.wand(terms, live, dc.THRESHOLD))
+            assert found == pytest.approx({s: x for s, x in wanted.items() if s // dc.BLOCK in live})
+
+
 def test_many_blocks_give_the_same(monkeypatch):
     rows = items()
     index = dc.Index.build(rows)
