@@ -21,6 +21,13 @@ SEED = 42
 DIGITS_PER_PASS = 4
 RANKED_ROWS = 50_000
 
+# Rows of a stratum up to which each task keeps whole candidates; larger samples are cut by hash first.
+# Spark ranks within tasks up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, 1,000 unless set.
+KEPT_ROWS = 1_000
+
+# Parts in which the candidates of all tasks are merged.
+MERGE_PARTS = 64
+
 
 def nth_smallest_hash(df: DataFrame, key: str, n: int, seed: int = SEED) -> str | None:
     """The ``n``-th smallest ``md5(seed:key)`` of the table; None for ``n <= 0``.
@@ -196,12 +203,31 @@ def below_cut(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int)
     return top_k(near, strata, order, k, "_rn", spread_by=F.monotonically_increasing_id()).drop("_rn")
 
 
+def smallest_rows(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
+    """The rows of :func:`below_cut` from one scan.
+
+    Each task keeps its own ``k`` smallest hashes of a stratum with their rows, tasks are merged in
+    ``MERGE_PARTS`` groups and these once more, so no step sees more than ``k`` rows of each part before it, however
+    large a stratum is. ``_n`` is the number of rows of a stratum, ``k`` where it has more.
+    """
+    order = [F.col("_h"), F.col(key)]
+    rows = df.dropna(subset=list(strata)).withColumn("_h", seeded_hash(seed, key))
+    rows = rows.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
+    merged = top_k(rows, [*strata, "_part"], order, k, "_rn").drop("_part", "_rn")
+    kept = top_k(merged, strata, order, k, "_rn").drop("_rn")
+    return kept.withColumn("_n", F.count("*").over(W.partitionBy(*strata)))
+
+
+def stratified_rows(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
+    return (smallest_rows if k <= KEPT_ROWS else below_cut)(df, strata, key, k, seed)
+
+
 def sample_stratified(
     df: DataFrame, stratum: str | Sequence[str], key: str, k: int, seed: int = SEED
 ) -> DataFrame:
     """At most ``k`` random rows per stratum; rows without a stratum are left out."""
     strata = [stratum] if isinstance(stratum, str) else list(stratum)
-    return below_cut(df, strata, key, k, seed).select(*df.columns)
+    return stratified_rows(df, strata, key, k, seed).select(*df.columns)
 
 
 def sample_stratified_fill(
@@ -214,7 +240,7 @@ def sample_stratified_fill(
     """
     strata = list(strata)
     place = W.partitionBy(*strata).orderBy("_h", key)  # k rows per stratum at most
-    kept = below_cut(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
+    kept = stratified_rows(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
     kept = materialise(kept, "kept")
     full = kept.filter(F.col("_n") >= k).withColumn("draw", F.col("_rn"))
     short = kept.filter(F.col("_n") < k)
