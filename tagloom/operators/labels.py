@@ -134,6 +134,25 @@ def long_labels(df: DataFrame, key: str = "pmid", tags: str = "meshMajor") -> Da
     )
 
 
+def annotation_sets(
+    df: DataFrame, vocabulary: DataFrame, text: str = "text", tags: str = "tags"
+) -> DataFrame:
+    """(text, accept, n_reject): what :func:`annotation_tasks` says in one row per text.
+
+    ``accept`` holds the text's own labels that are in the vocabulary, sorted, each once; all other labels, ``n_reject``
+    of them, are rejected. The rows grow with the texts and not with texts x labels. Texts without labels, or whose
+    labels are NULL, accept none.
+    """
+    numbered = build_vocabulary(vocabulary.select(F.array("label").alias("meshMajor")))
+    numbered = materialise(numbered, "vocabulary")
+    own = df.select(F.col(text).alias("text"), F.array_sort(F.array_distinct(tags)).alias("_tags"))
+    coded = coded_arrays(own, "_tags", numbered, "label", "label_id", "_codes")
+    pairs = F.arrays_zip(F.col("_tags").alias("tag"), F.col("_codes").alias("code"))
+    accept = F.transform(F.filter(pairs, lambda p: p["code"].isNotNull()), lambda p: p["tag"])
+    known = coded.select("text", F.coalesce(accept, F.array().cast("array<string>")).alias("accept"))
+    return known.withColumn("n_reject", F.lit(numbered.count()) - F.size("accept"))
+
+
 def annotation_tasks(
     df: DataFrame,
     vocabulary: DataFrame,

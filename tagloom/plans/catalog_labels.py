@@ -193,6 +193,28 @@ def crossjoin_annotation(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "annotation_sets",
+    sql(
+        """SELECT "abstractText" AS text,
+                  coalesce(array_to_string(list_sort(list_filter(list_distinct("meshMajor"),
+                      lambda t: list_contains(own, t))), '|'), '') AS accept,
+                  CAST(len(own) - len(list_filter(list_distinct("meshMajor"),
+                      lambda t: list_contains(own, t))) AS BIGINT) AS n_reject
+           FROM articles, wanted WHERE "abstractText" IS NOT NULL""",
+        "articles",
+        "vocabulary",
+        wanted=f"SELECT list(label) AS own FROM vocabulary WHERE label NOT IN {UNWANTED}",
+    ),
+)
+def annotation_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with the set of labels it accepts, of those that annotators are asked about."""
+    articles = views.articles(spark, d).filter("abstractText IS NOT NULL")
+    wanted = views.vocabulary(spark, d).filter(~F.col("label").isin(*UNWANTED))
+    sets = labels.annotation_sets(articles, wanted, text="abstractText", tags="meshMajor")
+    return sets.select("text", joined("accept").alias("accept"), F.col("n_reject").cast("long").alias("n_reject"))
+
+
 RARE_DOCS = 'SELECT label, pmid FROM (SELECT DISTINCT pmid, unnest("meshMajor") AS label FROM articles)'
 SUPPLY = """(SELECT CAST(floor(avg(c)) AS INTEGER) FROM (SELECT count(*) AS c FROM seeds GROUP BY label))"""
 

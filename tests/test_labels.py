@@ -93,3 +93,24 @@ def test_rows_of_equal_or_null_key_keep_their_own_labels(frame, monkeypatch, nam
 def test_sparse_labels(spark):
     df = spark.createDataFrame([([4, 0, 4, 9],), ([],)], "label_ids array<int>")
     assert [tuple(r.labels) for r in labels.encode_sparse(df, 5).collect()] == [(5, [0, 4]), (5, [])]
+
+
+@pytest.mark.parametrize("names", [200, 0])
+def test_annotation_sets_say_the_same_as_the_tasks(spark, monkeypatch, names):
+    monkeypatch.setattr(joins, "LITERAL_NAMES", names)
+    table = [("a", ["y", "x", "x", None]), ("a", ["z"]), ("b", []), ("c", None), (None, ["x", "w"]), ("d", ["w"])]
+    df = spark.createDataFrame(table, "text string, tags array<string>")
+    vocabulary = spark.createDataFrame([("x",), ("y",), ("z",), ("x",), (None,)], "label string").dropna()
+    sets = labels.annotation_sets(df, vocabulary)
+    assert rows(sets.withColumn("accept", F.concat_ws("|", "accept"))) == rows(
+        spark.createDataFrame(
+            [("a", "x|y", 1), ("a", "z", 2), ("b", "", 3), ("c", "", 3), (None, "x", 2), ("d", "", 3)],
+            "text string, accept string, n_reject int",
+        )
+    )
+    told = sets.select("text", F.explode("accept").alias("label"))
+    tasks = labels.annotation_tasks(df, vocabulary).filter("answer = 'accept'")
+    assert rows(told) == rows(tasks.select("text", "label"))
+    assert labels.annotation_sets(df.limit(0), vocabulary).count() == 0
+    none = labels.annotation_sets(df, vocabulary.limit(0))
+    assert {(len(r.accept), r.n_reject) for r in none.collect()} == {(0, 0)}
