@@ -24,7 +24,8 @@ from tagloom.llm.common import (
     unpack,
     with_row_ids,
 )
-from tagloom.session import materialise
+from tagloom.operators.joins import salted_join
+from tagloom.session import fits, materialise
 
 # Fixed values of the fingerprint: words of a shingle, hash seed, bits that may differ.
 SHINGLE = 3
@@ -200,7 +201,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         "fp", F.coalesce("component", "least").alias("component_id")
     )
     labels = materialise(labels, "labels")
-    return found.join(labels, "fp").select(
+    # Documents of one fingerprint stay where they are while the labels are few; beyond that they are dealt in parts.
+    if fits(labels):
+        labelled = found.join(F.broadcast(labels), "fp")
+    else:
+        labelled = salted_join(found, labels, "fp", "doc_id")
+    return labelled.select(
         "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
 
