@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import functools
 import random
 
 import cases
@@ -111,11 +110,3 @@ def test_null_ids_alone_keep_one_row(spark):
     df = spark.createDataFrame([(None, "a b c d"), (None, "a b c d")], "doc_id long, text string")
     assert simhash.keep_one(df).count() == 1
     assert {r["component_id"] for r in simhash.near_duplicates(df).collect()} == {None}
-
-
-def test_labels_that_are_dealt_in_parts_are_the_same(spark, documents, monkeypatch):
-    docs = documents.unionByName(documents.limit(3)).unionByName(documents.selectExpr("doc_id + 50 AS doc_id", *documents.columns[1:]))
-    sent = sorted(map(str, simhash.near_duplicates(docs).collect()))
-    monkeypatch.setattr(simhash, "fits", lambda _: False)
-    monkeypatch.setattr(simhash, "salted_join", functools.partial(simhash.salted_join, rows_per_key=2))
-    assert sorted(map(str, simhash.near_duplicates(docs).collect())) == sent
