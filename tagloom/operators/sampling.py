@@ -21,13 +21,6 @@ SEED = 42
 DIGITS_PER_PASS = 4
 RANKED_ROWS = 50_000
 
-# Rows of a stratum up to which each task keeps whole candidates; larger samples are cut by hash first.
-# Spark ranks within tasks up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, 1,000 unless set.
-KEPT_ROWS = 1_000
-
-# Parts in which the candidates of all tasks are merged.
-MERGE_PARTS = 64
-
 
 def nth_smallest_hash(df: DataFrame, key: str, n: int, seed: int = SEED) -> str | None:
     """The ``n``-th smallest ``md5(seed:key)`` of the table; None for ``n <= 0``.
@@ -175,12 +168,21 @@ def shard_contiguous(df: DataFrame, order: Sequence, shards: int, name: str = "s
 
 
 def stratum_cuts(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
-    """(strata, _cut, _n): the ``k``-th smallest hash of each stratum (the largest one
-    of a smaller stratum), and its row count. Only keys and strata are read."""
+    """(strata, _cut, _n, _tied): the ``k``-th smallest hash of each stratum (the largest one of a smaller
+    stratum), the number of its rows, ``k`` where it has more, and whether one more row has the hash of the cut.
+
+    Keys and strata are read once: each task keeps its own ``k + 1`` smallest hashes of a stratum, and
+    these are merged in two steps, however large a stratum is.
+    """
     hashes = df.select(*strata, seeded_hash(seed, key).alias("_h"))
-    first = top_k(hashes, strata, [F.col("_h")], k, "_rn", spread_by="_h")
-    cuts = first.groupBy(*strata).agg(F.max("_h").alias("_cut"))
-    return cuts.join(hashes.groupBy(*strata).agg(F.count("*").alias("_n")), list(strata))
+    first = top_k(hashes, strata, [F.col("_h")], k + 1, "_rn", spread_by=F.spark_partition_id())
+    within = F.col("_rn") <= k
+    cuts = first.groupBy(*strata).agg(
+        F.max(F.when(within, F.col("_h"))).alias("_cut"),
+        F.count(F.when(within, True)).alias("_n"),
+        F.max(F.when(~within, F.col("_h"))).alias("_next"),
+    )
+    return cuts.withColumn("_tied", F.col("_next").eqNullSafe(F.col("_cut"))).drop("_next")
 
 
 def below_cut(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
@@ -192,42 +194,22 @@ def below_cut(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int)
     rows have the key of a cut, those that are left are counted off.
     """
     known = df.dropna(subset=list(strata))
-    cuts = small_side(materialise(stratum_cuts(known, strata, key, k, seed), "cuts"))
-    found = known.select(*strata, seeded_hash(seed, key).alias("_h")).join(cuts, list(strata))
-    found = found.filter(F.col("_h") <= F.col("_cut")).groupBy(*strata).agg(F.count("*").alias("c"))
+    cuts = materialise(stratum_cuts(known, strata, key, k, seed), "cuts")
     hashed = known.withColumn("_h", seeded_hash(seed, key))
-    near = hashed.join(cuts, list(strata)).filter(F.col("_h") <= F.col("_cut")).drop("_cut")
-    if found.filter(F.col("c") > k).isEmpty():
+    near = hashed.join(small_side(cuts.drop("_tied")), list(strata))
+    near = near.filter(F.col("_h") <= F.col("_cut")).drop("_cut")
+    if cuts.filter("_tied").isEmpty():
         return near
     order = [F.col("_h"), F.col(key)]
     return top_k(near, strata, order, k, "_rn", spread_by=F.monotonically_increasing_id()).drop("_rn")
 
 
-def smallest_rows(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
-    """The rows of :func:`below_cut` from one scan.
-
-    Each task keeps its own ``k`` smallest hashes of a stratum with their rows, tasks are merged in
-    ``MERGE_PARTS`` groups and these once more, so no step sees more than ``k`` rows of each part before it, however
-    large a stratum is. ``_n`` is the number of rows of a stratum, ``k`` where it has more.
-    """
-    order = [F.col("_h"), F.col(key)]
-    rows = df.dropna(subset=list(strata)).withColumn("_h", seeded_hash(seed, key))
-    rows = rows.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(MERGE_PARTS)))
-    merged = top_k(rows, [*strata, "_part"], order, k, "_rn").drop("_part", "_rn")
-    kept = top_k(merged, strata, order, k, "_rn").drop("_rn")
-    return kept.withColumn("_n", F.count("*").over(W.partitionBy(*strata)))
-
-
-def stratified_rows(df: DataFrame, strata: Sequence[str], key: str, k: int, seed: int) -> DataFrame:
-    return (smallest_rows if k <= KEPT_ROWS else below_cut)(df, strata, key, k, seed)
-
-
 def sample_stratified(
     df: DataFrame, stratum: str | Sequence[str], key: str, k: int, seed: int = SEED
 ) -> DataFrame:
     """At most ``k`` random rows per stratum; rows without a stratum are left out."""
     strata = [stratum] if isinstance(stratum, str) else list(stratum)
-    return stratified_rows(df, strata, key, k, seed).select(*df.columns)
+    return below_cut(df, strata, key, k, seed).select(*df.columns)
 
 
 def sample_stratified_fill(
@@ -240,7 +222,7 @@ def sample_stratified_fill(
     """
     strata = list(strata)
     place = W.partitionBy(*strata).orderBy("_h", key)  # k rows per stratum at most
-    kept = stratified_rows(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
+    kept = below_cut(df, strata, key, k, seed).withColumn("_rn", F.row_number().over(place))
     kept = materialise(kept, "kept")
     full = kept.filter(F.col("_n") >= k).withColumn("draw", F.col("_rn"))
     short = kept.filter(F.col("_n") < k)

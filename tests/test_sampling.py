@@ -109,38 +109,35 @@ def test_samples_of_repeated_keys_are_exact(spark):
     assert sorted(r.draw for r in got) == [1, 2, 3, 4, 5]
 
 
-@pytest.mark.parametrize("k", [1, 7, 40, 5_000])
-def test_samples_from_one_scan_equal_those_below_the_cut(spark, k):
+@pytest.mark.parametrize("k", [0, 1, 7, 2_000])
+def test_cuts_and_samples_equal_a_full_sort(spark, k):
     stratum = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 101 = 1 THEN NULL ELSE 's' || id % 29 END AS s"
-    df = spark.range(3_000).selectExpr("id", stratum, "id % 5 AS `extra col`").repartition(9)
-    one = sampling.smallest_rows(df, ["s"], "id", k, 42)
-    cut = sampling.below_cut(df, ["s"], "id", k, 42)
-    assert rows(one.drop("_n")) == rows(cut.select(*one.drop("_n").columns))
-    sizes = {r.s: r._n for r in cut.collect()}
-    assert {r.s: r._n for r in one.collect()} == {s: min(n, k) for s, n in sizes.items()}
-    assert sampling.sample_stratified(df.limit(0), "s", "id", k).count() == 0
-
-
-def test_a_sample_is_ranked_in_the_tasks_of_one_scan(spark, tmp_path):
-    df = spark.range(1_000).selectExpr("id", "'s' || id % 3 AS s")
-    df.write.parquet(str(tmp_path / "rows"))
-    sample = sampling.sample_stratified(spark.read.parquet(str(tmp_path / "rows")), "s", "id", 4)
-    plan = sample._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and plan.count("WindowGroupLimit") >= 2
-    first_shuffle = plan.rindex("Exchange")
-    assert "WindowGroupLimit" in plan[first_shuffle:]
-
-
-@pytest.mark.parametrize("kept", [1_000, 0])
-def test_large_and_small_samples_are_filled_alike(spark, monkeypatch, kept):
-    monkeypatch.setattr(sampling, "KEPT_ROWS", kept)
-    df = spark.range(300).selectExpr("id", "CASE WHEN id < 290 THEN 'big' ELSE 's' || id % 3 END AS s")
-    got = sampling.sample_stratified_fill(df, ["s"], "id", 6).collect()
-    expected = [("big", i) for i in sorted(range(290), key=digest)[:6]]
-    for small in range(3):
-        ids = sorted((i for i in range(290, 300) if i % 3 == small), key=digest)
-        expected += [(f"s{small}", ids[int(digest(f"s{small}:{d}")[:8], 16) % len(ids)]) for d in range(1, 7)]
-    assert sorted((r.s, r.id) for r in got) == sorted(expected)
+    df = spark.range(3_000).selectExpr("id", stratum).repartition(9)
+    groups = {}
+    for row in df.dropna().collect():
+        groups.setdefault(row.s, []).append(row.id)
+    expected = [(i, s) for s, ids in groups.items() for i in sorted(ids, key=digest)[:k]]
+    assert rows(sampling.sample_stratified(df, "s", "id", k)) == sorted(expected, key=repr)
+    cuts = sampling.stratum_cuts(df.dropna(), ["s"], "id", k, 42).collect()
+    assert {r.s: r._n for r in cuts} == {s: min(k, len(ids)) for s, ids in groups.items()}
+    assert k == 0 or not any(r._tied for r in cuts)
+
+
+def test_ties_at_the_cut_are_seen_only_there(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b")], "id long, s string")
+    for k in (1, 2, 3):
+        tied = {r.s: r._tied for r in sampling.stratum_cuts(df, ["s"], "id", k, 42).collect()}
+        order = sorted([1, 1, 2], key=digest)
+        assert tied == {"a": k < 3 and order[k - 1] == order[k], "b": False}
+        assert sampling.sample_stratified(df, "s", "id", k).filter("s = 'a'").count() == min(k, 3)
+
+
+def test_cuts_read_the_keys_once_and_rank_in_the_tasks(spark, tmp_path):
+    spark.range(1_000).selectExpr("id", "'s' || id % 3 AS s", "'x' AS text").write.parquet(str(tmp_path / "rows"))
+    cuts = sampling.stratum_cuts(spark.read.parquet(str(tmp_path / "rows")), ["s"], "id", 4, 42)
+    text = cuts._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "ReadSchema: struct<id:bigint,s:string>" in text
+    assert "WindowGroupLimit" in text[text.rindex("Exchange hashpartitioning") :]
 
 
 def test_share_split_is_about_right(spark):
