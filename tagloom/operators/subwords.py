@@ -7,7 +7,8 @@ the word stands.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,57 +23,65 @@ VOCABULARY_BYTES = 64 << 20
 # Words whose ids a task remembers.
 REMEMBERED = 200_000
 
+# Documents of a batch whose words a task holds as texts of their own.
+AT_ONCE = 500
+
 CONTINUED = "##"
+CHARACTERS = 0x110000
 
 
 class Pieces:
-    """A trie of pieces. Node 0 is the start of a word, node 1 the place after a piece of it."""
+    """A trie of pieces. Node 0 is the start of a word, node 1 the place after a piece of it.
+
+    All steps are in one dictionary, by node and character, as one for each node would take several times the memory."""
 
     START, INSIDE = 0, 1
 
-    def __init__(self, vocabulary: dict[str, int], unknown: int = UNKNOWN, mark: str = CONTINUED):
+    def __init__(
+        self, vocabulary: dict[str, int] | Iterable[tuple[str, int]], unknown: int = UNKNOWN, mark: str = CONTINUED
+    ):
         self.unknown = unknown
-        self.children: list[dict[str, int]] = [{}, {}]
+        self.steps: dict[int, int] = {}
         self.ends: list[int | None] = [None, None]
-        for piece, number in vocabulary.items():
+        came = array("q", [0, 0])  # the step that leads to a node
+        depths = array("i", [0, 0])
+        for piece, number in vocabulary.items() if isinstance(vocabulary, dict) else vocabulary:
             inside = bool(mark) and piece.startswith(mark) and piece != mark
-            self._add(self.INSIDE if inside else self.START, piece[len(mark) :] if inside else piece, number)
-        self.links: list[int | None] = [None] * len(self.children)
-        self.certain: list[list[int]] = [[] for _ in self.children]
-        self._link()
+            self._add(self.INSIDE if inside else self.START, piece[len(mark) :] if inside else piece, number, came, depths)
+        self._link(came, depths)
 
-    def _add(self, node: int, piece: str, number: int) -> None:
+    def _add(self, node: int, piece: str, number: int, came: array, depths: array) -> None:
         if not piece:
             return
-        for c in piece:
-            following = self.children[node].get(c)
-            if following is None:
-                following = self.children[node][c] = len(self.children)
-                self.children.append({})
+        for depth, c in enumerate(piece, 1):
+            step = node * CHARACTERS + ord(c)
+            node = self.steps.setdefault(step, len(self.ends))
+            if node == len(self.ends):
                 self.ends.append(None)
-            node = following
+                came.append(step)
+                depths.append(depth)
         self.ends[node] = number
 
-    def _link(self) -> None:
-        level = [(node, c, child) for node in (0, 1) for c, child in self.children[node].items()]
-        while level:
-            for parent, c, node in level:
-                if self.ends[node] is not None:
-                    self.links[node], self.certain[node] = self.INSIDE, [self.ends[node]]
-                    continue
-                at, more = self.links[parent], list(self.certain[parent])
-                while at is not None and c not in self.children[at]:
-                    more += self.certain[at]
-                    at = self.links[at]
-                if at is not None:
-                    self.links[node], self.certain[node] = self.children[at][c], more
-            level = [(node, c, child) for _, _, node in level for c, child in self.children[node].items()]
+    def _link(self, came: array, depths: array) -> None:
+        self.links: list[int | None] = [None] * len(self.ends)
+        self.certain: list[tuple[int, ...]] = [()] * len(self.ends)
+        for node in sorted(range(2, len(self.ends)), key=depths.__getitem__):
+            if self.ends[node] is not None:
+                self.links[node], self.certain[node] = self.INSIDE, (self.ends[node],)
+                continue
+            parent, c = divmod(came[node], CHARACTERS)
+            at, more = self.links[parent], self.certain[parent]
+            while at is not None and at * CHARACTERS + c not in self.steps:
+                more += self.certain[at]
+                at = self.links[at]
+            if at is not None:
+                self.links[node], self.certain[node] = self.steps[at * CHARACTERS + c], more
 
     def ids(self, word: str) -> list[int]:
         """Ids of the word's pieces; the unknown one alone if it can't be made of pieces."""
         node, out = self.START, []
         for c in word:
-            while (following := self.children[node].get(c)) is None:
+            while (following := self.steps.get(node * CHARACTERS + ord(c))) is None:
                 if self.links[node] is None:
                     return [self.unknown]
                 out += self.certain[node]
@@ -105,14 +114,14 @@ def encode_subwords(
     known = vocabulary.filter("token IS NOT NULL").groupBy("token").agg(F.min("token_id").alias("token_id"))
     if (known.agg(F.sum(F.octet_length("token"))).first()[0] or 0) > VOCABULARY_BYTES:
         raise ValueError("the vocabulary is too large to be sent to every task")
-    pieces = {r["token"]: int(r["token_id"]) for r in known.collect()}
-    sent = spark.sparkContext.broadcast(pieces)
+    known = known.toArrow()
+    sent = spark.sparkContext.broadcast((known.column("token").combine_chunks(), known.column("token_id").combine_chunks()))
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Pieces(sent.value, mark=mark)
+        matcher = Pieces(((t.as_py(), int(i.as_py())) for t, i in zip(*sent.value)), mark=mark)
         memory: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
             counts, rows = [], []
             for words in batch.column(1).to_pylist():
                 ids: list[int] = []

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import pytest
 from compare import rows
@@ -62,3 +63,20 @@ def test_a_vocabulary_too_large_is_an_error(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "ab")], "doc_id int, text string")
     with pytest.raises(ValueError, match="too large"):
         subwords.encode_subwords(docs, spark.createDataFrame([("abcd", 2)], "token string, token_id int"))
+
+def test_trie_of_a_large_vocabulary_is_small():
+    """One dictionary of steps, not one for each node: some 100 bytes a node less."""
+    r = random.Random(2)
+    pieces = {("##" if i % 2 else "") + "".join(r.choices("abcdefgh", k=9)): i for i in range(20_000)}
+    tracemalloc.start()
+    trie = subwords.Pieces(iter(pieces.items()))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(trie.ends) > 50_000 and held / len(trie.ends) < 200
+    assert trie.ids("".join(next(iter(pieces)))) == [0]
+
+
+def test_long_batches_are_coded_in_parts(spark):
+    docs = spark.createDataFrame([(i, "ab " * (i % 3)) for i in range(1_201)], "doc_id int, text string").coalesce(1)
+    found = subwords.encode_subwords(docs, spark.createDataFrame([("a", 7), ("##b", 8)], "token string, token_id int"), 4)
+    assert sorted((r.doc_id, r.n_pieces) for r in found.collect()) == [(i, 2 * (i % 3)) for i in range(1_201)]
