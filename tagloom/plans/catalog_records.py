@@ -193,7 +193,8 @@ def src_parquet_subset(spark: SparkSession, d: str) -> DataFrame:
     """Three of eight files, which hold the documents by their id."""
     path = scratch_path(spark, "grants")
     rows = views.grants(spark, d).withColumn("file", F.col("doc_id") % 8)
-    rows.repartition(8, "file").write.partitionBy("file").parquet(path)
+    # By number, not by hash, which would deal several files to one task.
+    rows.repartitionById(8, F.col("file").cast("int")).write.partitionBy("file").parquet(path)
     return records.read_parquet_subset(spark, path, 3, ["title", "abstract", "for_first_level_name"])
 
 
