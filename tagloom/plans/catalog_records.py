@@ -223,6 +223,9 @@ def src_csv_dims(spark: SparkSession, d: str) -> DataFrame:
     return records.read_csv(spark, path, schemas.CATEGORY)[0]
 
 
+XML_RECORDS = 200_000  # of a file, as one task reads it
+
+
 @query("src_taxonomy_xml", sql("SELECT ui, name, annotation, tree_number FROM taxonomy", "taxonomy"))
 def src_taxonomy_xml(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "descriptors")
@@ -233,7 +236,7 @@ def src_taxonomy_xml(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.col("tree_numbers").alias("TreeNumber")).alias("TreeNumberList"),
     ).write.format("xml").option("rootTag", "DescriptorRecordSet").option(
         "rowTag", "DescriptorRecord"
-    ).save(path)
+    ).option("maxRecordsPerFile", XML_RECORDS).save(path)
     return records.read_taxonomy(spark, path).select("ui", "name", "annotation", "tree_number")
 
 
