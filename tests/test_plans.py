@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from compare import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -96,3 +97,21 @@ def test_report_shuffles_the_pairs_once(spark):
     pairs = metrics.judged(truth, scores, [0.5], by="doc_id")
     per_doc = metrics.counts_per(pairs, ["doc_id"], [0.5])
     assert shuffles(per_doc) == 1
+
+
+def test_line_items_are_spread_before_they_are_grouped(spark, tmp_path, monkeypatch):
+    """No task groups all it has read: nearly each line item has a document and label of its own."""
+    lines = [(i // 3, i % 7, float(i % 50), 0.1 * (i % 3), "FO"[i % 2]) for i in range(90)] + [(None, 1, 5.0, 0.1, "F"), (3, None, 5.0, 0.1, "F")]
+    schema = "l_orderkey long, l_partkey long, l_quantity double, l_discount double, l_linestatus string"
+    spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    parts = spark.createDataFrame([(i, f"b{i % 4}") for i in range(7)], "p_partkey long, p_brand string")
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    d = str(tmp_path)
+    for view in (views.docs, views.truth, views.scores_a, views.scores_b, views.scores_c):
+        want = rows(view(spark, d))
+        with monkeypatch.context() as patch:
+            patch.setattr(views, "ROWS_IN_ONE_TASK", 9)
+            found = view(spark, d)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == want and len(want) > 20
+        assert "HashAggregate" not in plan.split("REPARTITION_BY_NUM")[1] and "HashAggregate" in plan
