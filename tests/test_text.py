@@ -71,6 +71,39 @@ def test_counting_the_terms_of_a_document_needs_one_shuffle(docs):
     assert plan.count("regexp_extract_all") == 1
 
 
+@pytest.mark.parametrize("kind, grams, min_df", [("int", (1, 1), 2), ("string", (1, 2), 1), ("bigint", (1, 1), 9)])
+def test_documents_are_counted_by_blocks(spark, monkeypatch, kind, grams, min_df):
+    """Repeated and missing ids, and texts that are missing or without a known term, change nothing."""
+    texts = [*TEXTS.items(), (1, "Malaria again"), (None, "cancer cell"), (None, "cell"), (7, None), (8, "unseen"), (9, "the of")]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").repartition(3)
+    docs = docs.withColumn("doc_id", docs.doc_id.cast(kind))
+    settings = tx.TfidfSettings(STOP, min_df, 1.0, None, grams)
+    counted = tx.term_rows(docs, settings)
+    old = tx.fit_terms(counted, docs.count(), settings)
+    monkeypatch.setattr(tx, "BLOCK_BYTES", 40)
+    model, found = tx.features_in_blocks(docs, settings)
+    assert found.blocks > 4 and rows(model.terms) == rows(old.terms)
+    weights = {r[:2]: r[2] for r in rows(found.weights())}
+    assert weights == pytest.approx({r[:2]: r[2] for r in rows(tx.weigh_terms(old, counted))})
+    assert len(rows(found.rows)) == len({d for d, _ in weights})
+    placed = {(r.block, t) for r in found.rows.collect() for t in r.terms}
+    assert sorted(placed, key=repr) == rows(found.terms, "block", "term_id")
+
+
+def test_texts_are_split_once_and_after_they_are_dealt(docs, monkeypatch):
+    plans = []
+
+    def written(df, key, buckets, spread=True, keep=tx.bucketed):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, key, buckets, spread)
+
+    monkeypatch.setattr(tx, "bucketed", written)
+    tx.features_tfidf(docs, tx.TfidfSettings(STOP, 1))
+    assert plans[0].count("regexp_extract_all") == 1 and plans[0].count("hashpartitioning(") == 1
+    assert plans[0].index("regexp_extract_all") < plans[0].index("hashpartitioning(")
+    assert "Generate" not in plans[0]
+
+
 def test_spark_stop_words_are_the_default(docs):
     assert "the" in tx.default_stop_words()
     terms = {r.term for r in tx.fit_tfidf(docs, tx.TfidfSettings(min_df=1)).terms.collect()}
